@@ -1 +1,123 @@
-"""Registered queries."""
+"""Registered queries: journeys, segments, retention, personas, sampling."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from splitlens.functions.hashing import bucket_sql_duckdb
+from splitlens.operators import journey, segments
+from splitlens.plans.catalog import register
+from splitlens.sources.fixtures import AS_OF_SEGMENTS
+
+FUNNEL_SQL = """CASE WHEN e.event_name LIKE 'banner%' THEN 'Awareness' WHEN e.event_name = 'click_banner' THEN 'Interest'
+            WHEN e.event_name = 'purchase' THEN 'Conversion' ELSE 'Other' END"""
+
+
+@register("user_journey", f"""
+SELECT e.event_id, e.user_id, e.run_id, a.variant, e.event_name, e.timestamp, e.value, a.weight,
+       cast(row_number() OVER w AS int) AS event_sequence,
+       lag(e.event_name) OVER w AS prev_event, lead(e.event_name) OVER w AS next_event,
+       date_diff('second', lag(e.timestamp) OVER w, e.timestamp) AS time_since_last_event,
+       {FUNNEL_SQL} AS funnel_stage
+FROM fx_events e LEFT JOIN fx_assignments a ON e.user_id = a.user_id AND e.run_id = a.run_id
+WHERE e.run_id IS NOT NULL
+WINDOW w AS (PARTITION BY e.run_id, e.user_id ORDER BY e.timestamp, e.event_id)""")
+def q_user_journey(fx):
+    return journey.user_journey(fx.events, fx.assignments)
+
+
+SEGMENTS_SQL = f"""
+WITH user_metrics AS (
+  SELECT u.user_id, count(o.order_id) AS order_count, coalesce(sum(o.amount), 0) AS total_spent,
+         date_diff('day', cast(min(u.joined_at) AS timestamp), DATE '{AS_OF_SEGMENTS}') AS tenure_days
+  FROM fx_users u LEFT JOIN fx_orders o ON u.user_id = o.user_id
+  GROUP BY 1),
+averages AS (SELECT avg(total_spent) AS avg_spent FROM user_metrics WHERE order_count > 0)
+SELECT CASE WHEN order_count = 0 THEN 'Window'
+            WHEN order_count >= 3 THEN 'Mission'
+            WHEN total_spent > (SELECT avg_spent FROM averages) THEN 'Rational'
+            WHEN tenure_days < 30 THEN 'Impulsive'
+            ELSE 'Cautious' END AS segment,
+       count(*) AS users
+FROM user_metrics GROUP BY 1"""
+
+
+@register("user_segments", SEGMENTS_SQL)
+def q_user_segments(fx):
+    return segments.user_segments(fx.users, fx.orders, AS_OF_SEGMENTS)
+
+
+@register("segment_mix", f"""
+WITH seg AS ({SEGMENTS_SQL}),
+labels AS (SELECT * FROM (VALUES ('Impulsive', 0), ('Rational', 1), ('Window', 2), ('Mission', 3), ('Cautious', 4))
+           t(segment, seg_order)),
+j AS (SELECT l.segment, l.seg_order, cast(coalesce(s.users, 0) AS bigint) AS users
+      FROM labels l LEFT JOIN seg s ON l.segment = s.segment),
+t AS (SELECT *, sum(users) OVER () AS total FROM j),
+b AS (SELECT *, CASE WHEN total > 0 THEN cast(trunc((cast(users AS double) / total) * 100) AS int) ELSE 0 END AS base FROM t),
+r AS (SELECT *, 100 - sum(base) OVER () AS rest, row_number() OVER (ORDER BY base DESC, seg_order) AS rk FROM b)
+SELECT segment, users, cast(base + CASE WHEN rk = 1 THEN rest ELSE 0 END AS int) AS pct FROM r WHERE total > 0""")
+def q_segment_mix(fx):
+    return segments.segment_mix(segments.user_segments(fx.users, fx.orders, AS_OF_SEGMENTS))
+
+
+@register("age_segment", """
+SELECT CASE WHEN age BETWEEN 18 AND 26 THEN 'Student' ELSE 'Office Worker' END AS age_band,
+       count(*) AS users, min(age) AS min_age, max(age) AS max_age
+FROM (SELECT 18 + cast(user_id AS bigint) % 43 AS age FROM fx_users) u GROUP BY 1""")
+def q_age_segment(fx):
+    users = fx.users.withColumn("age", F.lit(18) + F.col("user_id").cast("long") % 43)
+    return segments.age_segments(users)
+
+
+@register("cohort_retention", """
+WITH uw AS (SELECT DISTINCT user_id, cast(date_trunc('week', order_at) AS date) AS week
+            FROM fx_orders WHERE user_id IS NOT NULL AND order_at IS NOT NULL),
+first AS (SELECT user_id, min(week) AS cohort_week FROM uw GROUP BY 1),
+grid AS (SELECT f.cohort_week, cast(date_diff('day', f.cohort_week, u.week) // 7 AS int) AS week_number,
+                count(*) AS retained
+         FROM uw u JOIN first f ON u.user_id = f.user_id GROUP BY 1, 2),
+sizes AS (SELECT cohort_week, count(*) AS cohort_size FROM first GROUP BY 1)
+SELECT g.cohort_week, g.week_number, s.cohort_size, g.retained,
+       CASE WHEN s.cohort_size <= 0 THEN cast(0.0 AS double) ELSE cast(g.retained AS double) / s.cohort_size END AS retention_rate
+FROM grid g JOIN sizes s ON g.cohort_week = s.cohort_week""", doubles=("retention_rate",))
+def q_cohort_retention(fx):
+    return segments.cohort_retention(fx.orders)
+
+
+TRAITS_SQL = "[" + ", ".join(f"'{t}'" for t in segments.PERSONA_TRAITS) + "]"
+
+
+@register("persona_breakdown", f"""
+WITH ev AS (SELECT *, concat('agent_', {TRAITS_SQL}[cast(user_id AS bigint) % 5 + 1], '_', user_id) AS agent_id
+            FROM fx_events),
+per_agent AS (
+  SELECT run_id, agent_id,
+         max(CASE WHEN event_name LIKE 'banner%' OR event_name = 'click_banner' THEN 1 ELSE 0 END) AS clicked,
+         max(CASE WHEN event_name = 'bounce' THEN 1 ELSE 0 END) AS bounced,
+         max(CASE WHEN event_name = 'purchase' THEN 1 ELSE 0 END) AS purchased
+  FROM ev WHERE agent_id LIKE 'agent_%' GROUP BY 1, 2)
+SELECT run_id,
+       CASE regexp_extract(agent_id, '^agent_([a-z]+)_', 1) WHEN '' THEN NULL WHEN 'rational' THEN 'calculator'
+            WHEN 'window' THEN 'browser' ELSE regexp_extract(agent_id, '^agent_([a-z]+)_', 1) END AS persona,
+       count(*) AS total, cast(sum(clicked) AS bigint) AS clicked, cast(sum(bounced) AS bigint) AS bounced,
+       cast(sum(purchased) AS bigint) AS purchased, cast(sum(clicked) AS double) / count(*) AS ctr
+FROM per_agent GROUP BY 1, 2""", doubles=("ctr",))
+def q_persona_breakdown(fx):
+    traits = F.array(*[F.lit(t) for t in segments.PERSONA_TRAITS])
+    agent = F.concat(F.lit("agent_"), F.element_at(traits, (F.col("user_id").cast("long") % 5 + 1).cast("int")),
+                     F.lit("_"), F.col("user_id"))
+    return segments.persona_breakdown(fx.events.withColumn("agent_id", agent))
+
+
+@register("sample_weights", f"""
+SELECT o_orderpriority, count(*) AS population, count(CASE WHEN b < 10 THEN 1 END) AS sampled,
+       cast(count(*) AS double) / nullif(count(CASE WHEN b < 10 THEN 1 END), 0) AS weight,
+       sum(o_totalprice) AS true_total,
+       sum(CASE WHEN b < 10 THEN o_totalprice END)
+         * (cast(count(*) AS double) / nullif(count(CASE WHEN b < 10 THEN 1 END), 0)) AS estimated_total
+FROM (SELECT o_orderpriority, o_totalprice, {bucket_sql_duckdb('o_orderkey')} AS b FROM orders) o
+GROUP BY 1""", doubles=("weight", "true_total", "estimated_total"))
+def q_sample_weights(fx):
+    o = fx.table("orders", ["o_orderkey", "o_orderpriority", "o_totalprice"])
+    return segments.stratified_sample_weights(o, "o_orderpriority", "o_orderkey", "o_totalprice", sample_pct=10)
