@@ -20,8 +20,12 @@ def bucket_users(users: DataFrame, n: int = DEFAULT_BUCKETS, threshold: int = DE
 
 
 def latest_adoption(adoptions: DataFrame) -> DataFrame:
-    """The newest adoption as a one-row frame (top-1, no full sort)."""
-    return adoptions.orderBy(F.desc("adopted_at"), F.desc("experiment_id")).limit(1)
+    """The newest adoption (ties: larger experiment id) as a one-row frame.
+    A max_by aggregate: partial per task, no sort of the table."""
+    row = F.struct(*[F.col(c) for c in adoptions.columns])
+    key = F.struct("adopted_at", "experiment_id")
+    top = adoptions.agg(F.max_by(row, key).alias("r"))
+    return top.filter(F.col("r").isNotNull()).select("r.*")
 
 
 def assignment_state(active: bool | None, adoptions: DataFrame | None,
@@ -33,11 +37,10 @@ def assignment_state(active: bool | None, adoptions: DataFrame | None,
     ``active`` may be given directly or read from the active_experiment table
     (any row with is_active)."""
     if adoptions is not None:
-        spark = adoptions.sparkSession
-        winner = (latest_adoption(adoptions)
-                  .select(F.from_json("variant_config", VARIANT_CONFIG)["winning_variant"].alias("w")))
-        winner = winner.select(F.when(F.length("w") > 0, F.col("w")).alias("winner"))
-        state = spark.range(1).join(winner, how="left").select("winner")
+        # A global aggregate: exactly one row, NULL winner when there is none.
+        w = F.max_by(F.from_json("variant_config", VARIANT_CONFIG)["winning_variant"],
+                     F.struct("adopted_at", "experiment_id"))
+        state = adoptions.agg(w.alias("w")).select(F.when(F.length("w") > 0, F.col("w")).alias("winner"))
     else:
         spark = spark or SparkSession.getActiveSession()
         state = spark.range(1).select(F.lit(None).cast("string").alias("winner"))
@@ -49,17 +52,22 @@ def assignment_state(active: bool | None, adoptions: DataFrame | None,
     return state
 
 
-def assign_variant(users: DataFrame, state: DataFrame, n: int = DEFAULT_BUCKETS,
-                   threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
-    """Variant per user: running experiment -> bucket split; otherwise the
-    adopted winner for everyone; with neither, the bucket split."""
-    b = bucket_users(users, n, threshold)
+def apply_state(bucketed: DataFrame, state: DataFrame) -> DataFrame:
+    """Variant per user from (user_id, bucket, variant) and the one-row state:
+    running experiment -> bucket split; otherwise the adopted winner for
+    everyone; with neither, the bucket split."""
     # ``state`` has exactly one row by construction: broadcasting it is bounded.
-    j = b.crossJoin(F.broadcast(state))
+    j = bucketed.crossJoin(F.broadcast(state.select("active", "winner")))
     v = (F.when(F.col("active"), F.col("variant"))
          .when(F.col("winner").isNotNull(), F.col("winner"))
          .otherwise(F.col("variant")))
-    return j.select("user_id", "bucket", v.alias("variant"))
+    return j.withColumn("variant", v).drop("active", "winner")
+
+
+def assign_variant(users: DataFrame, state: DataFrame, n: int = DEFAULT_BUCKETS,
+                   threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+    """(user_id, bucket, variant) for the distinct users under ``state``."""
+    return apply_state(bucket_users(users, n, threshold), state)
 
 
 def assign_once(requests: DataFrame, existing: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from splitlens.operators.assignment import latest_adoption
 from splitlens.operators.stats import DECISION_LOSER, DECISION_NONE, DECISION_WINNER, GUARDRAILS
 from splitlens.sources.schemas import GUARDRAIL_RESULTS, VARIANT_CONFIG
 
@@ -75,7 +76,7 @@ def current_baseline(adoptions: DataFrame, experiments: DataFrame) -> DataFrame:
     """The newest adoption: winning variant (default B), target (the
     experiment's, else the payload's, else 'N/A') and one row per config
     entry (one row with NULL key when there is no config)."""
-    latest = adoptions.orderBy(F.desc("adopted_at"), F.desc("experiment_id")).limit(1)
+    latest = latest_adoption(adoptions)
     e = experiments.select(F.col("run_id").alias("_run"), "hypothesis", F.col("target").alias("_t"))
     j = latest.join(e, latest.experiment_id == e._run, "left")
     cfg = parse_variant_config()

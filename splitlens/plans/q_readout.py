@@ -85,12 +85,9 @@ FROM fx_bucket b
 LEFT JOIN (SELECT json_extract_string(variant_config, '$.winning_variant') AS winner
            FROM fx_adoptions ORDER BY adopted_at DESC, experiment_id DESC LIMIT 1) s ON true""")
 def q_assign_variant(fx):
-    users = fx.events.select("user_id")
-    state = assignment.assignment_state(active=None, adoptions=fx.adoptions)
-    active = assignment.assignment_state(active=True, adoptions=None)
-    a = assignment.assign_variant(users, active).withColumnRenamed("variant", "variant_active")
-    b = assignment.assign_variant(users, state).select("user_id", "variant")
-    return a.join(b, "user_id")
+    bucketed = assignment.bucket_users(fx.events.select("user_id"))
+    state = assignment.assignment_state(active=False, adoptions=fx.adoptions)
+    return assignment.apply_state(bucketed.withColumn("variant_active", F.col("variant")), state)
 
 
 @register("assign_once", """

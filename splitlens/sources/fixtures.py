@@ -108,11 +108,12 @@ class Fixtures:
     def experiments(self) -> DataFrame:
         """One experiment record per run with A and B present."""
         c = self.run_counts
-        a = c.filter(c.variant == "A").select("run_id", F.col("users").alias("au"),
-                                               F.col("conversions").alias("ac"))
-        b = c.filter(c.variant == "B").select("run_id", F.col("users").alias("bu"),
-                                               F.col("conversions").alias("bc"))
-        j = a.join(b, "run_id")
+        # One pass over the counts: A and B side by side per run (both present).
+        pick = lambda v, col: F.max(F.when(F.col("variant") == v, F.col(col)))
+        j = (c.groupBy("run_id")
+             .agg(pick("A", "users").alias("au"), pick("A", "conversions").alias("ac"),
+                  pick("B", "users").alias("bu"), pick("B", "conversions").alias("bc"))
+             .filter(F.col("au").isNotNull() & F.col("bu").isNotNull()))
         cr = F.col("ac").cast("double") / F.col("au")
         tr = F.col("bc").cast("double") / F.col("bu")
         pooled = (F.col("ac") + F.col("bc")).cast("double") / (F.col("au") + F.col("bu"))
