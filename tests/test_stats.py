@@ -1,0 +1,95 @@
+"""Read-out statistics: golden numbers and properties."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from splitlens.operators import stats
+
+
+def counts(spark, rows):
+    return spark.createDataFrame(rows, "run_id string, variant string, users long, conversions long")
+
+
+def one(df):
+    rows = df.collect()
+    assert len(rows) == 1
+    return rows[0]
+
+
+def test_significant_golden(spark):
+    r = one(stats.ab_stats(counts(spark, [("r", "A", 1000, 100), ("r", "B", 1000, 200)])))
+    assert r.control_rate == 0.1 and r.test_rate == 0.2
+    assert r.lift == pytest.approx(1.0, rel=1e-12)
+    assert r.z_score == pytest.approx(6.262242910851494, rel=1e-12)
+    assert r.se == pytest.approx(0.015968719422671314, rel=1e-12)
+    assert r.p_value == pytest.approx(3.794791883144989e-10, rel=1e-9)
+    assert r.decision == stats.DECISION_WINNER and r.advice == stats.ADVICE_ADOPT
+
+
+def test_insignificant_golden(spark):
+    r = one(stats.ab_stats(counts(spark, [("r", "A", 1000, 100), ("r", "B", 1000, 101)])))
+    assert r.lift == pytest.approx(0.01, rel=1e-9)
+    assert r.z_score == pytest.approx(0.0743706174991401, rel=1e-11)
+    assert r.p_value == pytest.approx(0.9407154878788406, rel=1e-11)
+    assert r.decision == stats.DECISION_NONE
+
+
+def test_swapping_arms_negates_z_keeps_p(spark):
+    a = one(stats.ab_stats(counts(spark, [("r", "A", 700, 90), ("r", "B", 640, 120)])))
+    b = one(stats.ab_stats(counts(spark, [("r", "A", 640, 120), ("r", "B", 700, 90)])))
+    assert a.z_score == pytest.approx(-b.z_score, rel=1e-12)
+    assert a.p_value == pytest.approx(b.p_value, rel=1e-12)
+    assert b.decision == stats.DECISION_LOSER and b.advice == stats.ADVICE_RERUN
+
+
+def test_empty_arm_and_zero_control(spark):
+    r = one(stats.ab_stats(counts(spark, [("r", "A", 0, 0), ("r", "B", 50, 10)])))
+    assert (r.control_rate, r.lift, r.z_score, r.p_value, r.se) == (0.0, 0.0, 0.0, 1.0, 0.0)
+    r = one(stats.ab_stats(counts(spark, [("r", "A", 50, 0), ("r", "B", 50, 0)])))
+    assert r.p_value == 1.0 and r.z_score == 0.0 and r.decision == stats.DECISION_NONE
+
+
+def test_fewer_than_two_variants_gives_no_row(spark):
+    df = counts(spark, [("solo", "A", 10, 1), ("pair", "A", 10, 1), ("pair", "B", 10, 2)])
+    assert [r.run_id for r in stats.ab_stats(df).collect()] == ["pair"]
+
+
+def test_runs_are_independent(spark):
+    base = [("r1", "A", 500, 60), ("r1", "B", 480, 75)]
+    alone = one(stats.ab_stats(counts(spark, base)))
+    more = stats.ab_stats(counts(spark, base + [("r2", "A", 9, 9), ("r2", "B", 1, 0)]))
+    with_others = one(more.filter(F.col("run_id") == "r1"))
+    assert alone.asDict() == with_others.asDict()
+
+
+def test_variant_ci(spark):
+    rows = {r.variant: r for r in stats.variant_ci(counts(spark, [("r", "A", 100, 20), ("r", "B", 0, 0)])).collect()}
+    assert rows["A"].rate_pct == pytest.approx(20.0)
+    assert rows["A"].error_pct == pytest.approx(1.96 * (0.2 * 0.8 / 100) ** 0.5 * 100)
+    assert rows["B"].rate_pct == 0.0 and rows["B"].error_pct == 0.0
+
+
+def gcounts(spark, rows):
+    return spark.createDataFrame(
+        rows, "run_id string, variant string, users long, conversions long, revenue double, clicks long, bounces long")
+
+
+def test_guardrail_verdicts_margin(spark):
+    g = gcounts(spark, [("r", "A", 100, 10, 500.0, 30, 20), ("r", "B", 100, 10, 470.0, 30, 22)])
+    v = {r.metric: r for r in stats.guardrail_verdicts(g, margin_pct=5.0).collect()}
+    assert v["CVR"].lift == 0.0 and v["CVR"].passed            # no change passes
+    assert v["AOV"].lift == pytest.approx(-0.06) and not v["AOV"].passed
+    assert v["Bounce Rate"].lift == pytest.approx(0.1) and not v["Bounce Rate"].passed
+    assert v["CTR"].passed
+    v2 = {r.metric: r for r in stats.guardrail_verdicts(g, margin_pct=10.0).collect()}
+    assert v2["AOV"].passed and v2["Bounce Rate"].passed
+
+
+def test_metrics_delta_na(spark):
+    w = spark.createDataFrame(
+        [("r", "A", 10, 0, 0, 0, 20.0, None, 0, 0), ("r", "B", 12, 3, 1, 50, 25.0, 5.0, 50, 4)],
+        "run_id string, variant string, visitors int, clicks int, buyers int, revenue long, ctr double, "
+        "cvr double, aov int, arpu int")
+    d = {r.metric: r.delta for r in stats.metrics_delta(w).collect()}
+    assert d["visitors"] == "+20.0%" and d["ctr"] == "+25.0%"
+    assert d["clicks"] == "N/A" and d["cvr"] == "N/A" and d["aov"] == "N/A"
