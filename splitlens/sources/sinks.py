@@ -28,15 +28,18 @@ def table_schema(name: str) -> T.StructType:
     return s
 
 
-def create_tables(spark: SparkSession, namespace: str = "experiment", reset: bool = False,
-                  location: str | None = None) -> list[str]:
-    """CREATE TABLE IF NOT EXISTS for every table of the namespace (parquet,
-    partitioned as in ``schemas.PARTITIONING``); ``reset`` drops them first."""
+def create_tables(spark: SparkSession, database: str = "experiment", reset: bool = False,
+                  location: str | None = None, kind: str | None = None) -> list[str]:
+    """CREATE TABLE IF NOT EXISTS for every table of a catalogue namespace
+    (``kind``: 'experiment' or 'warehouse'; default: the database name, else
+    'experiment') in ``database`` -- parquet, partitioned as in
+    ``schemas.PARTITIONING``; ``reset`` drops them first."""
+    kind = kind or (database if database in schemas.CATALOGUE else "experiment")
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}{loc}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
     made = []
-    for name in schemas.CATALOGUE[namespace]:
-        full = f"{namespace}.{name}"
+    for name in schemas.CATALOGUE[kind]:
+        full = f"{database}.{name}"
         if reset:
             spark.sql(f"DROP TABLE IF EXISTS {full}")
         parts = schemas.PARTITIONING.get(name)
@@ -130,6 +133,10 @@ def delete_where(spark: SparkSession, table: str, predicate: Column, partition_c
     w.saveAsTable(staging)
     spark.sql(f"DROP TABLE {table}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    if part_cols:
+        # The rename moves the files; partition locations are re-discovered.
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.sql(f"REFRESH TABLE {table}")
 
 
 def append_experiment_record(record: DataFrame, table: str = "experiment.experiments") -> None:
