@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splitlens.functions.normal import two_sided_p, z_quantile
+from splitlens.functions.text import fixed_str
 
 # Fixed values of the read-out.
 ALPHA = 0.05
@@ -134,8 +135,8 @@ def format_delta(x: Column, is_percent: bool = True) -> Column:
     """'+12.35%' / '-12.35%' (percent) or '+0.1235' text."""
     sign = F.when(x >= 0, F.lit("+")).otherwise(F.lit(""))
     if is_percent:
-        return F.concat(sign, F.format_string("%.2f%%", x * 100))
-    return F.concat(sign, F.format_string("%.4f", x))
+        return F.concat(sign, fixed_str(x * 100, 2), F.lit("%"))
+    return F.concat(sign, fixed_str(x, 4))
 
 
 METRIC_COLUMNS = ("visitors", "clicks", "buyers", "revenue", "ctr", "cvr", "aov", "arpu")
@@ -153,7 +154,7 @@ def metrics_delta(weighted: DataFrame, columns=METRIC_COLUMNS) -> DataFrame:
         pct = (b - a) / F.nullif(a, F.lit(0.0)) * 100
         delta = (F.when(a.isNull() | b.isNull() | (a == 0), F.lit("N/A"))
                  .otherwise(F.concat(F.when(pct >= 0, F.lit("+")).otherwise(F.lit("")),
-                                     F.format_string("%.1f%%", pct))))
+                                     fixed_str(pct, 1), F.lit("%"))))
         rows.append(F.struct(F.lit(c).alias("metric"), a.alias("control"), b.alias("test"),
                              delta.alias("delta")))
     return (ct.select("run_id", F.explode(F.array(*rows)).alias("d"))

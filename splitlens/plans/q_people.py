@@ -117,7 +117,7 @@ SELECT o_orderpriority, count(*) AS population, count(CASE WHEN b < 10 THEN 1 EN
        sum(CASE WHEN b < 10 THEN o_totalprice END)
          * (cast(count(*) AS double) / nullif(count(CASE WHEN b < 10 THEN 1 END), 0)) AS estimated_total
 FROM (SELECT o_orderpriority, o_totalprice, {bucket_sql_duckdb('o_orderkey')} AS b FROM orders) o
-GROUP BY 1""", doubles=("weight", "true_total", "estimated_total"))
+GROUP BY 1""", doubles=("weight", "true_total", "estimated_total"), digits=4)
 def q_sample_weights(fx):
     o = fx.table("orders", ["o_orderkey", "o_orderpriority", "o_totalprice"])
     return segments.stratified_sample_weights(o, "o_orderpriority", "o_orderkey", "o_totalprice", sample_pct=10)
