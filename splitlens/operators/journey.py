@@ -1,9 +1,30 @@
-"""User journeys: events of a run in order, with neighbours and funnel stage."""
+"""User journeys: events of a run in order, with neighbours and funnel stage.
+
+A journey is a window over (run_id, user_id) ordered by (timestamp,
+event_id).  A plain window sends each group to one task, so one bot or shared
+id holding a large share of a run's events would be sorted and scanned by a
+single task.  The default plan splits groups instead:
+
+1. the joined rows are range-partitioned on (run_id, user_id, timestamp,
+   event_id) -- Spark samples the bounds, so a hot group is spread over many
+   partitions in time order -- and sorted within each partition;
+2. one vectorised pass per partition (Arrow batches, ``mapInPandas``) numbers
+   the rows and takes the previous / next event inside the partition;
+3. each partition is summarised by its first and last row (one row per
+   partition), and the offsets of groups that continue from earlier
+   partitions are chained over those summaries;
+4. the summary table -- bounded by the partition count, so broadcast -- fixes
+   the rows at partition edges.
+
+``skew_safe=False`` gives the plain window (one shuffle fewer, for data
+known to have no hot groups).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed funnel stages of the modelled application (first match wins).
 STAGE_AWARENESS = "Awareness"
@@ -11,6 +32,8 @@ STAGE_INTEREST = "Interest"
 STAGE_CONVERSION = "Conversion"
 STAGE_OTHER = "Other"
 
+ORDER = ["run_id", "user_id", "timestamp", "event_id"]
+
 
 def funnel_stage(name: Column) -> Column:
     return (F.when(name.like("banner%"), F.lit(STAGE_AWARENESS))
@@ -19,30 +42,134 @@ def funnel_stage(name: Column) -> Column:
             .otherwise(F.lit(STAGE_OTHER)))
 
 
-def user_journey(events: DataFrame, assignments: DataFrame, run_ids=None) -> DataFrame:
-    """Every event of every run with its user's variant and weight, its
-    position in the user's sequence (ties by event id), previous and next
-    event name, seconds since the previous event, and funnel stage.
-
-    Events join assignments on (user_id, run_id) and the window partitions by
-    the same keys, so both reuse one hash partitioning."""
+def _joined(events: DataFrame, assignments: DataFrame, run_ids) -> DataFrame:
     e = events.filter(F.col("run_id").isNotNull())
     a = assignments.filter(F.col("run_id").isNotNull())
     if run_ids is not None:
         e = e.filter(F.col("run_id").isin(list(run_ids)))
         a = a.filter(F.col("run_id").isin(list(run_ids)))
     j = e.join(a.select("user_id", "run_id", "variant", "weight"), ["user_id", "run_id"], "left")
-    w = Window.partitionBy("run_id", "user_id").orderBy("timestamp", "event_id")
-    prev_ts = F.lag("timestamp").over(w)
-    return j.select(
+    return j.select("event_id", "user_id", "run_id", "variant", "event_name", "timestamp", "value", "weight")
+
+
+def _finish(df: DataFrame, seq, prev_event, prev_ts, next_event) -> DataFrame:
+    return df.select(
         "event_id", "user_id", "run_id", "variant", "event_name", "timestamp", "value", "weight",
-        F.row_number().over(w).alias("event_sequence"),
-        F.lag("event_name").over(w).alias("prev_event"),
-        F.lead("event_name").over(w).alias("next_event"),
+        seq.cast("int").alias("event_sequence"), prev_event.alias("prev_event"), next_event.alias("next_event"),
         (F.unix_timestamp("timestamp") - F.unix_timestamp(prev_ts)).alias("time_since_last_event"),
         funnel_stage(F.col("event_name")).alias("funnel_stage"))
 
 
+def _window_journey(j: DataFrame) -> DataFrame:
+    w = Window.partitionBy("run_id", "user_id").orderBy("timestamp", "event_id")
+    return _finish(j, F.row_number().over(w), F.lag("event_name").over(w), F.lag("timestamp").over(w),
+                   F.lead("event_name").over(w))
+
+
+def _local_pass(batches):
+    """Per sorted partition: local sequence, previous and next event.  The
+    last row of each Arrow batch waits for the next batch (its successor)."""
+    import pandas as pd
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId()
+    carry = None        # (run, user, seq, name, ts) of the row before this batch
+    pending = None      # last row of the previous batch, still missing its successor
+    for pdf in batches:
+        if len(pdf) == 0:
+            continue
+        run = pdf["run_id"].to_numpy(object)
+        user = pdf["user_id"].to_numpy(object)
+        name = pdf["event_name"]
+        ts = pdf["timestamp"]
+        n = len(pdf)
+        same_prev = pd.Series(False, index=pdf.index)
+        if n > 1:
+            same_prev.iloc[1:] = (run[1:] == run[:-1]) & (user[1:] == user[:-1])
+        cont = carry is not None and run[0] == carry[0] and user[0] == carry[1]
+        same_prev.iloc[0] = cont
+        gid = (~same_prev).cumsum()
+        seq = pdf.groupby(gid.to_numpy()).cumcount() + 1
+        if cont:
+            seq = seq + (gid == 0) * carry[2]
+        prev_name = name.shift(1).where(same_prev, None)
+        prev_ts = ts.shift(1).where(same_prev)
+        if cont:
+            prev_name.iloc[0] = carry[3]
+            prev_ts.iloc[0] = carry[4]
+        same_next = same_prev.shift(-1, fill_value=False)
+        next_name = name.shift(-1).where(same_next, None)
+        out = pdf.assign(_part=part, _seq=seq.astype("int64"), _prev_event=prev_name, _prev_ts=prev_ts,
+                         _next_event=next_name)
+        if pending is not None:
+            if cont:
+                pending["_next_event"] = name.iloc[0]
+            yield pending
+        pending = out.iloc[[n - 1]].copy()
+        if n > 1:
+            yield out.iloc[: n - 1]
+        carry = (run[-1], user[-1], int(seq.iloc[-1]), name.iloc[-1], ts.iloc[-1])
+    if pending is not None:
+        yield pending
+
+
+def _split_journey(j: DataFrame, partitions: int) -> DataFrame:
+    sorted_parts = j.repartitionByRange(partitions, *ORDER).sortWithinPartitions(*ORDER)
+    schema = T.StructType(sorted_parts.schema.fields + [
+        T.StructField("_part", T.IntegerType()), T.StructField("_seq", T.LongType()),
+        T.StructField("_prev_event", T.StringType()), T.StructField("_prev_ts", T.TimestampNTZType()),
+        T.StructField("_next_event", T.StringType())])
+    local = sorted_parts.mapInPandas(_local_pass, schema)
+
+    # One row per partition: first row, last row (with its local sequence).
+    key = F.struct(*ORDER)
+    first = F.min_by(F.struct("run_id", "user_id", "event_name", "timestamp"), key)
+    last = F.max_by(F.struct("run_id", "user_id", "event_name", "timestamp", "_seq"), key)
+    s = local.groupBy("_part").agg(first.alias("f"), last.alias("l"))
+    # Chain groups over consecutive partitions; at most one row per partition,
+    # so these windows run over a table bounded by the partition count.
+    w = Window.orderBy("_part")
+    fk = F.struct("f.run_id", "f.user_id")
+    lk = F.struct("l.run_id", "l.user_id")
+    s = s.withColumn("_lk", lk).withColumn("_fk", fk)
+    s = s.withColumn("_prev_lk", F.lag("_lk").over(w))
+    s = s.withColumn("_chain", F.sum(F.when(F.col("_prev_lk").eqNullSafe(F.col("_lk")), 0).otherwise(1)).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    s = s.withColumn("_cum", F.sum("l._seq").over(
+        Window.partitionBy("_chain").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)))
+    fix = s.select(
+        "_part", F.col("_fk").alias("fx_fk"), F.col("_lk").alias("fx_lk"), F.col("l._seq").alias("fx_last_seq"),
+        F.col("_fk").eqNullSafe(F.col("_prev_lk")).alias("fx_cont"),
+        F.coalesce(F.lag("_cum").over(w), F.lit(0)).alias("fx_offset"),
+        F.lag("l.event_name").over(w).alias("fx_prev_name"), F.lag("l.timestamp").over(w).alias("fx_prev_ts"),
+        F.lead("_fk").over(w).alias("fx_next_fk"), F.lead("f.event_name").over(w).alias("fx_next_name"))
+
+    x = local.join(F.broadcast(fix), "_part")
+    mine = F.struct("run_id", "user_id")
+    in_first = mine.eqNullSafe(F.col("fx_fk")) & F.col("fx_cont")
+    head = in_first & (F.col("_seq") == 1)
+    tail = mine.eqNullSafe(F.col("fx_lk")) & (F.col("_seq") == F.col("fx_last_seq")) & \
+        F.col("fx_next_fk").eqNullSafe(F.col("fx_lk"))
+    seq = F.col("_seq") + F.when(in_first, F.col("fx_offset")).otherwise(F.lit(0))
+    prev_event = F.when(head, F.col("fx_prev_name")).otherwise(F.col("_prev_event"))
+    prev_ts = F.when(head, F.col("fx_prev_ts")).otherwise(F.col("_prev_ts"))
+    next_event = F.when(tail, F.col("fx_next_name")).otherwise(F.col("_next_event"))
+    return _finish(x, seq, prev_event, prev_ts, next_event)
+
+
+def user_journey(events: DataFrame, assignments: DataFrame, run_ids=None, skew_safe: bool = True,
+                 partitions: int | None = None) -> DataFrame:
+    """Every event of every run with its user's variant and weight, its
+    position in the user's sequence (ties by event id), previous and next
+    event name, seconds since the previous event, and funnel stage."""
+    j = _joined(events, assignments, run_ids)
+    if not skew_safe:
+        return _window_journey(j)
+    spark = events.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return _split_journey(j, n)
+
+
 def write_journey_csv(journey: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV export with a header (one file per partition; no driver collect)."""
     (journey.orderBy("run_id", "user_id", "event_sequence")
