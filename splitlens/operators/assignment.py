@@ -77,7 +77,9 @@ def assign_once(requests: DataFrame, existing: DataFrame) -> DataFrame:
     first = F.min(F.struct("assigned_at", "experiment_id", "variant", "weight")).alias("f")
     batch = (requests.groupBy("user_id", "run_id").agg(first)
              .select("user_id", "run_id", "f.assigned_at", "f.experiment_id", "f.variant", "f.weight"))
-    keys = existing.select(F.col("user_id").alias("x_user"), F.col("run_id").alias("x_run"))
+    # Distinct stored keys (a partial aggregate): repeated pairs cannot pile up
+    # on one join task.
+    keys = existing.select(F.col("user_id").alias("x_user"), F.col("run_id").alias("x_run")).distinct()
     cond = (batch.user_id == keys.x_user) & batch.run_id.eqNullSafe(keys.x_run)
     return batch.join(keys, cond, "left_anti")
 

@@ -52,11 +52,15 @@ def _per_day(j: DataFrame) -> DataFrame:
 
 
 def build_mart(assignments: DataFrame, events: DataFrame, metrics=OPTIONAL_METRICS,
-               dedup_assignments: bool = False) -> DataFrame:
+               dedup_assignments: bool = False, baseline_only: bool = False) -> DataFrame:
     """Daily KPI mart: report_date, total_users, click_count, total_orders and
     the selected optional metrics.  ``dedup_assignments`` counts a user once
     per day however many assignment rows they have (the default keeps the
-    row-level join's multiplication)."""
+    row-level join's multiplication); ``baseline_only`` keeps only traffic
+    outside experiment runs (run_id IS NULL)."""
+    if baseline_only:
+        assignments = assignments.filter(F.col("run_id").isNull())
+        events = events.filter(F.col("run_id").isNull())
     a = _assignment_fold(assignments)
     if dedup_assignments:
         a = a.withColumn("n_assign", F.lit(1).cast("long"))

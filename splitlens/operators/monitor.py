@@ -96,19 +96,24 @@ def kpi_funnel(mart: DataFrame) -> DataFrame:
 
 
 def kpi_alerts(mart: DataFrame, ctr_min: float = CTR_MIN, revenue_ratio_min: float = REVENUE_RATIO_MIN,
-               cvr_min: float = CVR_MIN, latest_only: bool = False) -> DataFrame:
+               cvr_min: float = CVR_MIN, latest_only: bool = False, consecutive_days: int = 1) -> DataFrame:
     """Alert rows (report_date, level, metric, value, threshold, drop_pct):
     CTR below ``ctr_min`` (Critical), revenue below ``revenue_ratio_min`` of the
     previous day with previous > 0 (Warning), CVR below ``cvr_min`` (Critical).
-    Missing metric columns raise no alert.  Evaluated for every day; the
-    window runs over the mart, one row per day."""
+    Missing metric columns raise no alert.  ``consecutive_days`` > 1 raises
+    the CTR alert only after that many low days in a row.  Evaluated for every
+    day; the windows run over the mart, one row per day."""
     cols = set(mart.columns)
     m = mart.filter(F.col("report_date").isNotNull())
+    if "ctr" in cols and consecutive_days > 1:
+        run = Window.orderBy("report_date").rowsBetween(-(consecutive_days - 1), 0)
+        m = m.withColumn("_low_days", F.sum(F.when(F.col("ctr") < ctr_min, 1).otherwise(0)).over(run))
     if "total_revenue" in cols:
         m = m.withColumn("_prev_rev", F.lag("total_revenue").over(Window.orderBy("report_date")))
     rules = []
     if "ctr" in cols:
-        rules.append(F.when(F.col("ctr") < ctr_min, F.struct(
+        low = (F.col("_low_days") >= consecutive_days) if consecutive_days > 1 else (F.col("ctr") < ctr_min)
+        rules.append(F.when(low, F.struct(
             F.lit("Critical").alias("level"), F.lit("ctr").alias("metric"), F.col("ctr").alias("value"),
             F.lit(ctr_min).alias("threshold"), F.lit(None).cast("double").alias("drop_pct"))))
     if "total_revenue" in cols:
@@ -132,7 +137,7 @@ def kpi_alerts(mart: DataFrame, ctr_min: float = CTR_MIN, revenue_ratio_min: flo
     if latest_only:
         newest = m.agg(F.max("report_date").alias("_d"))
         out = out.join(F.broadcast(newest), out.report_date == newest._d).drop("_d")
-    return out
+    return out.drop("_low_days") if "_low_days" in out.columns else out
 
 
 def kpi_threshold_series(mart: DataFrame, metric: str, threshold: float | None) -> DataFrame:
@@ -153,11 +158,14 @@ def _display(df: DataFrame) -> DataFrame:
             .withColumn("label", label))
 
 
-def recent_events(events: DataFrame, k: int = 3, by: str | None = None) -> DataFrame:
+def recent_events(events: DataFrame, k: int = 3, by: str | None = None, user_like: str | None = None) -> DataFrame:
     """Newest ``k`` events overall, or per ``by`` (e.g. run_id), ties broken by
-    event id, with display fields.  Per group this is a window top-k, which
-    Spark limits per partition before the shuffle (WindowGroupLimit)."""
+    event id, with display fields; ``user_like`` restricts to an id family
+    (e.g. 'user_hist_%').  Per group this is a window top-k, which Spark
+    limits per partition before the shuffle (WindowGroupLimit)."""
     cols = ["event_id", "user_id", "event_name", "value", "timestamp", "run_id"]
+    if user_like:
+        events = events.filter(F.col("user_id").like(user_like))
     if by is None:
         top = events.select(*cols).orderBy(F.desc("timestamp"), F.desc("event_id")).limit(k)
         top = top.withColumn("rank", F.lit(None).cast("int"))

@@ -139,3 +139,17 @@ def guardrail_results(records: DataFrame) -> DataFrame:
                     F.when(F.col("r.passed"), F.lit("Pass")).when(F.col("r.metric").isNotNull(), F.lit("Fail"))
                     .alias("status"),
                     (F.col("r.lift") * 100).alias("lift_pct")))
+
+
+def for_display(df: DataFrame, order_by=None, limit: int | None = None,
+                header_map: dict | None = None) -> DataFrame:
+    """Edge-of-pipeline presentation: optional sort (a top-k when ``limit`` is
+    given), first rows, and display headers (e.g. localised names)."""
+    out = df
+    if order_by:
+        out = out.orderBy(*order_by)
+    if limit is not None:
+        out = out.limit(limit)
+    for old, new in (header_map or {}).items():
+        out = out.withColumnRenamed(old, new)
+    return out

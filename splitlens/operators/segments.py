@@ -139,3 +139,13 @@ def stratified_sample_weights(df: DataFrame, stratum: str, id_col: str, value_co
     w = F.col("population").cast("double") / F.nullif(F.col("sampled"), F.lit(0)).cast("double")
     return g.select(stratum, "population", "sampled", w.alias("weight"), "true_total",
                     (F.col("_sampled_total") * w).alias("estimated_total"))
+
+
+def sample_by_stratum(df: DataFrame, stratum: str, fractions: dict, seed: int = 42) -> DataFrame:
+    """Bernoulli sample per stratum (``sampleBy``) with weight = 1 / fraction,
+    so weighted sums estimate the population (strata missing from
+    ``fractions`` are not sampled)."""
+    w = F.lit(None).cast("double")
+    for k, f in fractions.items():
+        w = F.when(F.col(stratum) == k, F.lit(1.0 / f)).otherwise(w) if f > 0 else w
+    return df.sampleBy(stratum, fractions, seed).withColumn("weight", w)

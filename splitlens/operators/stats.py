@@ -161,19 +161,23 @@ def metrics_delta(weighted: DataFrame, columns=METRIC_COLUMNS) -> DataFrame:
             .select("run_id", "d.metric", "d.control", "d.test", "d.delta"))
 
 
-def sample_size_col(baseline: Column, mde: Column, alpha: float = ALPHA, power: float = POWER) -> Column:
-    """Users per group for a two-proportion test (truncated like int())."""
+def sample_size_col(baseline: Column, mde: Column, alpha: float = ALPHA, power: float = POWER,
+                    ceil: bool = False) -> Column:
+    """Users per group for a two-proportion test, truncated like int()
+    (``ceil=True`` rounds up, the conservative choice)."""
     za, zb = z_quantile(1 - alpha / 2), z_quantile(power)
     p1 = baseline.cast("double")
     p2 = p1 * (1 + mde)
     pbar = (p1 + p2) / 2
     n = 2 * pbar * (1 - pbar) * F.lit((za + zb) ** 2) / F.pow(p1 - p2, 2)
+    n = F.ceil(n) if ceil else n
     return F.when(p1 == p2, F.lit(0)).otherwise(n.cast("long")).cast("long")
 
 
 def sample_size(designs: DataFrame, baseline_col: str = "baseline", mde_col: str = "mde",
-                alpha: float = ALPHA, power: float = POWER) -> DataFrame:
-    return designs.withColumn("n_per_group", sample_size_col(F.col(baseline_col), F.col(mde_col), alpha, power))
+                alpha: float = ALPHA, power: float = POWER, ceil: bool = False) -> DataFrame:
+    return designs.withColumn("n_per_group",
+                              sample_size_col(F.col(baseline_col), F.col(mde_col), alpha, power, ceil))
 
 
 def traffic_plan(plans: DataFrame, n_col: str = "n_per_group", split_col: str = "control_split_pct") -> DataFrame:

@@ -9,7 +9,7 @@ because the two engines add in different orders.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +27,6 @@ class Entry:
     build: Callable[[Fixtures], DataFrame]
     sql: str | None
     doubles: tuple = ()
-    ids: tuple = field(default_factory=tuple)
     digits: int = ROUND_DIGITS
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,12 +44,12 @@ class Entry:
 REGISTRY: dict[str, Entry] = {}
 
 
-def register(name: str, sql: str | None, doubles=(), ids=(), digits: int = ROUND_DIGITS):
+def register(name: str, sql: str | None, doubles=(), digits: int = ROUND_DIGITS):
     """Register a query; ``doubles`` are rounded to ``digits`` places on both
     sides (fewer places for large sums, whose last bits depend on the order
     of addition)."""
     def deco(fn):
-        REGISTRY[name] = Entry(name, fn, sql, tuple(doubles), tuple(ids), digits)
+        REGISTRY[name] = Entry(name, fn, sql, tuple(doubles), digits)
         return fn
     return deco
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from splitlens.operators.maintenance import delete_rows, evolve
+from splitlens.session import checkpoint_dir
 from splitlens.sources import schemas
 
 EVENT_DATE = "event_date"
@@ -118,7 +119,7 @@ def delete_where(spark: SparkSession, table: str, predicate: Column, partition_c
     """DELETE FROM table WHERE predicate.  A predicate on the partition column
     drops that partition; anything else rewrites the table through a staging
     table (the rows are read from the old files, written once, then the names
-    are swapped)."""
+    are swapped, so a failure before the swap leaves the table as it was)."""
     if partition_col is not None:
         lit = "NULL" if partition_value is None else f"'{partition_value}'"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {lit})")
@@ -131,14 +132,39 @@ def delete_where(spark: SparkSession, table: str, predicate: Column, partition_c
     if part_cols:
         w = w.partitionBy(*part_cols)
     w.saveAsTable(staging)
-    spark.sql(f"DROP TABLE {table}")
+    # Swap by renames: until the staging table is complete the original is
+    # untouched, and it is dropped only after the new one is in place.
+    old = f"{table}__old"
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {old}")
     if part_cols:
         # The rename moves the files; partition locations are re-discovered.
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.sql(f"REFRESH TABLE {table}")
 
 
+def copy_tables(spark: SparkSession, src_db: str, dst_db: str, keys: dict[str, list[str]]) -> dict[str, bool]:
+    """Copy each table's rows that the destination lacks (insert ... on
+    conflict do nothing), skipping empty sources; returns which were copied."""
+    from splitlens.operators.maintenance import copy_new_rows
+    done = {}
+    for table, key in keys.items():
+        src = spark.table(f"{src_db}.{table}")
+        if src.isEmpty():
+            done[table] = False
+            continue
+        dst = spark.table(f"{dst_db}.{table}")
+        # The new rows are written to the shared checkpoint folder before they
+        # are appended to the very table they were compared against.
+        checkpoint_dir(spark)
+        staged = copy_new_rows(src, dst, key).checkpoint(eager=True)
+        insert_by_name(staged, f"{dst_db}.{table}")
+        done[table] = True
+    return done
+
+
 def append_experiment_record(record: DataFrame, table: str = "experiment.experiments") -> None:
     """Append experiment records stamped with created_at and an id."""
     r = record.withColumn("created_at", F.localtimestamp())

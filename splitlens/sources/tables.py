@@ -29,6 +29,12 @@ def load(spark: SparkSession, namespace: str, name: str) -> DataFrame:
     return spark.table(f"{namespace}.{name}")
 
 
+def run_query(spark: SparkSession, sql: str, args: dict | None = None) -> DataFrame:
+    """SQL with bound parameters (``:name`` markers), never string-formatted
+    values; errors propagate instead of turning into empty results."""
+    return spark.sql(sql, args=args) if args else spark.sql(sql)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer: bool = False) -> DataFrame:
     """CSV with a header.  An explicit schema is the default; inference is opt-in
