@@ -25,6 +25,10 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Exact types for weighted money sums (money to 6 places, weights to 4).
+MONEY_DECIMAL = "decimal(20,6)"
+WEIGHT_DECIMAL = "decimal(10,4)"
+
 # Fixed event names of the modelled application.
 CLICK_BANNER = "click_banner"
 PURCHASE = "purchase"
@@ -164,7 +168,12 @@ def weighted_metrics(assignments: DataFrame, events: DataFrame, run_ids=None) ->
     sw = F.sum(w)
     s_click = F.sum(F.when(F.col("clicked") == 1, w).otherwise(F.lit(0.0)))
     s_buy = F.sum(F.when(F.col("purchased") == 1, w).otherwise(F.lit(0.0)))
-    s_rev = F.sum(F.col("ev_revenue") * w)
+    # Revenue x weight is summed exactly: these sums often sit exactly on .5,
+    # where a floating sum would round either way depending on addition order.
+    wd = w.cast(WEIGHT_DECIMAL)
+    s_rev = F.sum(F.col("ev_revenue").cast(MONEY_DECIMAL) * wd)
+    s_buy_d = F.sum(F.when(F.col("purchased") == 1, wd).otherwise(F.lit(0).cast(WEIGHT_DECIMAL)))
+    s_w_d = F.sum(wd)
     return (per_user.groupBy("run_id", "variant")
             .agg(F.round(sw, 0).cast("int").alias("visitors"),
                  F.round(s_click, 0).cast("int").alias("clicks"),
@@ -172,8 +181,8 @@ def weighted_metrics(assignments: DataFrame, events: DataFrame, run_ids=None) ->
                  F.round(s_rev, 0).cast("long").alias("revenue"),
                  F.round(s_click / F.nullif(sw, F.lit(0.0)) * 100, 2).alias("ctr"),
                  F.round(s_buy / F.nullif(sw, F.lit(0.0)) * 100, 2).alias("cvr"),
-                 F.round(s_rev / F.nullif(s_buy, F.lit(0.0)), 0).cast("int").alias("aov"),
-                 F.round(s_rev / F.nullif(sw, F.lit(0.0)), 0).cast("int").alias("arpu")))
+                 F.round(s_rev / F.nullif(s_buy_d, F.lit(0).cast(WEIGHT_DECIMAL)), 0).cast("int").alias("aov"),
+                 F.round(s_rev / F.nullif(s_w_d, F.lit(0).cast(WEIGHT_DECIMAL)), 0).cast("int").alias("arpu")))
 
 
 def variant_users(assignments: DataFrame) -> DataFrame:

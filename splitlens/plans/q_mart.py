@@ -67,7 +67,7 @@ SELECT report_date, total_users, total_revenue, total_orders, click_count,
        cast(click_count AS double) / nullif(total_users, 0) AS ctr,
        cast(total_orders AS double) / nullif(click_count, 0) AS cvr,
        total_revenue / nullif(total_orders, 0) AS aov
-FROM daily_stats WHERE report_date IS NOT NULL""", doubles=("total_revenue", "ctr", "cvr", "aov"))
+FROM daily_stats WHERE report_date IS NOT NULL""", doubles=("total_revenue", "ctr", "cvr", "aov"), digits=6)
 def q_kpi_etl(fx):
     return mart.build_etl_mart(fx.assignments, fx.events)
 
