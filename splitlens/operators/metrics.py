@@ -99,14 +99,22 @@ def run_user_events(events: DataFrame, predicates: dict[str, Callable[[Column],
             .groupBy("run_id", "user_id").agg(*aggs))
 
 
-def _joined(assignments: DataFrame, events: DataFrame, predicates, run_ids=None) -> DataFrame:
+# Every read-out flag, folded in one pass: the read-outs below share this
+# fold, so a plan that needs several of them (e.g. the experiment record)
+# reuses one events exchange instead of folding the events again.
+ALL_FLAGS = {"readout_click": is_click_readout, "clicked": is_click_any,
+             "purchased": is_purchase, "bounced": is_bounce}
+SPEC_FLAG = {"CTR": "readout_click", "CVR": "purchased", "AOV": "purchased", "Bounce": "bounced"}
+
+
+def _joined(assignments: DataFrame, events: DataFrame, predicates=None, run_ids=None) -> DataFrame:
     a = assignments.filter(F.col("run_id").isNotNull())
     e = events
     if run_ids is not None:
         a = a.filter(F.col("run_id").isin(list(run_ids)))
         e = e.filter(F.col("run_id").isin(list(run_ids)))
     a = a.select("run_id", "variant", "user_id", "weight")
-    return a.join(run_user_events(e, predicates), ["run_id", "user_id"], "left")
+    return a.join(run_user_events(e, predicates or ALL_FLAGS), ["run_id", "user_id"], "left")
 
 
 def _max0(c: str) -> Column:
@@ -119,38 +127,58 @@ def _sum0(c: str) -> Column:
 
 def user_metrics(assignments: DataFrame, events: DataFrame, run_ids=None) -> DataFrame:
     """One row per (run_id, variant, user_id, weight): n_assign, the flags
-    clicked/purchased/bounced/readout_click, revenue and n_events (both
+    readout_click/clicked/purchased/bounced, revenue and n_events (both
     multiplied by n_assign, as the row-level join would)."""
-    preds = {"readout_click": is_click_readout, "clicked": is_click_any,
-             "purchased": is_purchase, "bounced": is_bounce}
-    j = _joined(assignments, events, preds, run_ids)
+    j = _joined(assignments, events, None, run_ids)
     return (j.groupBy("run_id", "variant", "user_id", "weight")
             .agg(F.count(F.lit(1)).alias("n_assign"),
-                 *[_max0(k) for k in preds],
+                 *[_max0(k) for k in ALL_FLAGS],
                  _sum0("ev_revenue"), F.coalesce(F.sum("ev_events"), F.lit(0)).alias("ev_events"))
             .withColumnRenamed("ev_revenue", "revenue")
             .withColumnRenamed("ev_events", "n_events"))
 
 
+def _per_user(assignments: DataFrame, events: DataFrame, run_ids=None) -> DataFrame:
+    """(run_id, variant, user_id): flags and revenue from the shared fold."""
+    j = _joined(assignments, events, None, run_ids)
+    return j.groupBy("run_id", "variant", "user_id").agg(*[_max0(k) for k in ALL_FLAGS], _sum0("ev_revenue"))
+
+
 def ab_primary(assignments: DataFrame, events: DataFrame, metric: str | MetricSpec = "CTR",
                run_ids=None) -> DataFrame:
     """(run_id, variant, users, conversions): distinct assigned users and
     distinct users with a converting event in the same run."""
     spec = metric_spec(metric)
-    j = _joined(assignments, events, {"conv": spec.predicate}, run_ids)
-    per_user = j.groupBy("run_id", "variant", "user_id").agg(_max0("conv"))
+    flag = SPEC_FLAG.get(spec.name) if METRICS.get(spec.name) is spec else None
+    if flag is None:
+        # A custom metric: its own fold.
+        j = _joined(assignments, events, {"conv": spec.predicate}, run_ids)
+        per_user = j.groupBy("run_id", "variant", "user_id").agg(_max0("conv"))
+    else:
+        per_user = _per_user(assignments, events, run_ids).withColumnRenamed(flag, "conv")
     return (per_user.groupBy("run_id", "variant")
             .agg(F.count(F.lit(1)).alias("users"), F.sum("conv").cast("long").alias("conversions")))
 
 
 def guardrail_counts(assignments: DataFrame, events: DataFrame, run_ids=None) -> DataFrame:
     """(run_id, variant, users, conversions, revenue, clicks, bounces) in one pass."""
-    preds = {"purchased": is_purchase, "clicked": is_click_any, "bounced": is_bounce}
-    j = _joined(assignments, events, preds, run_ids)
-    per_user = (j.groupBy("run_id", "variant", "user_id")
-                .agg(_max0("purchased"), _max0("clicked"), _max0("bounced"), _sum0("ev_revenue")))
+    per_user = _per_user(assignments, events, run_ids)
+    return (per_user.groupBy("run_id", "variant")
+            .agg(F.count(F.lit(1)).alias("users"),
+                 F.sum("purchased").cast("long").alias("conversions"),
+                 F.sum("ev_revenue").alias("revenue"),
+                 F.sum("clicked").cast("long").alias("clicks"),
+                 F.sum("bounced").cast("long").alias("bounces")))
+
+
+def run_outcomes(assignments: DataFrame, events: DataFrame, run_ids=None) -> DataFrame:
+    """Every read-out count per (run_id, variant) in one aggregate: users,
+    readout (primary-metric converters), conversions (purchasers), revenue,
+    clicks, bounces -- the input of a one-pass experiment record."""
+    per_user = _per_user(assignments, events, run_ids)
     return (per_user.groupBy("run_id", "variant")
             .agg(F.count(F.lit(1)).alias("users"),
+                 F.sum("readout_click").cast("long").alias("readout"),
                  F.sum("purchased").cast("long").alias("conversions"),
                  F.sum("ev_revenue").alias("revenue"),
                  F.sum("clicked").cast("long").alias("clicks"),
@@ -160,8 +188,7 @@ def guardrail_counts(assignments: DataFrame, events: DataFrame, run_ids=None) ->
 def weighted_metrics(assignments: DataFrame, events: DataFrame, run_ids=None) -> DataFrame:
     """Weight-adjusted metric table per (run_id, variant): every sampled user
     counts ``weight`` times.  Rounding and integer casts as in the read-out."""
-    preds = {"clicked": is_click_any, "purchased": is_purchase}
-    j = _joined(assignments, events, preds, run_ids)
+    j = _joined(assignments, events, None, run_ids)
     per_user = (j.groupBy("run_id", "variant", "user_id", "weight")
                 .agg(_max0("clicked"), _max0("purchased"), _sum0("ev_revenue")))
     w = F.col("weight")

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splitlens.operators.assignment import latest_adoption
-from splitlens.operators.stats import DECISION_LOSER, DECISION_NONE, DECISION_WINNER, GUARDRAILS
+from splitlens.operators.stats import (ALPHA, DECISION_LOSER, DECISION_NONE, DECISION_WINNER, GUARD_COLUMNS,
+                                      GUARDRAILS, control_test, guardrail_array, with_p_value, z_test)
 from splitlens.sources.schemas import GUARDRAIL_RESULTS, VARIANT_CONFIG
 
 UNCLASSIFIED = "unclassified"
@@ -20,6 +21,18 @@ NOT_AVAILABLE = "N/A"
 DEFAULT_WINNER = "B"
 
 
+def _guardrail_fields(arr: str) -> list:
+    """JSON text, pass count and 'metric:Pass,...' summary of a guardrail array."""
+    clean = F.transform(arr, lambda x: F.struct(x["metric"].alias("metric"), x["control"].alias("control"),
+                                                x["test"].alias("test"), x["lift"].alias("lift"),
+                                                x["passed"].alias("passed")))
+    summary = F.array_join(F.transform(arr, lambda x: F.concat(
+        x["metric"], F.lit(":"), F.when(x["passed"], F.lit("Pass")).otherwise(F.lit("Fail")))), ",")
+    passed = F.aggregate(arr, F.lit(0), lambda acc, x: acc + F.when(x["passed"], 1).otherwise(0))
+    return [F.to_json(clean).alias("guardrail_results"), passed.alias("guardrails_passed"),
+            summary.alias("guardrail_summary")]
+
+
 def guardrail_json(verdicts: DataFrame, order=GUARDRAILS) -> DataFrame:
     """(run_id, guardrail_results JSON, guardrails_passed, guardrail_summary)
     from long-form verdicts.  Each run holds one entry per guardrail metric,
@@ -27,14 +40,22 @@ def guardrail_json(verdicts: DataFrame, order=GUARDRAILS) -> DataFrame:
     idx = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("metric"))
     items = F.sort_array(F.collect_list(F.struct(idx.alias("i"), "metric", "control", "test", "lift", "passed")))
     g = verdicts.groupBy("run_id").agg(items.alias("_g"))
-    clean = F.transform("_g", lambda x: F.struct(x["metric"].alias("metric"), x["control"].alias("control"),
-                                                 x["test"].alias("test"), x["lift"].alias("lift"),
-                                                 x["passed"].alias("passed")))
-    summary = F.array_join(F.transform("_g", lambda x: F.concat(
-        x["metric"], F.lit(":"), F.when(x["passed"], F.lit("Pass")).otherwise(F.lit("Fail")))), ",")
-    passed = F.aggregate("_g", F.lit(0), lambda acc, x: acc + F.when(x["passed"], 1).otherwise(0))
-    return g.select("run_id", F.to_json(clean).alias("guardrail_results"),
-                    passed.alias("guardrails_passed"), summary.alias("guardrail_summary"))
+    return g.select("run_id", *_guardrail_fields("_g"))
+
+
+def experiment_records(design: DataFrame, outcomes: DataFrame, margin_pct: float = 5.0,
+                       guardrails=GUARDRAILS, alpha: float = ALPHA) -> DataFrame:
+    """Experiment records in one pass over ``run_outcomes``: the read-out
+    (primary-metric z-test) and the guardrail results come from the same
+    pivoted row, so the events are folded once for both."""
+    ct = control_test(outcomes, ["users", "readout"] + [c for c in GUARD_COLUMNS if c != "users"])
+    t = z_test(F.col("c_users"), F.col("c_readout"), F.col("t_users"), F.col("t_readout"))
+    r = ct.select("run_id", *[v.alias(k) for k, v in t.items()],
+                  guardrail_array(margin_pct, guardrails).alias("_g"))
+    r = with_p_value(r, alpha).select("run_id", "control_rate", "test_rate", "lift", "p_value", "decision",
+                                      *_guardrail_fields("_g"))
+    rec = design.select("run_id", "target", "hypothesis", "primary_metric").join(r, "run_id")
+    return rec.withColumn("guardrails", F.lit(",".join(guardrails)))
 
 
 def experiment_record(design: DataFrame, readout: DataFrame, verdicts: DataFrame | None,

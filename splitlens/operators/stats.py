@@ -109,10 +109,9 @@ def variant_ci(counts: DataFrame, z: float = CI_Z) -> DataFrame:
 GUARDRAILS = ("CVR", "AOV", "Bounce Rate", "CTR")
 
 
-def guardrail_verdicts(gcounts: DataFrame, margin_pct: float = 5.0, metrics=GUARDRAILS) -> DataFrame:
-    """Long form (run_id, metric, control, test, lift, passed) from
-    guardrail_counts.  Pass iff lift >= -margin (bounce: lift <= margin)."""
-    ct = control_test(gcounts, ["users", "conversions", "revenue", "clicks", "bounces"])
+def guardrail_array(margin_pct: float = 5.0, metrics=GUARDRAILS) -> Column:
+    """Array of (metric, control, test, lift, passed) structs over the pivoted
+    columns c_/t_ users, conversions, revenue, clicks, bounces."""
     m = margin_pct / 100.0
     defs = {
         "CVR": (_ratio(F.col("c_conversions"), F.col("c_users")), _ratio(F.col("t_conversions"), F.col("t_users"))),
@@ -127,7 +126,17 @@ def guardrail_verdicts(gcounts: DataFrame, margin_pct: float = 5.0, metrics=GUAR
         passed = (lift <= m) if name == "Bounce Rate" else (lift >= -m)
         rows.append(F.struct(F.lit(name).alias("metric"), c.alias("control"), t.alias("test"),
                              lift.alias("lift"), passed.alias("passed")))
-    return (ct.select("run_id", F.explode(F.array(*rows)).alias("g"))
+    return F.array(*rows)
+
+
+GUARD_COLUMNS = ["users", "conversions", "revenue", "clicks", "bounces"]
+
+
+def guardrail_verdicts(gcounts: DataFrame, margin_pct: float = 5.0, metrics=GUARDRAILS) -> DataFrame:
+    """Long form (run_id, metric, control, test, lift, passed) from
+    guardrail_counts.  Pass iff lift >= -margin (bounce: lift <= margin)."""
+    ct = control_test(gcounts, GUARD_COLUMNS)
+    return (ct.select("run_id", F.explode(guardrail_array(margin_pct, metrics)).alias("g"))
             .select("run_id", "g.metric", "g.control", "g.test", "g.lift", "g.passed"))
 
 

@@ -11,9 +11,8 @@ GUARD_ORDER_SQL = ("CASE metric " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in
 
 
 def _record(fx):
-    readout = stats.ab_stats(metrics.ab_primary(fx.assignments, fx.events, "CTR"))
-    verdicts = stats.guardrail_verdicts(metrics.guardrail_counts(fx.assignments, fx.events), margin_pct=5.0)
-    return reporting.experiment_record(fx.experiments, readout, verdicts)
+    return reporting.experiment_records(fx.experiments, metrics.run_outcomes(fx.assignments, fx.events),
+                                        margin_pct=5.0)
 
 
 @register("experiment_record", f"""
