@@ -50,6 +50,26 @@ def create_tables(spark: SparkSession, database: str = "experiment", reset: bool
     return made
 
 
+def load_csv_table(spark: SparkSession, path: str, table: str, schema: T.StructType | None = None,
+                   infer: bool = False) -> bool:
+    """Load a CSV file (header row) into ``table``, replacing it; an explicit
+    schema is the default, inference is opt-in.  A missing file leaves the
+    table alone and returns False with a warning."""
+    import warnings
+
+    from splitlens.sources.tables import read_csv
+    try:
+        df = read_csv(spark, path, schema, infer)
+        df.schema  # noqa: B018 - resolves the path now
+    except Exception as ex:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(ex) or "does not exist" in str(ex):
+            warnings.warn(f"{path} not found; {table} not loaded", stacklevel=2)
+            return False
+        raise
+    replace_table(df, table)
+    return True
+
+
 def insert_by_name(df: DataFrame, table: str, overwrite: bool = False) -> None:
     """Insert matching columns by name (absent ones NULL), never by position."""
     spark = df.sparkSession

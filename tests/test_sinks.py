@@ -121,3 +121,15 @@ def test_csv_load_and_journey_export(spark, tmp_path):
     journey.write_journey_csv(journey.user_journey(e, a), out)
     back = spark.read.option("header", True).csv(out).collect()
     assert len(back) == 1 and back[0].funnel_stage == "Conversion" and os.path.isdir(out)
+
+
+def test_load_csv_table(spark, tmp_path):
+    p = tmp_path / "orders.csv"
+    p.write_text("order_id,user_id,order_at,menu_item,amount\no1,u1,2024-01-01 12:00:00,pizza,12.5\n")
+    spark.sql("CREATE DATABASE IF NOT EXISTS csv_wh")
+    assert sinks.load_csv_table(spark, str(p), "csv_wh.orders", schemas.ORDERS)
+    assert sinks.load_csv_table(spark, str(p), "csv_wh.orders", schemas.ORDERS)      # drop and recreate
+    r = spark.table("csv_wh.orders").collect()
+    assert len(r) == 1 and r[0].amount == 12.5
+    with pytest.warns(UserWarning):
+        assert not sinks.load_csv_table(spark, str(tmp_path / "missing.csv"), "csv_wh.users", schemas.USERS)
