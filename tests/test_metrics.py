@@ -170,3 +170,40 @@ def test_edge_semantics(spark):
     assert m[None].total_users == 1 and m[None].click_count == 0
     dedup = {r.report_date: r for r in mart.build_mart(a, e, dedup_assignments=True).collect()}
     assert dedup[dt.date(2024, 1, 1)].total_revenue == 42.5 and m[dt.date(2024, 1, 1)].total_revenue == 55.0
+
+
+# ---------------------------------------------------------------- properties
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+NAMES = ["banner_A", "banner", "click_banner", "purchase", "bounce", "page_view", None]
+RUNS = ["r1", "r2", None]
+USERS = ["u1", "u2", "u3", "guest"]
+
+assign_row = st.fixed_dictionaries(dict(
+    user_id=st.sampled_from(USERS), variant=st.sampled_from(["A", "B"]), run_id=st.sampled_from(RUNS),
+    weight=st.sampled_from([1.0, 1.5, 2.0, None]),
+    assigned_at=st.one_of(st.none(), st.integers(0, 2).map(lambda d: T(2024, 1, 1 + d, 9)))))
+event_row = st.fixed_dictionaries(dict(
+    user_id=st.sampled_from(USERS), event_name=st.sampled_from(NAMES), run_id=st.sampled_from(RUNS),
+    value=st.sampled_from([0.0, 1.25, 10.0]),
+    timestamp=st.integers(0, 2 * 24 * 60).map(lambda m: T(2024, 1, 1) + dt.timedelta(minutes=m))))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(assign_row, min_size=1, max_size=12), st.lists(event_row, max_size=20))
+def test_folds_equal_distinct_form_on_random_rows(spark, arows, erows):
+    a = frame(spark, ASSIGNMENTS, arows)
+    e = frame(spark, EVENTS, [dict(r, event_id=str(i)) for i, r in enumerate(erows)])
+    as_views(spark, a, e)
+    k = ["run_id", "variant", "users", "conversions"]
+    assert rows(metrics.ab_primary(a, e, "CTR"), k) == rows(spark.sql(AB_SQL), k)
+    k = ["run_id", "variant", "users", "conversions", "clicks", "bounces"]
+    assert rows(metrics.guardrail_counts(a, e), k) == rows(spark.sql(GUARD_SQL), k)
+    same_values(metrics.guardrail_counts(a, e), spark.sql(GUARD_SQL), ["run_id", "variant"], "revenue")
+    k = ["report_date", "total_users", "click_count", "total_orders"]
+    assert rows(mart.build_mart(a, e), k) == rows(spark.sql(MART_SQL), k)
+    same_values(mart.build_mart(a, e), spark.sql(MART_SQL), ["report_date"], "total_revenue")
+    same_values(mart.build_mart(a, e), spark.sql(MART_SQL), ["report_date"], "session_depth")
+    assert rows(mart.build_etl_mart(a, e), k) == rows(spark.sql(ETL_SQL), k)
