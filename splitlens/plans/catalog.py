@@ -30,7 +30,7 @@ class Entry:
     digits: int = ROUND_DIGITS
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = self.build(Fixtures(spark, sf_dir))
+        df = self.build(fixtures_for(spark, sf_dir))
         if self.doubles:
             df = df.withColumns({c: F.round(F.col(c), self.digits) for c in self.doubles})
         return df
@@ -42,6 +42,18 @@ class Entry:
 
 
 REGISTRY: dict[str, Entry] = {}
+_FIXTURES: dict[tuple, Fixtures] = {}
+
+
+def fixtures_for(spark: SparkSession, sf_dir: str) -> Fixtures:
+    """One set of fixture frames per session and directory: the test tables
+    are static, so their file listings and derived plans are built once and
+    shared by every registered query (library readers are not cached)."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    fx = _FIXTURES.get(key)
+    if fx is None:
+        fx = _FIXTURES[key] = Fixtures(spark, sf_dir)
+    return fx
 
 
 def register(name: str, sql: str | None, doubles=(), digits: int = ROUND_DIGITS):
