@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from splitlens.session import estimated_partitions
+
 # Fixed funnel stages of the modelled application (first match wins).
 STAGE_AWARENESS = "Awareness"
 STAGE_INTEREST = "Interest"
@@ -165,8 +167,9 @@ def user_journey(events: DataFrame, assignments: DataFrame, run_ids=None, skew_s
     j = _joined(events, assignments, run_ids)
     if not skew_safe:
         return _window_journey(j)
-    spark = events.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    # Range partitions sized from the planner's size estimate of the joined
+    # rows (about 256 MB each), never fewer than the shuffle partitions.
+    n = partitions or estimated_partitions(j)
     return _split_journey(j, n)
 
 

@@ -79,3 +79,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,
+                   max_partitions: int = 200_000) -> dict:
+    """Partition settings for a job reading about ``input_bytes``, applied only
+    where the session leaves them unset: shuffle partitions so that each holds
+    about ``partition_bytes`` before adaptive coalescing, split size for the
+    scans, and the advisory / skew sizes adaptive execution works with.
+    Returns the values in effect."""
+    n = max(1, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    wanted = {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 2),
+    }
+    out = {}
+    for k, v in wanted.items():
+        explicit = spark.sparkContext.getConf().contains(k)
+        if not explicit:
+            spark.conf.set(k, v)
+        out[k] = spark.conf.get(k)
+    return out
+
+
+def estimated_partitions(df, partition_bytes: int = 256 << 20) -> int:
+    """Partition count for repartitioning ``df``: Catalyst's size estimate
+    divided by ``partition_bytes``, never below the session's shuffle
+    partitions."""
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - no estimate: keep the session setting
+        return base
+    return max(base, min(200_000, -(-size // partition_bytes)))
