@@ -108,7 +108,13 @@ def refresh_mart_batch(spark: SparkSession, batch: DataFrame, events: DataFrame,
     days = batch.select(F.to_date("timestamp").alias("report_date")).filter(F.col("report_date").isNotNull()).distinct()
     # The touched days of one batch: bounded by the batch's time span.
     days = F.broadcast(days)
-    ev = events.withColumn("report_date", F.to_date("timestamp")).join(days, "report_date", "left_semi").drop("report_date")
+    if "event_date" in events.columns:
+        # Stored events are partitioned by event_date: the semi join on it lets
+        # dynamic partition pruning read only the touched days.
+        ev = events.join(days, events.event_date == days.report_date, "left_semi")
+    else:
+        ev = (events.withColumn("report_date", F.to_date("timestamp"))
+              .join(days, "report_date", "left_semi").drop("report_date"))
     asg = (assignments.withColumn("report_date", F.to_date("assigned_at"))
            .join(days, "report_date", "left_semi").drop("report_date"))
     fresh = mart_ops.build_mart(asg, ev, metrics)
