@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from splitlens.session import estimated_partitions
+from splitlens.session import checkpoint_dir, estimated_partitions
 
 # Fixed funnel stages of the modelled application (first match wins).
 STAGE_AWARENESS = "Awareness"
@@ -122,6 +122,13 @@ def _split_journey(j: DataFrame, partitions: int) -> DataFrame:
         T.StructField("_prev_event", T.StringType()), T.StructField("_prev_ts", T.TimestampNTZType()),
         T.StructField("_next_event", T.StringType())])
     local = sorted_parts.mapInPandas(_local_pass, schema)
+    spark = j.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # The summaries and the rows must see the same range bounds; within one
+        # query Spark guarantees that by reusing the exchange.  Without reuse
+        # the pass is materialised once in the shared checkpoint folder.
+        checkpoint_dir(spark)
+        local = local.checkpoint(eager=True)
 
     # One row per partition: first row, last row (with its local sequence).
     key = F.struct(*ORDER)

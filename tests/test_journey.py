@@ -56,3 +56,13 @@ def test_split_with_hot_group(spark, small_batches):
     parts = (e.repartitionByRange(7, *journey.ORDER).withColumn("p", F.spark_partition_id())
              .filter(F.col("user_id") == "hot").select("p").distinct().count())
     assert parts >= 3                                   # the hot group really was split
+
+
+def test_split_without_exchange_reuse(spark, fx):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = journey.user_journey(fx.events, fx.assignments, partitions=6)
+        want = journey.user_journey(fx.events, fx.assignments, skew_safe=False)
+        assert as_set(got) == as_set(want)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
