@@ -44,6 +44,26 @@ def live_pulse(events: DataFrame, as_of, window_minutes: int = ACTIVE_WINDOW_MIN
         F.coalesce(F.sum(F.when(today, F.col("value"))), F.lit(0.0)).alias("today_revenue"))
 
 
+def daily_purchases(events: DataFrame) -> DataFrame:
+    """(day, orders, revenue): purchase rows and revenue per calendar day --
+    the batch form of the live revenue counter (stream: T3)."""
+    p = events.filter(is_purchase(F.col("event_name")))
+    return p.groupBy(F.to_date("timestamp").alias("day")).agg(
+        F.count(F.lit(1)).alias("orders"), F.coalesce(F.sum("value"), F.lit(0.0)).alias("revenue"))
+
+
+def active_users_windows(events: DataFrame, window_minutes: int = ACTIVE_WINDOW_MINUTES,
+                         slide_minutes: int = 5) -> DataFrame:
+    """(window_start, window_end, active_users): distinct users per sliding
+    window (the batch form of T2).  Users are counted once per window by a
+    (window, user) aggregate first, so a hot user adds one row per window."""
+    w = F.window(F.col("timestamp").cast("timestamp"), f"{window_minutes} minutes", f"{slide_minutes} minutes")
+    per_user = events.select(w.alias("w"), "user_id").distinct()
+    return (per_user.groupBy("w").agg(F.count(F.lit(1)).alias("active_users"))
+            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "active_users"))
+
+
 def latest_two(mart: DataFrame) -> DataFrame:
     """Newest and previous mart day (previous = newest when there is one day)
     as one row of structs; top-2, not a sort of the mart."""

@@ -178,3 +178,38 @@ SELECT * FROM
           count(CASE WHEN user_id LIKE 'agent_%' THEN 1 END) AS agent_assignments FROM fx_assignments) a""")
 def q_prefix_counts(fx):
     return monitor.prefix_counts(fx.events, fx.assignments)
+
+
+@register("kpi_alerts_latest", f"""
+WITH mart AS ({MART_SQL}),
+m AS (SELECT *, lag(total_revenue) OVER (ORDER BY report_date) AS prev_rev FROM mart WHERE report_date IS NOT NULL),
+a AS (
+SELECT report_date, 'Critical' AS level, 'ctr' AS metric, ctr AS value, cast({ALERT_CTR} AS double) AS threshold,
+       cast(NULL AS double) AS drop_pct FROM m WHERE ctr < {ALERT_CTR}
+UNION ALL
+SELECT report_date, 'Warning', 'total_revenue', total_revenue, NULL, (1 - total_revenue / prev_rev) * 100
+FROM m WHERE prev_rev > 0 AND total_revenue / prev_rev < {ALERT_REV}
+UNION ALL
+SELECT report_date, 'Critical', 'cvr', cvr, cast({ALERT_CVR} AS double), NULL FROM m WHERE cvr < {ALERT_CVR})
+SELECT * FROM a WHERE report_date = (SELECT max(report_date) FROM m)""", doubles=("value", "threshold", "drop_pct"))
+def q_kpi_alerts_latest(fx):
+    return monitor.kpi_alerts(_mart(fx), ctr_min=ALERT_CTR, revenue_ratio_min=ALERT_REV, cvr_min=ALERT_CVR,
+                              latest_only=True)
+
+
+@register("daily_purchases", """
+SELECT cast(timestamp AS date) AS day, count(*) AS orders, coalesce(sum(value), 0) AS revenue
+FROM fx_events WHERE event_name = 'purchase' GROUP BY 1""", doubles=("revenue",))
+def q_daily_purchases(fx):
+    return monitor.daily_purchases(fx.events)
+
+
+@register("active_users_windows", """
+WITH w AS (
+  SELECT user_id,
+         make_timestamp(cast((floor(epoch_us(timestamp) / 300000000) - k) * 300000000 AS BIGINT)) AS window_start
+  FROM fx_events, (SELECT unnest(range(0, 6)) AS k) ks)
+SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, count(DISTINCT user_id) AS active_users
+FROM w GROUP BY window_start""")
+def q_active_users_windows(fx):
+    return monitor.active_users_windows(fx.events)
