@@ -70,18 +70,25 @@ def assign_variant(users: DataFrame, state: DataFrame, n: int = DEFAULT_BUCKETS,
     return apply_state(bucket_users(users, n, threshold), state)
 
 
+# Stands for a NULL run in join keys (no run id is a NUL character), so that
+# "same run or both NULL" becomes a plain equi-join key.
+NULL_RUN = "\u0000"
+
+
 def assign_once(requests: DataFrame, existing: DataFrame) -> DataFrame:
     """Assignments to insert: one per (user_id, run_id) -- the earliest request
     of the batch -- and only where the pair is not stored yet (a NULL run
-    matches a NULL run)."""
-    first = F.min(F.struct("assigned_at", "experiment_id", "variant", "weight")).alias("f")
-    batch = (requests.groupBy("user_id", "run_id").agg(first)
-             .select("user_id", "run_id", "f.assigned_at", "f.experiment_id", "f.variant", "f.weight"))
-    # Distinct stored keys (a partial aggregate): repeated pairs cannot pile up
-    # on one join task.
-    keys = existing.select(F.col("user_id").alias("x_user"), F.col("run_id").alias("x_run")).distinct()
-    cond = (batch.user_id == keys.x_user) & batch.run_id.eqNullSafe(keys.x_run)
-    return batch.join(keys, cond, "left_anti")
+    matches a NULL run).
+
+    The batch grouping and the anti join use the same key (user_id, run_key),
+    so each side is shuffled once; stored keys are distinct first (a partial
+    aggregate), so repeated pairs cannot pile up on one join task."""
+    run_key = F.coalesce(F.col("run_id"), F.lit(NULL_RUN)).alias("run_key")
+    first = F.min(F.struct("assigned_at", "experiment_id", "variant", "weight", "run_id")).alias("f")
+    batch = requests.groupBy("user_id", run_key).agg(first)
+    keys = existing.select("user_id", run_key).distinct()
+    return (batch.join(keys, ["user_id", "run_key"], "left_anti")
+            .select("user_id", "f.run_id", "f.assigned_at", "f.experiment_id", "f.variant", "f.weight"))
 
 
 def baseline_rates(assignments: DataFrame, events: DataFrame, by=("run_id",), user_like: str | None = None,

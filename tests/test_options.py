@@ -65,3 +65,15 @@ def test_display_and_user_prefix(spark):
     shown = reporting.for_display(e, order_by=["event_id"], limit=3, header_map={"event_id": "이벤트"})
     assert shown.columns[0] == "이벤트" and shown.count() == 3
     assert schemas.CATALOGUE["warehouse"]["users"] is schemas.USERS
+
+
+def test_assign_once_null_runs_and_earliest(spark):
+    from splitlens.operators import assignment
+    req = frame(spark, ASSIGNMENTS, [
+        dict(user_id="u1", variant="B", assigned_at=T(2024, 1, 1, 10), run_id=None),
+        dict(user_id="u1", variant="A", assigned_at=T(2024, 1, 1, 9), run_id="r1"),
+        dict(user_id="u1", variant="B", assigned_at=T(2024, 1, 1, 11), run_id="r1"),
+        dict(user_id="u2", variant="A", assigned_at=T(2024, 1, 1, 9), run_id=None)])
+    stored = frame(spark, ASSIGNMENTS, [dict(user_id="u1", run_id=None), dict(user_id="u1", run_id=None)])
+    got = sorted((r.user_id, r.run_id, r.variant) for r in assignment.assign_once(req, stored).collect())
+    assert got == [("u1", "r1", "A"), ("u2", None, "A")]
