@@ -35,7 +35,7 @@ def user_segment_labels(users: DataFrame, orders: DataFrame, as_of: str) -> Data
         "user_id",
         (F.coalesce(F.col("o_n"), F.lit(0)) * F.col("u_n")).alias("order_count"),
         F.coalesce(F.col("o_sum") * F.col("u_n"), F.lit(0.0)).alias("total_spent"),
-        F.datediff(F.lit(as_of).cast("date"), F.to_date("joined_at")).alias("tenure_days"))
+        F.datediff(F.lit(as_of).cast("date"), F.to_date("joined_at")).cast("long").alias("tenure_days"))
     # A single-row scalar (the buyers' average), broadcast by construction.
     avg = m.filter(F.col("order_count") > 0).agg(F.avg("total_spent").alias("avg_spent"))
     seg = (F.when(F.col("order_count") == 0, F.lit(SEG_WINDOW))

@@ -213,3 +213,14 @@ SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, count(DIST
 FROM w GROUP BY window_start""")
 def q_active_users_windows(fx):
     return monitor.active_users_windows(fx.events)
+
+
+@register("recent_events_latest", """
+SELECT event_id, user_id, event_name, value, timestamp, run_id, cast(NULL AS int) AS rank,
+       strftime(timestamp, '%H:%M:%S') AS time, right(user_id, 4) AS user_suffix,
+       CASE WHEN event_name = 'purchase'
+            THEN concat('Purchase (User_', right(user_id, 4), ': ', cast(cast(trunc(value) AS bigint) AS varchar), ')')
+            ELSE concat('Action: ', event_name) END AS label
+FROM fx_events ORDER BY timestamp DESC, event_id DESC LIMIT 3""")
+def q_recent_events_latest(fx):
+    return monitor.recent_events(fx.events, k=3)
