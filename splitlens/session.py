@@ -111,7 +111,7 @@ def estimated_partitions(df, partition_bytes: int = 256 << 20) -> int:
     spark = df.sparkSession
     base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no estimate: keep the session setting
         return base
     return max(base, min(200_000, -(-size // partition_bytes)))
