@@ -174,9 +174,11 @@ def user_journey(events: DataFrame, assignments: DataFrame, run_ids=None, skew_s
     j = _joined(events, assignments, run_ids)
     if not skew_safe:
         return _window_journey(j)
-    # Range partitions sized from the planner's size estimate of the joined
-    # rows (about 256 MB each), never fewer than the shuffle partitions.
-    n = partitions or estimated_partitions(j)
+    # Range partitions sized from the planner's size estimate of the events
+    # (about 256 MB each), never fewer than the shuffle partitions.  The
+    # estimate of the join itself is not used: without column statistics
+    # Spark estimates a join as the product of its inputs.
+    n = partitions or estimated_partitions(events.filter(F.col("run_id").isNotNull()))
     return _split_journey(j, n)
 
 

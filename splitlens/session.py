@@ -107,7 +107,8 @@ def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int =
 def estimated_partitions(df, partition_bytes: int = 256 << 20) -> int:
     """Partition count for repartitioning ``df``: Catalyst's size estimate
     divided by ``partition_bytes``, never below the session's shuffle
-    partitions."""
+    partitions.  Use it on scans and filters; without column statistics the
+    estimate of a join is the product of its inputs."""
     spark = df.sparkSession
     base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     try:
