@@ -115,7 +115,17 @@ def _local_pass(batches):
         yield pending
 
 
+def _ship_by_value() -> None:
+    """Pickle this module's functions by value: the per-partition pass then
+    travels with the task and executors need no copy of the package."""
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _split_journey(j: DataFrame, partitions: int) -> DataFrame:
+    _ship_by_value()
     sorted_parts = j.repartitionByRange(partitions, *ORDER).sortWithinPartitions(*ORDER)
     schema = T.StructType(sorted_parts.schema.fields + [
         T.StructField("_part", T.IntegerType()), T.StructField("_seq", T.LongType()),

@@ -31,3 +31,29 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(QUERIES[name](spark, SF_SMALL), con, ORACLE[name])
     assert ok, msg
+
+
+def test_runs_outside_the_repo(tmp_path):
+    """Executors (Python workers) must not need the package on their path:
+    run the journey from another directory, in another time zone."""
+    import os
+    import subprocess
+    import sys
+    import textwrap
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "run.py"
+    script.write_text(textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {root!r})
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+        import __spark_entry__ as E
+        n = E.queries()["user_journey"](spark, "/root/testdata/sf0.001").count()
+        print("ROWS", n, E.entry(spark).count())
+    """))
+    env = dict(os.environ, TZ="America/Los_Angeles", PYTHONPATH="")
+    out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env, capture_output=True,
+                         text=True, timeout=600)
+    assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
