@@ -23,10 +23,7 @@ def _times10(hi: Column, lo: Column) -> tuple[Column, Column]:
     return s, err + lo * 10.0
 
 
-def fixed_str(x: Column, digits: int) -> Column:
-    """Text of ``x`` with ``digits`` decimals, rounded like Python; NULL stays
-    NULL.  Valid for |x| * 10^digits < 2^52."""
-    v = x.cast("double")
+def _fixed_body(v: Column, digits: int) -> Column:
     hi, lo = F.abs(v), F.lit(0.0)
     for _ in range(digits):
         hi, lo = _times10(hi, lo)
@@ -39,3 +36,13 @@ def fixed_str(x: Column, digits: int) -> Column:
     # The text form keeps the sign of -0.0, which Python prints as "-0.0".
     sign = F.when(v.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
     return F.when(v.isNull(), F.lit(None).cast("string")).otherwise(F.concat(sign, body))
+
+
+def fixed_str(x: Column, digits: int) -> Column:
+    """Text of ``x`` with ``digits`` decimals, rounded like Python; NULL stays
+    NULL.  Valid for |x| * 10^digits < 2^52.
+
+    The arithmetic refers to its input many times; it is evaluated on the
+    variable of a one-element ``transform`` so that ``x`` -- possibly a large
+    expression -- appears once in the plan instead of dozens of times."""
+    return F.element_at(F.transform(F.array(x.cast("double")), lambda v: _fixed_body(v, digits)), 1)

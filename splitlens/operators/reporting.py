@@ -21,8 +21,10 @@ NOT_AVAILABLE = "N/A"
 DEFAULT_WINNER = "B"
 
 
-def _guardrail_fields(arr: str) -> list:
-    """JSON text, pass count and 'metric:Pass,...' summary of a guardrail array."""
+def _guardrail_fields(arr) -> list:
+    """JSON text, pass count and 'metric:Pass,...' summary of a guardrail
+    array (a column name or a Column)."""
+    arr = F.col(arr) if isinstance(arr, str) else arr
     clean = F.transform(arr, lambda x: F.struct(x["metric"].alias("metric"), x["control"].alias("control"),
                                                 x["test"].alias("test"), x["lift"].alias("lift"),
                                                 x["passed"].alias("passed")))
@@ -50,10 +52,13 @@ def experiment_records(design: DataFrame, outcomes: DataFrame, margin_pct: float
     pivoted row, so the events are folded once for both."""
     ct = control_test(outcomes, ["users", "readout"] + [c for c in GUARD_COLUMNS if c != "users"])
     t = z_test(F.col("c_users"), F.col("c_readout"), F.col("t_users"), F.col("t_readout"))
-    r = ct.select("run_id", *[v.alias(k) for k, v in t.items()],
-                  guardrail_array(margin_pct, guardrails).alias("_g"))
+    # The guardrail array is built once and read through a lambda variable, so
+    # its expressions are not copied into each of the three derived fields.
+    g = F.element_at(F.transform(F.array(guardrail_array(margin_pct, guardrails)),
+                                 lambda a: F.struct(*_guardrail_fields(a))), 1)
+    r = ct.select("run_id", *[v.alias(k) for k, v in t.items()], g.alias("_g"))
     r = with_p_value(r, alpha).select("run_id", "control_rate", "test_rate", "lift", "p_value", "decision",
-                                      *_guardrail_fields("_g"))
+                                      "_g.guardrail_results", "_g.guardrails_passed", "_g.guardrail_summary")
     rec = design.select("run_id", "target", "hypothesis", "primary_metric").join(r, "run_id")
     return rec.withColumn("guardrails", F.lit(",".join(guardrails)))
 

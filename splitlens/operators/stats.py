@@ -156,18 +156,15 @@ def metrics_delta(weighted: DataFrame, columns=METRIC_COLUMNS) -> DataFrame:
     delta is '(B-A)/A' in percent with one decimal, 'N/A' when A is 0/NULL or
     B is NULL."""
     ct = control_test(weighted, list(columns))
-    rows = []
-    for c in columns:
-        a = F.col(f"c_{c}").cast("double")
-        b = F.col(f"t_{c}").cast("double")
-        pct = (b - a) / F.nullif(a, F.lit(0.0)) * 100
-        delta = (F.when(a.isNull() | b.isNull() | (a == 0), F.lit("N/A"))
-                 .otherwise(F.concat(F.when(pct >= 0, F.lit("+")).otherwise(F.lit("")),
-                                     fixed_str(pct, 1), F.lit("%"))))
-        rows.append(F.struct(F.lit(c).alias("metric"), a.alias("control"), b.alias("test"),
-                             delta.alias("delta")))
-    return (ct.select("run_id", F.explode(F.array(*rows)).alias("d"))
-            .select("run_id", "d.metric", "d.control", "d.test", "d.delta"))
+    rows = [F.struct(F.lit(c).alias("metric"), F.col(f"c_{c}").cast("double").alias("control"),
+                     F.col(f"t_{c}").cast("double").alias("test")) for c in columns]
+    long = (ct.select("run_id", F.explode(F.array(*rows)).alias("d"))
+            .select("run_id", "d.metric", "d.control", "d.test"))
+    a, b = F.col("control"), F.col("test")
+    pct = (b - a) / F.nullif(a, F.lit(0.0)) * 100
+    delta = (F.when(a.isNull() | b.isNull() | (a == 0), F.lit("N/A"))
+             .otherwise(F.concat(F.when(pct >= 0, F.lit("+")).otherwise(F.lit("")), fixed_str(pct, 1), F.lit("%"))))
+    return long.withColumn("delta", delta)
 
 
 def sample_size_col(baseline: Column, mde: Column, alpha: float = ALPHA, power: float = POWER,
