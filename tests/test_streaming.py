@@ -72,6 +72,18 @@ def test_t2_active_users_equals_batch(spark, data, tmp_path):
     assert j.filter(F.col("b").isNull() | (F.col("b") != F.col("active_users"))).count() == 0
 
 
+def test_t2_approx_within_tolerance(spark, data, tmp_path):
+    fx, root = data
+    s = jobs.read_stream(spark, root + "/events/part1", schemas.EVENTS, max_files_per_trigger=3)
+    got = run_memory(jobs.active_users(s, approx=True, rsd=0.02), "t2a", "append", str(tmp_path / "ck"))
+    w = F.window(F.col("timestamp").cast("timestamp"), "30 minutes", "5 minutes")
+    batch = (fx.events.groupBy(w.alias("w")).agg(F.count_distinct("user_id").alias("b"))
+             .select(F.col("w.start").alias("window_start"), "b"))
+    j = got.join(batch, "window_start")
+    assert j.count() == got.count() > 0
+    assert j.filter(F.abs(F.col("active_users") - F.col("b")) > F.greatest(F.lit(1.0), F.col("b") * 0.1)).count() == 0
+
+
 def test_t3_daily_purchases(spark, data, tmp_path):
     fx, root = data
     s = jobs.read_stream(spark, root + "/events/part1", schemas.EVENTS, max_files_per_trigger=2)
