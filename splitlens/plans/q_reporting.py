@@ -11,7 +11,7 @@ GUARD_ORDER_SQL = ("CASE metric " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in
 
 
 def _record(fx):
-    return reporting.experiment_records(fx.experiments, metrics.run_outcomes(fx.assignments, fx.events),
+    return reporting.experiment_records(fx.designs, metrics.run_outcomes(fx.assignments, fx.events),
                                         margin_pct=5.0)
 
 

@@ -136,6 +136,18 @@ class Fixtures:
              .otherwise(F.lit("Inconclusive")).alias("decision"),
         )
 
+    @cached_property
+    def designs(self) -> DataFrame:
+        """The design of each run (target, hypothesis, primary metric): a
+        function of the run id, so it needs no read-out."""
+        runs = self.assignments.select("run_id").filter(F.col("run_id").isNotNull()).distinct()
+        return runs.select(
+            "run_id",
+            F.concat(F.lit("target_"), (F.substring("run_id", -2, 2).cast("int") % TARGET_COUNT)
+                     .cast("string")).alias("target"),
+            F.concat(F.lit("hypothesis "), F.col("run_id")).alias("hypothesis"),
+            F.lit("CTR").alias("primary_metric"))
+
     @cached_property
     def adoptions(self) -> DataFrame:
         x = self.experiments
