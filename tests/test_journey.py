@@ -66,3 +66,29 @@ def test_split_without_exchange_reuse(spark, fx):
         assert as_set(got) == as_set(want)
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+ev = st.fixed_dictionaries(dict(
+    user_id=st.sampled_from(["a", "b", "c", None]), run_id=st.sampled_from(["r1", "r2"]),
+    event_name=st.sampled_from(["banner_A", "click_banner", "purchase", "x"]),
+    timestamp=st.integers(0, 40).map(lambda s: T(2024, 1, 1) + dt.timedelta(seconds=s))))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(ev, min_size=1, max_size=80), st.integers(1, 9))
+def test_split_equals_window_on_random_rows(spark, rows, parts):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "17")
+    try:
+        e = frame(spark, EVENTS, [dict(r, event_id=f"e{i:03d}") for i, r in enumerate(rows)])
+        a = spark.createDataFrame([("a", "r1", "A", 1.0), ("b", "r2", "B", 2.0)],
+                                  "user_id string, run_id string, variant string, weight double")
+        want = journey.user_journey(e, a, skew_safe=False)
+        got = journey.user_journey(e, a, partitions=parts)
+        assert as_set(got) == as_set(want)
+    finally:
+        spark.conf.set(key, old)
