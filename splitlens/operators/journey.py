@@ -16,6 +16,13 @@ single task.  The default plan splits groups instead:
 4. the summary table -- bounded by the partition count, so broadcast -- fixes
    the rows at partition edges.
 
+The summaries are taken from the output of the per-partition pass, not
+from the sorted rows directly: both branches must read the same range
+exchange, because Spark samples the range bounds per exchange.  Column
+pruning cannot narrow the input of ``mapInPandas``, so both plans below it
+are identical and Spark reuses the one exchange.  A JVM-only summary was
+tried and gave different bounds once pruning changed its exchange.
+
 ``skew_safe=False`` gives the plain window (one shuffle fewer, for data
 known to have no hot groups).
 """
