@@ -23,6 +23,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state (dedup keys, per-window users) grows with traffic:
+    # RocksDB keeps it on local disk with bounded memory, checkpointed to the
+    # shared checkpoint folder like any state store.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
