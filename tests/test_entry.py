@@ -57,3 +57,20 @@ def test_runs_outside_the_repo(tmp_path):
     out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env, capture_output=True,
                          text=True, timeout=600)
     assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
+
+
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def test_column_types_match_the_oracle(spark, con):
+    bad = []
+    for name in sorted(ORACLE):
+        s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in QUERIES[name](spark, SF_SMALL).schema.fields}
+        rel = con.sql(ORACLE[name])
+        d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        if s_types != d_types:
+            bad.append((name, {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                               if s_types.get(c) != d_types.get(c)}))
+    assert not bad, bad
