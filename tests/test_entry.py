@@ -74,3 +74,21 @@ def test_column_types_match_the_oracle(spark, con):
             bad.append((name, {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
                                if s_types.get(c) != d_types.get(c)}))
     assert not bad, bad
+
+
+def test_bench_prints_one_json_line(tmp_path):
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="2", BENCH_QUERIES="live_pulse,age_segment",
+               BENCH_RUNS="1")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], cwd=str(tmp_path), env=env,
+                         capture_output=True, text=True, timeout=600)
+    lines = [x for x in out.stdout.splitlines() if x.strip()]
+    assert len(lines) == 1, out.stdout + out.stderr[-1000:]
+    d = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(d) and d["unit"] == "sec"
+    assert set(d["queries"]) == {"live_pulse", "age_segment"} and d["sf"] == 0.001
