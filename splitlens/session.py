@@ -111,11 +111,13 @@ def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int =
 
 def estimated_partitions(df, partition_bytes: int = 256 << 20) -> int:
     """Partition count for repartitioning ``df``: Catalyst's size estimate
-    divided by ``partition_bytes``, never below the session's shuffle
-    partitions.  Use it on scans and filters; without column statistics the
-    estimate of a join is the product of its inputs."""
+    divided by ``partition_bytes``, never below the cluster's default
+    parallelism (every core gets work; an explicit repartition is not
+    coalesced later, so a large fixed floor would leave many empty tasks).
+    Use it on scans and filters; without column statistics the estimate of a
+    join is the product of its inputs."""
     spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    base = max(1, int(spark.sparkContext.defaultParallelism))
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no estimate: keep the session setting
