@@ -69,13 +69,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared folder
-    there).  Only when it is unset -- local tests -- a scratch folder is created
-    and registered, so that every later call agrees on it.
+    there).  Where it is unset, a cluster gets an error, because a folder of
+    one machine is not seen by the others; a ``local`` session, whose driver
+    is its only executor, gets a scratch folder, registered so that every
+    later call agrees on it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             f"executors share (master: {master})")
         d = tempfile.mkdtemp(prefix="splitlens-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
