@@ -26,11 +26,13 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: the one that names it.  Rows
-    without an id cannot be named and stay."""
-    found = simhash.near_duplicates(docs)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each SimHash component: that of the smallest id, NULL
+    last; where ids repeat, the text's hash tells the rows apart."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                   F.xxhash64("text").alias("h"))
+    found = simhash.near_duplicates(docs.select(key.alias("key"), "text"), id_col="key")
+    dropped = found.where(F.col("key") != F.col("component_id")).select("key").distinct()
+    return docs.withColumn("key", key).join(dropped, "key", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

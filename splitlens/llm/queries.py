@@ -70,5 +70,69 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in _QUERIES}
 
 
+# Base 32 of a SHA-1: eight times five hexadecimal digits, four letters each.
+_OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT *, array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+          lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * i::INT, 5))::INT >> k) & 31), 1)), '')), '') AS b32,
+        max(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, b32 AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
+_OP3_SQL = r"""
+WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
+FROM t
+"""
+
+_OP7_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS w FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+_OP9_SQL = r"""
+WITH RECURSIVE rules(rh, rp, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+                                               ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+urls AS (SELECT DISTINCT url FROM pages),
+tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages),
+links AS (SELECT url, CASE
+            WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')
+              THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+            WHEN regexp_matches(tag, '(?is)^<meta\b.*\bhttp-equiv\s*=\s*["'']?refresh\b')
+              THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) END AS href FROM tags),
+full_links AS (SELECT url, CASE WHEN starts_with(t, '//') THEN split_part(url, '//', 1) || t
+            WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || t ELSE t END AS target
+          FROM (SELECT url, replace(href, '&amp;', '&') AS t FROM links WHERE href IS NOT NULL)),
+named AS (SELECT u, regexp_extract(u, '(?s)^([^#]*)', 1) AS bare FROM (SELECT url AS u FROM urls UNION SELECT target FROM full_links)
+          WHERE contains(u, '://')),
+nodes AS (SELECT u, translate(regexp_extract(bare, '(?s)^(.*?://[^/?]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                    || regexp_extract(bare, '(?s)^.*?://[^/?]*(.*)$', 1) AS node FROM named),
+edges AS (SELECT a.node AS x, b.node AS y FROM full_links l JOIN nodes a ON a.u = l.url JOIN nodes b ON b.u = l.target),
+both_ways AS (SELECT x, y FROM edges UNION SELECT y, x FROM edges),
+parsed AS (SELECT u, coalesce(translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                  coalesce(regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+           FROM (SELECT url AS u FROM urls UNION SELECT target FROM full_links)),
+fitting AS (SELECT u, host, path, rh || rp AS rule, action,
+                   row_number() OVER (PARTITION BY u ORDER BY length(rh || rp) DESC NULLS LAST) AS k
+            FROM parsed LEFT JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)),
+judged AS (SELECT * FROM fitting WHERE k = 1),
+blocked AS (SELECT n.node FROM judged j JOIN nodes n ON n.u = j.u WHERE j.action = 'block'
+            UNION SELECT b.y FROM blocked JOIN both_ways b ON b.x = blocked.node)
+SELECT p.page_id, j.host, j.path, j.rule,
+       coalesce(j.action, CASE WHEN n.node IN (SELECT node FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages p JOIN judged j ON j.u IS NOT DISTINCT FROM p.url LEFT JOIN nodes n ON n.u = p.url
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others rest on tokenizer files, XXH64, a trained model or seeded
+    draws, which SQL lacks; tests/llm holds them against brute force."""
+    return {"op2_warc": _OP2_SQL, "op3_exact_dedup": _OP3_SQL, "op7_topk": _OP7_SQL, "op9_url_filter": _OP9_SQL}
