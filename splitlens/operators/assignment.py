@@ -107,10 +107,8 @@ def baseline_rates(assignments: DataFrame, events: DataFrame, by=("run_id",), us
         a = a.filter(F.col("user_id").like(user_like))
         ev = ev.filter(F.col("user_id").like(user_like))
     keys = list(by)
-    per_user = (a.select(*keys, "user_id").join(ev, "user_id", "left")
-                .groupBy(*keys, "user_id")
-                .agg(F.coalesce(F.max("clicked"), F.lit(0)).alias("clicked"),
-                     F.coalesce(F.max("purchased"), F.lit(0)).alias("purchased")))
+    # Repeated assignments fold away before the join.
+    per_user = a.select(*keys, "user_id").distinct().join(ev, "user_id", "left").fillna(0, ["clicked", "purchased"])
     n = F.count(F.lit(1)).cast("double")
 
     def rate(flag):

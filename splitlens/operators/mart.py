@@ -84,17 +84,10 @@ def build_etl_mart(assignments: DataFrame, events: DataFrame) -> DataFrame:
     """Daily ETL variant: events joined on the user only (any day), NULL dates
     dropped, cvr = buyers / clickers, aov NULL when there are no buyers.
 
-    Assignment rows join the per-user event fold on user_id directly; the
-    following (report_date, user_id) grouping reuses that partitioning, so the
-    assignments are shuffled once."""
-    a = (assignments.filter(F.col("assigned_at").isNotNull())
-         .select("user_id", F.to_date("assigned_at").alias("report_date")))
-    e = _event_fold(events, ["user_id"])
-    per_user_day = (a.join(e, "user_id", "left")
-                    .groupBy("report_date", "user_id")
-                    .agg(F.count(F.lit(1)).alias("n_assign"), F.max("clicked").alias("clicked"),
-                         F.max("purchased").alias("purchased"), F.max("revenue").alias("revenue"),
-                         F.max("n_events").alias("n_events")))
+    Both sides are folded before they meet: a hot user is one row of events
+    and one row per day of assignments."""
+    a = _assignment_fold(assignments.filter(F.col("assigned_at").isNotNull()))
+    per_user_day = a.join(_event_fold(events, ["user_id"]), "user_id", "left")
     d = _per_day(per_user_day)
     clicks = F.nullif(F.col("click_count"), F.lit(0)).cast("double")
     orders = F.nullif(F.col("total_orders"), F.lit(0)).cast("double")

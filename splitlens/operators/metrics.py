@@ -25,10 +25,6 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Exact types for weighted money sums (money to 6 places, weights to 4).
-MONEY_DECIMAL = "decimal(20,6)"
-WEIGHT_DECIMAL = "decimal(10,4)"
-
 # Fixed event names of the modelled application.
 CLICK_BANNER = "click_banner"
 PURCHASE = "purchase"
@@ -82,7 +78,7 @@ def metric_spec(metric: str | MetricSpec) -> MetricSpec:
     for key, spec in METRICS.items():
         if key.lower() == metric.lower() or metric.upper().startswith(key.upper()):
             return spec
-    return METRICS["CTR"]
+    raise ValueError(f"unknown metric {metric!r}; one of {', '.join(METRICS)}")
 
 
 def _flag(pred: Column) -> Column:
@@ -192,24 +188,25 @@ def weighted_metrics(assignments: DataFrame, events: DataFrame, run_ids=None) ->
     per_user = (j.groupBy("run_id", "variant", "user_id", "weight")
                 .agg(_max0("clicked"), _max0("purchased"), _sum0("ev_revenue")))
     w = F.col("weight")
-    sw = F.sum(w)
-    s_click = F.sum(F.when(F.col("clicked") == 1, w).otherwise(F.lit(0.0)))
-    s_buy = F.sum(F.when(F.col("purchased") == 1, w).otherwise(F.lit(0.0)))
-    # Revenue x weight is summed exactly: these sums often sit exactly on .5,
-    # where a floating sum would round either way depending on addition order.
-    wd = w.cast(WEIGHT_DECIMAL)
-    s_rev = F.sum(F.col("ev_revenue").cast(MONEY_DECIMAL) * wd)
-    s_buy_d = F.sum(F.when(F.col("purchased") == 1, wd).otherwise(F.lit(0).cast(WEIGHT_DECIMAL)))
-    s_w_d = F.sum(wd)
-    return (per_user.groupBy("run_id", "variant")
-            .agg(F.round(sw, 0).cast("int").alias("visitors"),
-                 F.round(s_click, 0).cast("int").alias("clicks"),
-                 F.round(s_buy, 0).cast("int").alias("buyers"),
-                 F.round(s_rev, 0).cast("long").alias("revenue"),
-                 F.round(s_click / F.nullif(sw, F.lit(0.0)) * 100, 2).alias("ctr"),
-                 F.round(s_buy / F.nullif(sw, F.lit(0.0)) * 100, 2).alias("cvr"),
-                 F.round(s_rev / F.nullif(s_buy_d, F.lit(0).cast(WEIGHT_DECIMAL)), 0).cast("int").alias("aov"),
-                 F.round(s_rev / F.nullif(s_w_d, F.lit(0).cast(WEIGHT_DECIMAL)), 0).cast("int").alias("arpu")))
+
+    def people(flag):
+        return F.sum(F.when(F.col(flag) == 1, w).otherwise(F.lit(0.0)))
+
+    def whole(x):
+        # Doubles added in another order differ past the sixth place; sums that
+        # lie on .5 must not round either way because of that.
+        return F.round(F.round(x, 6), 0).cast("long")
+
+    sums = per_user.groupBy("run_id", "variant").agg(
+        F.sum(w).alias("sw"), people("clicked").alias("sc"), people("purchased").alias("sb"),
+        F.sum(F.col("ev_revenue") * w).alias("sr"))
+    sw, sc, sb, sr = (F.col(c) for c in ("sw", "sc", "sb", "sr"))
+    none = F.lit(0.0)
+    return sums.select(
+        "run_id", "variant", whole(sw).alias("visitors"), whole(sc).alias("clicks"), whole(sb).alias("buyers"),
+        whole(sr).alias("revenue"), F.round(sc / F.nullif(sw, none) * 100, 2).alias("ctr"),
+        F.round(sb / F.nullif(sw, none) * 100, 2).alias("cvr"),
+        whole(sr / F.nullif(sb, none)).alias("aov"), whole(sr / F.nullif(sw, none)).alias("arpu"))
 
 
 def variant_users(assignments: DataFrame) -> DataFrame:

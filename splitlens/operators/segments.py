@@ -61,7 +61,7 @@ def segment_mix(segment_counts: DataFrame) -> DataFrame:
     spark = segment_counts.sparkSession
     labels = spark.createDataFrame([(s, i) for i, s in enumerate(SEGMENT_ORDER)], "segment string, seg_order int")
     c = segment_counts.groupBy("segment").agg(F.sum("users").alias("users"))
-    j = F.broadcast(labels).join(c, "segment", "left").withColumn("users", F.coalesce("users", F.lit(0)).cast("long"))
+    j = labels.join(c, "segment", "left").withColumn("users", F.coalesce("users", F.lit(0)).cast("long"))
     all_rows = Window.partitionBy(F.lit(1))
     j = j.withColumn("total", F.sum("users").over(all_rows))
     j = j.withColumn("base", F.when(F.col("total") > 0, ((F.col("users").cast("double") / F.col("total")) * 100)
@@ -84,19 +84,26 @@ def age_segments(users: DataFrame, age_col: str = "age") -> DataFrame:
                                      F.min(age_col).alias("min_age"), F.max(age_col).alias("max_age")))
 
 
-def cohort_retention(orders: DataFrame) -> DataFrame:
+def cohort_retention(users: DataFrame, orders: DataFrame) -> DataFrame:
     """(cohort_week, week_number, cohort_size, retained, retention_rate):
-    cohort = Monday of a user's first order week; retained = users of the
-    cohort with an order ``week_number`` weeks later."""
-    week = F.to_date(F.date_trunc("week", F.col("order_at")))
-    valid = orders.filter(F.col("user_id").isNotNull() & F.col("order_at").isNotNull())
-    uw = valid.select("user_id", week.alias("week")).distinct()
-    first = uw.groupBy("user_id").agg(F.min("week").alias("cohort_week"))
-    j = uw.join(first, "user_id")
+    cohort = users by the Monday of their sign-up week, those who never ordered
+    included; retained = users of the cohort with an order ``week_number``
+    weeks later.  Orders from before the sign-up week do not count; a cohort
+    without any order has one row with a NULL week and nobody retained."""
+    def monday(c):
+        return F.to_date(F.date_trunc("week", F.col(c).cast("timestamp_ntz")))
+
+    joined = (users.where("user_id IS NOT NULL AND joined_at IS NOT NULL")
+              .groupBy("user_id").agg(F.min(monday("joined_at")).alias("cohort_week")))
+    # Orders fold to (user, week) before they meet the users.
+    weeks = (orders.where("user_id IS NOT NULL AND order_at IS NOT NULL")
+             .select("user_id", monday("order_at").alias("week")).distinct())
+    later = joined.join(weeks, "user_id").where("week >= cohort_week")
     k = (F.datediff("week", "cohort_week") / 7).cast("int")
-    grid = j.groupBy("cohort_week", k.alias("week_number")).agg(F.count(F.lit(1)).alias("retained"))
-    sizes = first.groupBy("cohort_week").agg(F.count(F.lit(1)).alias("cohort_size"))
-    return (grid.join(sizes, "cohort_week")
+    grid = later.groupBy("cohort_week", k.alias("week_number")).agg(F.count(F.lit(1)).alias("retained"))
+    sizes = joined.groupBy("cohort_week").agg(F.count(F.lit(1)).alias("cohort_size"))
+    return (sizes.join(grid, "cohort_week", "left")
+            .withColumn("retained", F.coalesce("retained", F.lit(0)).cast("long"))
             .select("cohort_week", "week_number", "cohort_size", "retained",
                     retention_rate(F.col("cohort_size"), F.col("retained")).alias("retention_rate")))
 

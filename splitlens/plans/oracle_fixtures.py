@@ -1,11 +1,12 @@
 """DuckDB text of the fixture tables, for the oracle queries.
 
 The same derivation as ``splitlens.sources.fixtures`` written the plain way
-(distinct users joined back for the bucket, ``COUNT(DISTINCT CASE ...)`` for
-the run counts), so the oracle is an independent implementation.
+(distinct users joined back for the bucket, SQL facts per user for the run
+counts), so the oracle is an independent implementation.
 """
 
 from splitlens.functions.hashing import bucket_sql_duckdb
+from splitlens.plans.oracle_forms import converters
 
 RUN_OF_TS = "concat('run_', strftime(cast({ts} as date), '%Y%m%d'))"
 
@@ -40,14 +41,9 @@ fx_users AS (
 fx_orders AS (
   SELECT cast(o_orderkey AS varchar) AS order_id, cast(o_custkey AS varchar) AS user_id,
          o_orderdate AS order_at, o_totalprice AS amount
-  FROM orders WHERE o_orderpriority = '1-URGENT'
-),
-fx_counts AS (
-  SELECT a.run_id, a.variant, count(DISTINCT a.user_id) AS users,
-         count(DISTINCT CASE WHEN e.event_name = 'click_banner' OR e.event_name LIKE 'banner_%' THEN e.user_id END) AS conversions
-  FROM fx_assignments a LEFT JOIN fx_events e ON a.user_id = e.user_id AND a.run_id = e.run_id
-  GROUP BY a.run_id, a.variant
+  FROM orders
 ),
+fx_counts AS ({converters("fx_assignments", "fx_events", "hit")}),
 fx_experiments AS (
   SELECT run_id, concat('target_', cast(cast(right(run_id, 2) AS int) % 4 AS varchar)) AS target,
          concat('hypothesis ', run_id) AS hypothesis, 'CTR' AS primary_metric,

@@ -8,8 +8,7 @@ Spark, with work that grows with the input:
 * ``events``        -- one experiment event per driver event; one calendar day
                        is one run (``run_yyyymmdd``).
 * ``assignments``   -- one assignment per (user, day), variant by md5 bucket.
-* ``users``/``orders`` -- customers and their urgent-priority orders (the
-                       application's delivery orders).
+* ``users``/``orders`` -- customers and all their orders.
 * ``experiments``   -- one read-out per run (click-through, B vs A).
 * ``adoptions``     -- runs where B beat A (positive lift) were adopted.
 
@@ -29,7 +28,6 @@ from splitlens.sources.tables import read_table
 # Fixed values of the derivation (documented in FIXTURES.md).
 EXPERIMENT_ID = "exp_default"
 AS_OF_SEGMENTS = "2001-08-01"
-APP_ORDER_PRIORITY = "1-URGENT"
 TARGET_COUNT = 4
 
 
@@ -91,12 +89,11 @@ class Fixtures:
 
     @cached_property
     def orders(self) -> DataFrame:
-        o = self.table("orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"])
-        return (o.filter(o.o_orderpriority == APP_ORDER_PRIORITY)
-                .select(o.o_orderkey.cast("string").alias("order_id"),
+        o = self.table("orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
+        return o.select(o.o_orderkey.cast("string").alias("order_id"),
                         o.o_custkey.cast("string").alias("user_id"),
                         o.o_orderdate.alias("order_at"),
-                        o.o_totalprice.alias("amount")))
+                        o.o_totalprice.alias("amount"))
 
     @cached_property
     def run_counts(self) -> DataFrame:

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from splitlens.operators import journey, monitor, reporting, segments
-from splitlens.sources.schemas import ADOPTIONS, EVENTS, ORDERS
+from splitlens.sources.schemas import ADOPTIONS, EVENTS, ORDERS, USERS
 from tests.conftest import frame
 
 D = dt.date
@@ -115,9 +115,13 @@ def test_cohort_retention(spark):
     o = frame(spark, ORDERS, [dict(order_id=str(i), user_id=u, order_at=t) for i, (u, t) in enumerate([
         ("a", T(2024, 1, 1)), ("a", T(2024, 1, 9)), ("b", T(2024, 1, 3)), ("c", T(2024, 1, 10)),
         ("a", T(2024, 1, 2))])])
+    users = frame(spark, USERS, [dict(user_id=u, joined_at=t) for u, t in [
+        ("a", T(2024, 1, 1)), ("b", T(2024, 1, 3, 9)), ("never", T(2024, 1, 7)), ("c", T(2024, 1, 17)), ("quiet", T(2024, 2, 1))]])
     got = {(r.cohort_week, r.week_number): (r.cohort_size, r.retained, r.retention_rate)
-           for r in segments.cohort_retention(o).collect()}
-    assert got == {(D(2024, 1, 1), 0): (2, 2, 1.0), (D(2024, 1, 1), 1): (2, 1, 0.5), (D(2024, 1, 8), 0): (1, 1, 1.0)}
+           for r in segments.cohort_retention(users, o).collect()}
+    # "never" counts in the size; c's order is from before the sign-up week.
+    assert got == {(D(2024, 1, 1), 0): (3, 2, 2 / 3), (D(2024, 1, 1), 1): (3, 1, 1 / 3),
+                   (D(2024, 1, 15), None): (1, 0, 0.0), (D(2024, 1, 29), None): (1, 0, 0.0)}
 
 
 def test_persona_aliases(spark):
