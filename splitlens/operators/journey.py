@@ -3,37 +3,27 @@
 A journey is a window over (run_id, user_id) ordered by (timestamp,
 event_id).  A plain window sends each group to one task, so one bot or shared
 id holding a large share of a run's events would be sorted and scanned by a
-single task.  The default plan splits groups instead:
-
-1. the joined rows are range-partitioned on (run_id, user_id, timestamp,
-   event_id) -- Spark samples the bounds, so a hot group is spread over many
-   partitions in time order -- and sorted within each partition;
-2. one vectorised pass per partition (Arrow batches, ``mapInPandas``) numbers
-   the rows and takes the previous / next event inside the partition;
-3. each partition is summarised by its first and last row (one row per
-   partition), and the offsets of groups that continue from earlier
-   partitions are chained over those summaries;
-4. the summary table -- bounded by the partition count, so broadcast -- fixes
-   the rows at partition edges.
-
-The summaries are taken from the output of the per-partition pass, not
-from the sorted rows directly: both branches must read the same range
-exchange, because Spark samples the range bounds per exchange.  Column
-pruning cannot narrow the input of ``mapInPandas``, so both plans below it
-are identical and Spark reuses the one exchange.  A JVM-only summary was
-tried and gave different bounds once pruning changed its exchange.
-
-``skew_safe=False`` gives the plain window (one shuffle fewer, for data
-known to have no hot groups).
+single task.  The default plan cuts every group into time slices:
+
+1. a window inside (run, user, slice) numbers the rows and finds neighbours;
+2. every slice is folded (map-side) to one summary row: how many events, the
+   first and the last; a window over a group's summaries gives the events
+   before the slice, the last event before it and the first after it;
+3. assignments join the summaries, not the events;
+4. rows meet their slice's summary on (run, user, slice), the key they are
+   already dealt out by, which corrects the rows at the slice's ends.
+
+The slice length is a parameter (``SLICE_SECONDS``): it bounds how much of a
+group is in one task and never changes results.
+
+``skew_safe=False`` gives the plain window (for data known to have no hot
+groups).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from splitlens.session import checkpoint_dir, estimated_partitions
 
 # Fixed funnel stages of the modelled application (first match wins).
 STAGE_AWARENESS = "Awareness"
@@ -41,7 +31,8 @@ STAGE_INTEREST = "Interest"
 STAGE_CONVERSION = "Conversion"
 STAGE_OTHER = "Other"
 
-ORDER = ["run_id", "user_id", "timestamp", "event_id"]
+SLICE_SECONDS = 6 * 3600
+
 
 
 def funnel_stage(name: Column) -> Column:
@@ -70,133 +61,60 @@ def _finish(df: DataFrame, seq, prev_event, prev_ts, next_event) -> DataFrame:
 
 
 def _window_journey(j: DataFrame) -> DataFrame:
-    w = Window.partitionBy("run_id", "user_id").orderBy("timestamp", "event_id")
+    w = Window.partitionBy("run_id", "user_id").orderBy("timestamp", "event_id", "variant", "weight")
     return _finish(j, F.row_number().over(w), F.lag("event_name").over(w), F.lag("timestamp").over(w),
                    F.lead("event_name").over(w))
 
 
-def _local_pass(batches):
-    """Per sorted partition: local sequence, previous and next event.  The
-    last row of each Arrow batch waits for the next batch (its successor)."""
-    import pandas as pd
-    from pyspark import TaskContext
-
-    part = TaskContext.get().partitionId()
-    carry = None        # (run, user, seq, name, ts) of the row before this batch
-    pending = None      # last row of the previous batch, still missing its successor
-    for pdf in batches:
-        if len(pdf) == 0:
-            continue
-        run = pdf["run_id"].to_numpy(object)
-        user = pdf["user_id"].to_numpy(object)
-        name = pdf["event_name"]
-        ts = pdf["timestamp"]
-        n = len(pdf)
-        same_prev = pd.Series(False, index=pdf.index)
-        if n > 1:
-            same_prev.iloc[1:] = (run[1:] == run[:-1]) & (user[1:] == user[:-1])
-        cont = carry is not None and run[0] == carry[0] and user[0] == carry[1]
-        same_prev.iloc[0] = cont
-        gid = (~same_prev).cumsum()
-        seq = pdf.groupby(gid.to_numpy()).cumcount() + 1
-        if cont:
-            seq = seq + (gid == 0) * carry[2]
-        prev_name = name.shift(1).where(same_prev, None)
-        prev_ts = ts.shift(1).where(same_prev)
-        if cont:
-            prev_name.iloc[0] = carry[3]
-            prev_ts.iloc[0] = carry[4]
-        same_next = same_prev.shift(-1, fill_value=False)
-        next_name = name.shift(-1).where(same_next, None)
-        out = pdf.assign(_part=part, _seq=seq.astype("int64"), _prev_event=prev_name, _prev_ts=prev_ts,
-                         _next_event=next_name)
-        if pending is not None:
-            if cont:
-                pending["_next_event"] = name.iloc[0]
-            yield pending
-        pending = out.iloc[[n - 1]].copy()
-        if n > 1:
-            yield out.iloc[: n - 1]
-        carry = (run[-1], user[-1], int(seq.iloc[-1]), name.iloc[-1], ts.iloc[-1])
-    if pending is not None:
-        yield pending
-
-
-def _ship_by_value() -> None:
-    """Pickle this module's functions by value: the per-partition pass then
-    travels with the task and executors need no copy of the package."""
-    import sys
-
-    from pyspark import cloudpickle
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _split_journey(j: DataFrame, partitions: int) -> DataFrame:
-    _ship_by_value()
-    sorted_parts = j.repartitionByRange(partitions, *ORDER).sortWithinPartitions(*ORDER)
-    schema = T.StructType(sorted_parts.schema.fields + [
-        T.StructField("_part", T.IntegerType()), T.StructField("_seq", T.LongType()),
-        T.StructField("_prev_event", T.StringType()), T.StructField("_prev_ts", T.TimestampNTZType()),
-        T.StructField("_next_event", T.StringType())])
-    local = sorted_parts.mapInPandas(_local_pass, schema)
-    spark = j.sparkSession
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # The summaries and the rows must see the same range bounds; within one
-        # query Spark guarantees that by reusing the exchange.  Without reuse
-        # the pass is materialised once in the shared checkpoint folder.
-        checkpoint_dir(spark)
-        local = local.checkpoint(eager=True)
-
-    # One row per partition: first row, last row (with its local sequence).
-    key = F.struct(*ORDER)
-    first = F.min_by(F.struct("run_id", "user_id", "event_name", "timestamp"), key)
-    last = F.max_by(F.struct("run_id", "user_id", "event_name", "timestamp", "_seq"), key)
-    s = local.groupBy("_part").agg(first.alias("f"), last.alias("l"))
-    # Chain groups over consecutive partitions; at most one row per partition,
-    # so these windows run over a table bounded by the partition count.
-    w = Window.orderBy("_part")
-    fk = F.struct("f.run_id", "f.user_id")
-    lk = F.struct("l.run_id", "l.user_id")
-    s = s.withColumn("_lk", lk).withColumn("_fk", fk)
-    s = s.withColumn("_prev_lk", F.lag("_lk").over(w))
-    s = s.withColumn("_chain", F.sum(F.when(F.col("_prev_lk").eqNullSafe(F.col("_lk")), 0).otherwise(1)).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
-    s = s.withColumn("_cum", F.sum("l._seq").over(
-        Window.partitionBy("_chain").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)))
-    fix = s.select(
-        "_part", F.col("_fk").alias("fx_fk"), F.col("_lk").alias("fx_lk"), F.col("l._seq").alias("fx_last_seq"),
-        F.col("_fk").eqNullSafe(F.col("_prev_lk")).alias("fx_cont"),
-        F.coalesce(F.lag("_cum").over(w), F.lit(0)).alias("fx_offset"),
-        F.lag("l.event_name").over(w).alias("fx_prev_name"), F.lag("l.timestamp").over(w).alias("fx_prev_ts"),
-        F.lead("_fk").over(w).alias("fx_next_fk"), F.lead("f.event_name").over(w).alias("fx_next_name"))
-
-    x = local.join(F.broadcast(fix), "_part")
-    mine = F.struct("run_id", "user_id")
-    in_first = mine.eqNullSafe(F.col("fx_fk")) & F.col("fx_cont")
-    head = in_first & (F.col("_seq") == 1)
-    tail = mine.eqNullSafe(F.col("fx_lk")) & (F.col("_seq") == F.col("fx_last_seq")) & \
-        F.col("fx_next_fk").eqNullSafe(F.col("fx_lk"))
-    seq = F.col("_seq") + F.when(in_first, F.col("fx_offset")).otherwise(F.lit(0))
-    prev_event = F.when(head, F.col("fx_prev_name")).otherwise(F.col("_prev_event"))
-    prev_ts = F.when(head, F.col("fx_prev_ts")).otherwise(F.col("_prev_ts"))
-    next_event = F.when(tail, F.col("fx_next_name")).otherwise(F.col("_next_event"))
-    return _finish(x, seq, prev_event, prev_ts, next_event)
+def _sliced_journey(events: DataFrame, assignments: DataFrame, slice_seconds: int) -> DataFrame:
+    # Keys without NULLs, so that plain equality joins them; events without a time come first.
+    user = F.coalesce(F.concat(F.lit("u"), F.col("user_id")), F.lit("")).alias("_user")
+    cut = F.coalesce(F.floor(F.unix_timestamp("timestamp") / slice_seconds), F.lit(-(1 << 60))).cast("long").alias("_slice")
+    e = events.select("event_id", "user_id", "run_id", "event_name", "timestamp", "value", user, cut)
+    keys = ["run_id", "_user", "_slice"]
+    w = Window.partitionBy(*keys).orderBy("timestamp", "event_id")
+    local = e.withColumns({
+        "_n": F.row_number().over(w), "_prev": F.lag("event_name").over(w), "_prev_ts": F.lag("timestamp").over(w),
+        "_is_last": F.lead("_slice").over(w).isNull(), "_next": F.lead("event_name").over(w)})
+
+    order = F.struct("timestamp", "event_id")
+    row = F.struct("event_name", "timestamp")
+    slices = e.groupBy(*keys).agg(F.count(F.lit(1)).alias("_count"), F.min_by(row, order).alias("_first"),
+                                  F.max_by(row, order).alias("_last"))
+    s = Window.partitionBy("run_id", "_user").orderBy("_slice")
+    slices = slices.withColumns({
+        "_before": F.coalesce(F.sum("_count").over(s.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_from": F.lag("_last").over(s), "_to": F.lead("_first").over(s)})
+    # Several assignments of a user in a run give each event once per assignment, k of m.
+    of_user = Window.partitionBy("run_id", "user_id")
+    a = (assignments.filter(F.col("run_id").isNotNull() & F.col("user_id").isNotNull())
+         .select(F.col("run_id"), "user_id", F.concat(F.lit("u"), F.col("user_id")).alias("_user"), "variant", "weight")
+         .withColumns({"_k": F.row_number().over(of_user.orderBy("variant", "weight")),
+                       "_m": F.count(F.lit(1)).over(of_user)}).drop("user_id"))
+    slices = slices.join(a, ["run_id", "_user"], "left").fillna(1, ["_k", "_m"])
+
+    j = local.join(slices, keys)
+    copy, last_copy = F.col("_k") > 1, F.col("_k") == F.col("_m")
+    first_of_slice = F.col("_n") == 1
+    prev = (F.when(copy, F.col("event_name")).when(first_of_slice, F.col("_from.event_name")).otherwise(F.col("_prev")))
+    prev_ts = (F.when(copy, F.col("timestamp")).when(first_of_slice, F.col("_from.timestamp")).otherwise(F.col("_prev_ts")))
+    following = (F.when(~last_copy, F.col("event_name")).when(F.col("_is_last"), F.col("_to.event_name")).otherwise(F.col("_next")))
+    seq = (F.col("_before") + F.col("_n") - 1) * F.col("_m") + F.col("_k")
+    return _finish(j, seq, prev, prev_ts, following)
 
 
 def user_journey(events: DataFrame, assignments: DataFrame, run_ids=None, skew_safe: bool = True,
-                 partitions: int | None = None) -> DataFrame:
+                 slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Every event of every run with its user's variant and weight, its
     position in the user's sequence (ties by event id), previous and next
-    event name, seconds since the previous event, and funnel stage."""
-    j = _joined(events, assignments, run_ids)
+    event name, seconds since the previous event, and funnel stage.  A user
+    assigned several times in a run has each event once per assignment."""
     if not skew_safe:
-        return _window_journey(j)
-    # Range partitions sized from the planner's size estimate of the events
-    # (about 256 MB each), never fewer than the shuffle partitions.  The
-    # estimate of the join itself is not used: without column statistics
-    # Spark estimates a join as the product of its inputs.
-    n = partitions or estimated_partitions(events.filter(F.col("run_id").isNotNull()))
-    return _split_journey(j, n)
+        return _window_journey(_joined(events, assignments, run_ids))
+    e = events.filter(F.col("run_id").isNotNull())
+    if run_ids is not None:
+        e = e.filter(F.col("run_id").isin(list(run_ids)))
+    return _sliced_journey(e, assignments, slice_seconds)
 
 
 def write_journey_csv(journey: DataFrame, path: str, mode: str = "overwrite") -> None:
