@@ -7,14 +7,19 @@
 * ``readout`` -- the read-out of chosen runs (or all): counts, z-test,
   guardrail verdicts and the weighted table, as frames.
 
+* ``finish_run`` -- what ends an experiment: its record with the learning
+  note, the adoption of a winner, the end of the active experiment and, if
+  wanted, the removal of the run's rows.
+
 Every step is a Spark job; nothing passes through the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from splitlens.operators import mart, metrics, stats
+from splitlens.operators import mart, metrics, reporting, stats
 from splitlens.sources import sinks
 
 
@@ -51,3 +56,31 @@ def readout(spark: SparkSession, db: str = "experiment", run_ids=None, metric: s
         "guardrails": stats.guardrail_verdicts(metrics.guardrail_counts(a, e, run_ids), margin_pct),
         "weighted": metrics.weighted_metrics(a, e, run_ids),
     }
+
+
+def finish_run(spark: SparkSession, run_id: str, target: str, hypothesis: str, learning_note: str = "",
+               db: str = "experiment", metric: str = "CTR", config: dict | None = None, margin_pct: float = 5.0,
+               adopt: bool = False, clean_up: bool = False) -> DataFrame:
+    """End ``run_id``: append its experiment record (read-out, guardrails,
+    ``learning_note``), adopt its B variant if ``adopt`` says so -- which ends the
+    active experiment too -- else just end the active experiment, and with
+    ``clean_up`` drop the run's events and assignments (both tables are
+    partitioned by run).  Returns the stored record."""
+    a, e = spark.table(_t(db, "assignments")), spark.table(_t(db, "events"))
+    design = spark.range(1).select(
+        F.lit(run_id).alias("run_id"), F.lit(target).alias("target"), F.lit(hypothesis).alias("hypothesis"),
+        F.lit(metric).alias("primary_metric"))
+    record = reporting.experiment_records(design, metrics.run_outcomes(a, e, [run_id]), margin_pct)
+    sinks.append_experiment_record(record.withColumn("learning_note", F.lit(learning_note)), _t(db, "experiments"))
+    stored = spark.table(_t(db, "experiments")).filter(F.col("run_id") == run_id)
+    if adopt:
+        pairs = [F.lit(x) for k, v in (config or {}).items() for x in (str(k), str(v))]
+        settings = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
+        sinks.adopt(stored.select("run_id", "target", settings.alias("config"), "lift", "p_value"),
+                    _t(db, "adoptions"), _t(db, "active_experiment"))
+    else:
+        sinks.deactivate(spark, _t(db, "active_experiment"))
+    if clean_up:
+        for name in ("events", "assignments"):
+            sinks.delete_where(spark, _t(db, name), None, partition_col="run_id", partition_value=run_id)
+    return stored

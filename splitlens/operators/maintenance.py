@@ -4,7 +4,7 @@ health counts.  Writers that apply them to stored tables are in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,28 +35,26 @@ def delete_rows(df: DataFrame, predicate: Column) -> DataFrame:
 
 def copy_new_rows(src: DataFrame, dst: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``src`` whose key is not in ``dst`` yet (insert ... on conflict
-    do nothing); an anti join, no collect."""
-    return src.join(dst.select(*keys).distinct(), keys, "left_anti")
+    do nothing): one row per key, as the second would conflict with the
+    first; a key with a NULL conflicts with none.  Joins only, no collect."""
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    once = src.filter(known).dropDuplicates(keys)
+    return once.join(dst.select(*keys).distinct(), keys, "left_anti").select(*src.columns).unionByName(src.filter(~known))
 
 
-def table_health(tables: dict[str, DataFrame | None]) -> DataFrame:
+def table_health(tables: dict[str, DataFrame | None], spark: SparkSession | None = None) -> DataFrame:
     """(table_name, row_count, present) for the expected tables; a missing
-    table (None) reports 0 rows and present = false.  One job over all."""
-    parts = []
-    spark = None
-    for name, df in tables.items():
-        if df is not None:
-            spark = df.sparkSession
-            parts.append(df.agg(F.count(F.lit(1)).alias("row_count"))
-                         .select(F.lit(name).alias("table_name"), "row_count", F.lit(True).alias("present")))
-    missing = [n for n, d in tables.items() if d is None]
-    if missing:
-        m = spark.createDataFrame([(n, 0, False) for n in missing],
-                                  "table_name string, row_count long, present boolean")
-        parts.append(m)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    table (None) reports 0 rows and present = false.  One job over all.
+    ``spark`` is needed only where every table may be missing."""
+    present = {n: d for n, d in tables.items() if d is not None}
+    spark = spark or next((d.sparkSession for d in present.values()), None) or SparkSession.active()
+    missing = [(n, 0, False) for n in tables if n not in present]
+    out = spark.createDataFrame(missing, "table_name string, row_count long, present boolean")
+    for name, df in present.items():
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("row_count"))
+                              .select(F.lit(name).alias("table_name"), "row_count", F.lit(True).alias("present")))
     return out
 
 

@@ -52,5 +52,7 @@ EXPERIMENT = {"assignments": ASSIGNMENTS, "events": EVENTS, "experiments": EXPER
               "dm_daily_kpi": DAILY_KPI}
 CATALOGUE = {"warehouse": WAREHOUSE, "experiment": EXPERIMENT}
 
-# Partition columns used when the tables are written by this library.
-PARTITIONING = {"events": ["event_date"], "assignments": ["run_id"], "dm_daily_kpi": ["report_date"]}
+# Partition columns used when the tables are written by this library: a run's
+# read-out opens the run, the live screens open the newest days, and deleting a
+# run drops its partitions.
+PARTITIONING = {"events": ["run_id", "event_date"], "assignments": ["run_id"], "dm_daily_kpi": ["report_date"]}

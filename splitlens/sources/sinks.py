@@ -7,6 +7,8 @@ partitions are dropped.  Columns are always matched by name.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,10 +74,27 @@ def load_csv_table(spark: SparkSession, path: str, table: str, schema: T.StructT
 
 def insert_by_name(df: DataFrame, table: str, overwrite: bool = False) -> None:
     """Insert matching columns by name (absent ones NULL), never by position."""
+    evolve(df, df.sparkSession.table(table).schema, defaults={}).write.insertInto(table, overwrite=overwrite)
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` computed once, as a table in the shared folder."""
     spark = df.sparkSession
-    target = spark.table(table).schema
-    evolved = evolve(df, target, defaults={})
-    evolved.write.insertInto(table, overwrite=overwrite)
+    path = f"{checkpoint_dir(spark)}/staged/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def overwrite_partitions(rows: DataFrame, table: str) -> None:
+    """Replace the partitions of ``table`` that ``rows`` -- a staged table -- has
+    rows of.  The overwrite mode is set in a session of its own, which shares
+    the catalogue; the caller's session and its other writes keep theirs."""
+    spark = rows.sparkSession
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    insert_by_name(own.read.schema(rows.schema).parquet(*{f.rsplit("/", 1)[0] for f in rows.inputFiles()}), table, overwrite=True)
+    spark.catalog.refreshTable(table)
 
 
 def append_events(events: DataFrame, table: str = "experiment.events") -> None:
@@ -104,11 +123,19 @@ def replace_table(df: DataFrame, table: str, partition_by=None) -> None:
     w.saveAsTable(table)
 
 
-def _drop_partitions(spark: SparkSession, table: str, col: str, vals: list) -> int:
-    for v in vals:
-        lit = "NULL" if v is None else f"'{v}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({col} = {lit})")
-    return len(vals)
+def _drop_partitions(spark: SparkSession, table: str, predicate: Column) -> None:
+    """Drop the partitions whose partition columns meet ``predicate``.  Their
+    values are listed on the driver: one row per partition dropped (the days
+    of a run, or of a range), not per row."""
+    cols = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    gone = spark.table(table).filter(predicate).select(*cols).distinct().collect()
+    specs = []
+    for r in gone:
+        pairs = ["{} = {}".format(c, "NULL" if r[c] is None else "'" + str(r[c]).replace("'", "\\'") + "'") for c in cols]
+        specs.append(f"PARTITION ({', '.join(pairs)})")
+    if specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+        spark.catalog.refreshTable(table)
 
 
 def range_replace(new: DataFrame, table: str, key: str = "report_date") -> None:
@@ -117,32 +144,28 @@ def range_replace(new: DataFrame, table: str, key: str = "report_date") -> None:
     partitions in the range that ``new`` lacks are dropped.  Per partition, not
     one transaction across partitions (parquet has none)."""
     spark = new.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        new_keys = new.select(key).filter(F.col(key).isNotNull()).distinct()
-        lo = new_keys.agg(F.min(key).alias("lo"))
-        stored = spark.table(table).select(key).distinct()
-        stale = (stored.crossJoin(F.broadcast(lo)).filter(F.col(key) >= F.col("lo")).select(key)
-                 .join(new_keys, key, "left_anti"))
-        # Stale partition values, listed before the overwrite changes the table
-        # (one value per partition: bounded by the partition count, not the data).
-        vals = [r[0] for r in stale.collect()]
-        insert_by_name(new, table, overwrite=True)
-        _drop_partitions(spark, table, key, vals)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    rows = staged(new)       # a mart: one row per day
+    lo = rows.agg(F.min(key)).first()[0]
+    if lo is None:
+        return
+    kept = rows.select(key).filter(F.col(key).isNotNull()).distinct()
+    # Stored values of the range that the batch lacks; one per partition.
+    stale = (spark.table(table).filter(F.col(key) >= F.lit(lo)).select(key).distinct()
+             .join(kept, key, "left_anti").collect())
+    overwrite_partitions(rows, table)
+    if stale:
+        _drop_partitions(spark, table, F.col(key).isin([r[0] for r in stale]))
 
 
 def delete_where(spark: SparkSession, table: str, predicate: Column, partition_col: str | None = None,
                  partition_value=None) -> None:
     """DELETE FROM table WHERE predicate.  A predicate on the partition column
-    drops that partition; anything else rewrites the table through a staging
+    drops the partitions of that value; anything else rewrites the table through a staging
     table (the rows are read from the old files, written once, then the names
-    are swapped, so a failure before the swap leaves the table as it was)."""
+    are swapped).  A failure before or within the swap leaves the table as it
+    was: if the new name cannot be set, the old one is set back."""
     if partition_col is not None:
-        lit = "NULL" if partition_value is None else f"'{partition_value}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {lit})")
+        _drop_partitions(spark, table, F.col(partition_col).eqNullSafe(F.lit(partition_value)))
         return
     kept = delete_rows(spark.table(table), predicate)
     staging = f"{table}__rewrite"
@@ -152,12 +175,15 @@ def delete_where(spark: SparkSession, table: str, predicate: Column, partition_c
     if part_cols:
         w = w.partitionBy(*part_cols)
     w.saveAsTable(staging)
-    # Swap by renames: until the staging table is complete the original is
-    # untouched, and it is dropped only after the new one is in place.
+    # The original is dropped only after the new table is in place.
     old = f"{table}__old"
     spark.sql(f"DROP TABLE IF EXISTS {old}")
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
     spark.sql(f"DROP TABLE {old}")
     if part_cols:
         # The rename moves the files; partition locations are re-discovered.

@@ -3,18 +3,21 @@
 The modelled application polls its tables every second; here the same
 numbers are maintained incrementally:
 
-* T1 ``ingest_events``     -- append, dedup on event_id within the watermark,
-                              partition by date;
+* T1 ``start_ingest``      -- foreachBatch: append the events that are not
+                              stored yet, however late (anti join on the
+                              batch's dates);
 * T2 ``active_users``      -- distinct users per sliding 30-minute window,
-                              exact: (window, user) then (window) aggregation,
-                              no per-window set in state;
+                              exact: (5-minute slot, user) first, copied to
+                              its windows after;
 * T3 ``daily_purchases``   -- purchases and revenue per day;
-* T4 ``assign_once``       -- first assignment per (user, run);
-* T5 ``live_visitors``     -- T4 then visitors per (run, variant);
-* T6 ``refresh_mart``      -- foreachBatch: recompute the days a batch touched,
-                              dynamic partition overwrite (idempotent on replay);
-* T7 late rows             -- older than the watermark: dropped by T2/T3,
-                              absorbed by T6 (it recomputes whole days).
+* T4 ``start_assign_once`` -- foreachBatch: first assignment per (user, run),
+                              checked against the stored ones;
+* T5 ``live_visitors``     -- visitors per (run, variant) of what T4 stored;
+* T6 ``start_mart_refresh``-- foreachBatch: rebuild the days a batch touched
+                              from the tables as they are then, replace those
+                              partitions (idempotent on replay);
+* T7 ``start_live_mart``   -- T1 and T6 in one batch: late rows, which the
+                              watermarks of T2/T3 drop, reach the mart.
 
 Watermarks need a zoned TIMESTAMP; the zone-less event time is cast under the
 session's UTC zone, which keeps the wall-clock value.  Checkpoints live under
@@ -25,13 +28,17 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from splitlens.operators import mart as mart_ops
+from splitlens.operators.assignment import assign_once as assign_new
+from splitlens.operators.metrics import variant_users
 from splitlens.session import checkpoint_dir
-from splitlens.sources.schemas import ASSIGNMENTS, EVENTS
+from splitlens.sources.schemas import EVENTS, PARTITIONING
+from splitlens.sources.sinks import insert_by_name, overwrite_partitions, staged, table_schema
 
 EVENT_TIME = "event_time"
 
@@ -52,21 +59,62 @@ def with_event_time(df: DataFrame, ts_col: str = "timestamp", delay: str = "10 m
     return df.withColumn(EVENT_TIME, F.col(ts_col).cast("timestamp")).withWatermark(EVENT_TIME, delay)
 
 
-def ingest_events(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """T1: events deduplicated on event_id (within ``delay``), with the date
-    partition column."""
-    return (with_event_time(events, delay=delay)
-            .dropDuplicatesWithinWatermark(["event_id"])
-            .withColumn("event_date", F.to_date("timestamp"))
-            .drop(EVENT_TIME))
+def stored(spark: SparkSession, source: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """What ``source`` (a catalogue table or a folder of Parquet files) holds
+    now; None where a folder does not exist yet.  Read anew in every batch: a
+    frame resolved once would keep the file listing of its first day."""
+    if "/" not in source:
+        spark.catalog.refreshTable(source)
+        return spark.table(source)
+    try:
+        r = spark.read.schema(schema) if schema is not None else spark.read
+        return r.parquet(source)
+    except AnalysisException as ex:
+        if "PATH_NOT_FOUND" in str(ex):
+            return None
+        raise
+
+
+def store_events(batch: DataFrame, target: str) -> None:
+    """T1 for one micro-batch: the events that ``target`` does not hold yet.
+
+    However late an event is, it is stored; one that was sent twice, in one
+    batch or in different ones, is stored once; a batch that runs again stores
+    nothing new.  Only the dates of the batch are looked up (partition
+    pruning).  An event without an id gets one from its content."""
+    spark = batch.sparkSession
+    own = F.concat(F.lit("auto-"), F.xxhash64(*[c for c in batch.columns if c != "event_id"]).cast("string"))
+    new = (batch.withColumn("event_id", F.coalesce("event_id", own)).dropDuplicates(["event_id"])
+           .withColumn("event_date", F.to_date("timestamp")))
+    # At most one value per calendar day of the batch.
+    dates = [r[0] for r in new.select("event_date").distinct().collect()]
+    known = stored(spark, target, table_schema("events"))
+    if known is not None:
+        on_days = F.col("event_date").isin([d for d in dates if d is not None])
+        if None in dates:
+            on_days = F.coalesce(on_days, F.lit(False)) | F.col("event_date").isNull()
+        new = new.join(known.where(on_days).select("event_id"), "event_id", "left_anti")
+    if "/" in target:
+        new.write.mode("append").partitionBy(*PARTITIONING["events"]).parquet(target)
+    else:
+        insert_by_name(new, target)
+
+
+def _start(stream: DataFrame, checkpoint: str, each_batch, trigger: dict | None):
+    def run(batch, _id):
+        batch.persist()
+        try:
+            each_batch(batch)
+        finally:
+            batch.unpersist()
+
+    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
+    return (w.trigger(**trigger) if trigger else w).start()
 
 
-def start_ingest(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
-    w = (ingest_events(events).writeStream.format("parquet").partitionBy("event_date")
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start(path)
+def start_ingest(events: DataFrame, target: str, checkpoint: str, trigger: dict | None = None):
+    """T1: store the stream's events in ``target`` (table or folder)."""
+    return _start(events, checkpoint, lambda b: store_events(b, target), trigger)
 
 
 def active_users(events: DataFrame, window: str = "30 minutes", slide: str = "5 minutes",
@@ -80,7 +128,11 @@ def active_users(events: DataFrame, window: str = "30 minutes", slide: str = "5
     if approx:
         counted = e.groupBy(w).agg(F.approx_count_distinct("user_id", rsd).alias("active_users"))
     else:
-        per_user = e.groupBy(w, "user_id").agg(F.count(F.lit(1)).alias("n"))
+        # An event is one row of a slot; only (slot, user) rows are copied to
+        # the windows that hold the slot.
+        per_slot = e.groupBy(F.window(EVENT_TIME, slide).alias("s"), "user_id").agg(F.count(F.lit(1)).alias("n"))
+        in_windows = F.window(F.window_time("s"), window, slide).alias("w")
+        per_user = per_slot.groupBy(in_windows, "user_id").agg(F.sum("n").alias("n"))
         counted = per_user.groupBy("w").agg(F.count(F.lit(1)).alias("active_users"))
     return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                           "active_users")
@@ -94,56 +146,68 @@ def daily_purchases(events: DataFrame, delay: str = "1 hour") -> DataFrame:
             .select(F.to_date(F.col("d.start")).alias("day"), "orders", "revenue"))
 
 
-def assign_once(assignments: DataFrame, delay: str = "1 day") -> DataFrame:
-    """T4: the first assignment of each (user_id, run_id) seen within ``delay``."""
-    return (with_event_time(assignments, ts_col="assigned_at", delay=delay)
-            .dropDuplicatesWithinWatermark(["user_id", "run_id"]).drop(EVENT_TIME))
+def store_assignments(batch: DataFrame, table: str) -> None:
+    """T4 for one micro-batch: the first assignment of each (user, run) that
+    ``table`` does not hold, whenever it was stored.  Only the runs of the
+    batch are looked up (the table is partitioned by run)."""
+    runs = [r[0] for r in batch.select("run_id").distinct().collect()]      # one value per run of the batch
+    known = stored(batch.sparkSession, table).where(
+        F.col("run_id").isin([r for r in runs if r is not None]) | F.col("run_id").isNull())
+    insert_by_name(assign_new(batch, known), table)
 
 
-def live_visitors(assignments: DataFrame, delay: str = "1 day") -> DataFrame:
-    """T5: distinct visitors per (run, variant) -- T4 then a count; update or
-    complete mode."""
-    return (assign_once(assignments, delay).filter(F.col("run_id").isNotNull())
-            .groupBy("run_id", "variant").agg(F.count(F.lit(1)).alias("visitors")))
+def start_assign_once(assignments: DataFrame, table: str, checkpoint: str, trigger: dict | None = None):
+    """T4: store each user's first assignment of a run, once."""
+    return _start(assignments, checkpoint, lambda b: store_assignments(b, table), trigger)
 
 
-def refresh_mart_batch(spark: SparkSession, batch: DataFrame, events: DataFrame, assignments: DataFrame,
-                       table: str, metrics=mart_ops.OPTIONAL_METRICS) -> None:
+def live_visitors(spark: SparkSession, table: str) -> DataFrame:
+    """T5: distinct visitors per (run, variant) of the assignments that T4 has
+    stored so far."""
+    return variant_users(stored(spark, table))
+
+
+def refresh_mart_batch(batch: DataFrame, events: str, assignments: str, table: str,
+                       metrics=mart_ops.OPTIONAL_METRICS) -> None:
     """T6 for one micro-batch: the days the batch touches are rebuilt from the
-    stored tables and written by dynamic partition overwrite, so replaying a
-    batch gives the same table."""
-    days = batch.select(F.to_date("timestamp").alias("report_date")).filter(F.col("report_date").isNotNull()).distinct()
+    stored ``events`` and ``assignments`` (tables or folders, read as they
+    are now) and replace those days' partitions, so replaying a batch gives
+    the same table."""
+    spark = batch.sparkSession
+    ev, asg = stored(spark, events), stored(spark, assignments)
+    if ev is None or asg is None:
+        return
     # The touched days of one batch: bounded by the batch's time span.
-    days = F.broadcast(days)
-    if "event_date" in events.columns:
-        # Stored events are partitioned by event_date: the semi join on it lets
-        # dynamic partition pruning read only the touched days.
-        ev = events.join(days, events.event_date == days.report_date, "left_semi")
+    days = F.broadcast(batch.select(F.to_date("timestamp").alias("report_date"))
+                       .filter(F.col("report_date").isNotNull()).distinct())
+    if "event_date" in ev.columns:
+        # Stored events are partitioned by date: the semi join lets dynamic
+        # partition pruning read only the touched days.
+        ev = ev.join(days, ev.event_date == days.report_date, "left_semi")
     else:
-        ev = (events.withColumn("report_date", F.to_date("timestamp"))
+        ev = (ev.withColumn("report_date", F.to_date("timestamp"))
               .join(days, "report_date", "left_semi").drop("report_date"))
-    asg = (assignments.withColumn("report_date", F.to_date("assigned_at"))
+    asg = (asg.withColumn("report_date", F.to_date("assigned_at"))
            .join(days, "report_date", "left_semi").drop("report_date"))
-    fresh = mart_ops.build_mart(asg, ev, metrics)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        from splitlens.sources.sinks import insert_by_name
-        insert_by_name(mart_ops.with_updated_at(fresh), table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    fresh = mart_ops.with_updated_at(mart_ops.build_mart(asg, ev, metrics))
+    rows = staged(fresh)                # one row per touched day
+    if not rows.isEmpty():
+        overwrite_partitions(rows, table)
+
 
+def start_mart_refresh(event_stream: DataFrame, events: str, assignments: str, table: str, checkpoint: str,
+                       trigger: dict | None = None, metrics=mart_ops.OPTIONAL_METRICS):
+    """T6: keep the KPI mart fresh from an event stream whose events something
+    else stores."""
+    return _start(event_stream, checkpoint, lambda b: refresh_mart_batch(b, events, assignments, table, metrics), trigger)
 
-def start_mart_refresh(spark: SparkSession, event_stream: DataFrame, events: DataFrame, assignments: DataFrame,
-                       table: str, checkpoint: str, trigger: dict | None = None):
-    """T6: keep the KPI mart fresh from an event stream."""
-    w = (event_stream.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, _id: refresh_mart_batch(spark, b, events, assignments, table)))
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
 
+def start_live_mart(event_stream: DataFrame, events: str, assignments: str, table: str, checkpoint: str,
+                    trigger: dict | None = None, metrics=mart_ops.OPTIONAL_METRICS):
+    """T1, then T6, in the same micro-batch (T7): what a batch brings, late rows
+    included, is stored before the days it touches are rebuilt."""
+    def both(batch):
+        store_events(batch, events)
+        refresh_mart_batch(batch, events, assignments, table, metrics)
 
-__all__ = ["ASSIGNMENTS", "EVENTS", "read_stream", "ingest_events", "start_ingest", "active_users",
-           "daily_purchases", "assign_once", "live_visitors", "refresh_mart_batch", "start_mart_refresh",
-           "checkpoint_location"]
+    return _start(event_stream, checkpoint, both, trigger)

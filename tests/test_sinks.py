@@ -133,3 +133,48 @@ def test_load_csv_table(spark, tmp_path):
     assert len(r) == 1 and r[0].amount == 12.5
     with pytest.warns(UserWarning):
         assert not sinks.load_csv_table(spark, str(tmp_path / "missing.csv"), "csv_wh.users", schemas.USERS)
+
+
+def test_range_replace_computes_its_input_once(spark, ns):
+    sinks.create_tables(spark, ns)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    new = spark.range(3).selectExpr("date_add(date'2024-01-01', cast(id as int)) report_date", "id total_users")
+    sinks.range_replace(new.mapInArrow(count, new.schema), f"{ns}.dm_daily_kpi")
+    assert spark.table(f"{ns}.dm_daily_kpi").count() == 3 and seen.value == 3
+
+
+def test_delete_restores_the_table_when_the_swap_fails(spark, ns, monkeypatch):
+    sinks.create_tables(spark, ns)
+    sinks.bulk_append(frame(spark, ASSIGNMENTS, [dict(user_id=f"u{i}", run_id="r") for i in range(4)]), f"{ns}.assignments")
+    real = type(spark).sql
+
+    def sql(self, text, *a, **k):
+        if "__rewrite RENAME" in text:
+            raise RuntimeError("no")
+        return real(self, text, *a, **k)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    with pytest.raises(RuntimeError):
+        sinks.delete_where(spark, f"{ns}.assignments", F.col("user_id") == "u0")
+    monkeypatch.undo()
+    spark.sql(f"ALTER TABLE {ns}.assignments RECOVER PARTITIONS")
+    assert spark.table(f"{ns}.assignments").count() == 4
+
+
+def test_copy_keeps_one_row_per_key(spark):
+    src = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e"), (3, "f")], "k int, v string")
+    dst = spark.createDataFrame([(3, "x"), (None, "y")], "k int, v string")
+    got = sorted((r.k is None, r.k) for r in maintenance.copy_new_rows(src, dst, ["k"]).collect())
+    assert got == [(False, 1), (False, 2), (True, None), (True, None)]
+
+
+def test_health_with_nothing_present(spark):
+    got = maintenance.table_health({"a": None, "b": None}, spark).collect()
+    assert sorted(tuple(r) for r in got) == [("a", 0, False), ("b", 0, False)]
+    assert maintenance.table_health({"a": None}).count() == 1
