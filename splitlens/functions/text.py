@@ -24,7 +24,8 @@ def _times10(hi: Column, lo: Column) -> tuple[Column, Column]:
 
 
 def _fixed_body(v: Column, digits: int) -> Column:
-    hi, lo = F.abs(v), F.lit(0.0)
+    hi0 = F.abs(v)
+    hi, lo = hi0, F.lit(0.0)
     for _ in range(digits):
         hi, lo = _times10(hi, lo)
     f = F.floor(hi).cast("double")
@@ -32,7 +33,11 @@ def _fixed_body(v: Column, digits: int) -> Column:
     up = ((frac > 0.5)
           | ((frac == 0.5) & ((lo > 0) | ((lo == 0) & (F.pmod(f, F.lit(2.0)) == 1.0)))))
     n = f + F.when(up, F.lit(1.0)).otherwise(F.lit(0.0))
-    body = F.format_string(f"%.{digits}f", n / float(10 ** digits))
+    bound = float(1 << 52) / 10 ** digits
+    beyond = (hi0 >= bound) & (hi0 < float("inf"))
+    body = F.when(beyond, F.raise_error(F.concat(F.lit(f"{digits} decimals of this number are not exact: "),
+                                                 v.cast("string"))).cast("string")).otherwise(
+        F.format_string(f"%.{digits}f", n / float(10 ** digits)))
     # The text form keeps the sign of -0.0, which Python prints as "-0.0".
     sign = F.when(v.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
     return F.when(v.isNull(), F.lit(None).cast("string")).otherwise(F.concat(sign, body))
@@ -40,7 +45,7 @@ def _fixed_body(v: Column, digits: int) -> Column:
 
 def fixed_str(x: Column, digits: int) -> Column:
     """Text of ``x`` with ``digits`` decimals, rounded like Python; NULL stays
-    NULL.  Valid for |x| * 10^digits < 2^52.
+    NULL.  Exact for |x| * 10^digits < 2^52; a larger finite number raises.
 
     The arithmetic refers to its input many times; it is evaluated on the
     variable of a one-element ``transform`` so that ``x`` -- possibly a large

@@ -19,6 +19,7 @@ CTR_MIN = 0.05
 REVENUE_RATIO_MIN = 0.7
 CVR_MIN = 0.01
 ACTIVE_WINDOW_MINUTES = 30
+EVENT_DATE = "event_date"        # date partition of stored events
 
 
 def _ts(v) -> Column:
@@ -36,6 +37,8 @@ def live_pulse(events: DataFrame, as_of, window_minutes: int = ACTIVE_WINDOW_MIN
     start = t - F.expr(f"INTERVAL {int(window_minutes)} MINUTES")
     ts = F.col("timestamp")
     scan = events.filter((ts >= F.least(start, day)) & (ts <= t))
+    if EVENT_DATE in events.columns:        # stored events: open only the days of the window
+        scan = scan.filter(F.col(EVENT_DATE).between(F.to_date(F.least(start, day)), F.to_date(t)))
     recent = ts >= start
     today = (ts >= day) & is_purchase(F.col("event_name"))
     return scan.agg(
@@ -55,13 +58,18 @@ def daily_purchases(events: DataFrame) -> DataFrame:
 def active_users_windows(events: DataFrame, window_minutes: int = ACTIVE_WINDOW_MINUTES,
                          slide_minutes: int = 5) -> DataFrame:
     """(window_start, window_end, active_users): distinct users per sliding
-    window (the batch form of T2).  Users are counted once per window by a
-    (window, user) aggregate first, so a hot user adds one row per window."""
-    w = F.window(F.col("timestamp").cast("timestamp"), f"{window_minutes} minutes", f"{slide_minutes} minutes")
-    per_user = events.select(w.alias("w"), "user_id").distinct()
-    return (per_user.groupBy("w").agg(F.count(F.lit(1)).alias("active_users"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "active_users"))
+    window (the batch form of T2).  Users are counted once per slide first, so
+    an event is one row in the shuffle, a hot user one per slide; only those
+    rows are copied to the windows that hold them."""
+    slots, slide = window_minutes // slide_minutes, slide_minutes * 60
+    slot = F.floor(F.unix_seconds(F.col("timestamp").cast("timestamp")) / slide).cast("long")
+    seen = events.where(F.col("timestamp").isNotNull()).select(slot.alias("slot"), "user_id").distinct()
+    per_user = seen.select(F.explode(F.sequence(F.col("slot") - (slots - 1), F.col("slot"))).alias("first"), "user_id").distinct()
+    start = F.timestamp_seconds(F.col("first") * slide)
+    return (per_user.groupBy("first").agg(F.count(F.lit(1)).alias("active_users"))
+            .select(start.cast("timestamp_ntz").alias("window_start"),
+                    (start + F.expr(f"INTERVAL {int(window_minutes)} MINUTES")).cast("timestamp_ntz").alias("window_end"),
+                    "active_users"))
 
 
 def latest_two(mart: DataFrame) -> DataFrame:
@@ -178,11 +186,17 @@ def _display(df: DataFrame) -> DataFrame:
             .withColumn("label", label))
 
 
-def recent_events(events: DataFrame, k: int = 3, by: str | None = None, user_like: str | None = None) -> DataFrame:
+def recent_events(events: DataFrame, k: int = 3, by: str | None = None, user_like: str | None = None,
+                  since=None) -> DataFrame:
     """Newest ``k`` events overall, or per ``by`` (e.g. run_id), ties broken by
     event id, with display fields; ``user_like`` restricts to an id family
     (e.g. 'user_hist_%').  Per group this is a window top-k, which Spark
-    limits per partition before the shuffle (WindowGroupLimit)."""
+    limits per partition before the shuffle (WindowGroupLimit).  ``since``
+    bounds the time, and the date partitions that are opened."""
+    if since is not None:
+        events = events.filter(F.col("timestamp") >= _ts(since))
+        if EVENT_DATE in events.columns:
+            events = events.filter(F.col(EVENT_DATE) >= F.to_date(_ts(since)))
     cols = ["event_id", "user_id", "event_name", "value", "timestamp", "run_id"]
     if user_like:
         events = events.filter(F.col("user_id").like(user_like))

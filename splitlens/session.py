@@ -92,14 +92,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+# What size_for_input has set, by application: only that may it change again.
+_SIZED: dict[tuple[str, str], str] = {}
+
+
 def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,
-                   max_partitions: int = 200_000) -> dict:
-    """Partition settings for a job reading about ``input_bytes``, applied only
-    where the session leaves them unset: shuffle partitions so that each holds
-    about ``partition_bytes`` before adaptive coalescing, split size for the
+                   expansion: float = 3.0) -> dict:
+    """Partition settings for a job reading about ``input_bytes`` of Parquet,
+    applied only where the session -- its start-up configuration or a later
+    ``spark.conf.set`` -- leaves them unset: shuffle partitions so that each
+    holds about ``partition_bytes`` of rows before adaptive coalescing (rows
+    take about ``expansion`` times their compressed files), split size for the
     scans, and the advisory / skew sizes adaptive execution works with.
     Returns the values in effect."""
-    n = max(1, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    n = max(1, -(-int(input_bytes * expansion) // partition_bytes))
     wanted = {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
@@ -108,24 +114,9 @@ def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int =
     }
     out = {}
     for k, v in wanted.items():
-        explicit = spark.sparkContext.getConf().contains(k)
-        if not explicit:
+        own = (spark.sparkContext.applicationId, k)
+        if spark.conf.get(k, None) in (None, _SIZED.get(own)):
             spark.conf.set(k, v)
+            _SIZED[own] = v
         out[k] = spark.conf.get(k)
     return out
-
-
-def estimated_partitions(df, partition_bytes: int = 256 << 20) -> int:
-    """Partition count for repartitioning ``df``: Catalyst's size estimate
-    divided by ``partition_bytes``, never below the cluster's default
-    parallelism (every core gets work; an explicit repartition is not
-    coalesced later, so a large fixed floor would leave many empty tasks).
-    Use it on scans and filters; without column statistics the estimate of a
-    join is the product of its inputs."""
-    spark = df.sparkSession
-    base = max(1, int(spark.sparkContext.defaultParallelism))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: keep the session setting
-        return base
-    return max(base, min(200_000, -(-size // partition_bytes)))

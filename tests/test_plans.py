@@ -5,10 +5,14 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from pyspark.sql import functions as F
+
+from splitlens.operators import metrics, monitor
+from splitlens.plans import catalog
+from splitlens.sources import sinks
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
+QUERIES = catalog.queries()
 
 
 @pytest.fixture
@@ -53,9 +57,31 @@ def test_scans_are_pruned(static_plan, name):
 
 def test_journey_splits_groups(static_plan):
     plan = static_plan("user_journey")
-    assert "rangepartitioning(run_id" in plan
-    assert not re.search(r"Window \[.*partitionBy|Window .*\[run_id.*user_id\]", plan)
-    assert plan.count("BroadcastExchange") == 1      # the per-partition summaries only
+    assert "MapInPandas" not in plan and "BroadcastExchange" not in plan
+    # The only windows over a whole (run, user) run over slice summaries and assignments.
+    for line in re.findall(r"\n[ +:*()0-9-]*Window [^\n]*", plan):
+        assert "_slice" in line.split("windowspecdefinition(")[1] or "variant" in line or "user_id" in line, line
+    assert plan.count("hashpartitioning(run_id") >= 3
+
+
+def test_stored_events_are_pruned(spark, fx):
+    db = "plan_db"
+    sinks.create_tables(spark, db, reset=True)
+    sinks.append_events(fx.events, f"{db}.events")
+    stored = spark.table(f"{db}.events")
+
+    def filters(df):
+        return re.findall(r"PartitionFilters: \[([^\]]*)\]", df._jdf.queryExecution().executedPlan().toString())
+
+    as_of = "2024-01-30 12:00:00"
+    pulse = monitor.live_pulse(stored, as_of)
+    assert all("event_date" in f for f in filters(pulse)) and filters(pulse)
+    assert pulse.first() == monitor.live_pulse(fx.events, as_of).first()
+    assert all("event_date" in f for f in filters(monitor.recent_events(stored, since="2024-01-29 00:00:00")))
+    run = "run_20240105"
+    assert all(f"{run}" in f for f in filters(metrics.ab_primary(fx.assignments, stored, run_ids=[run])) if "run_id" in f)
+    assert any("run_id" in f for f in filters(metrics.ab_primary(fx.assignments, stored, run_ids=[run])))
+    assert stored.where(F.col("run_id") == run).count() == fx.events.where(F.col("run_id") == run).count()
 
 
 def test_broadcasts_only_bounded_frames(static_plan):

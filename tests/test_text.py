@@ -34,3 +34,14 @@ def test_random_values(spark):
 @given(st.lists(st.integers(min_value=-10 ** 7, max_value=10 ** 7), min_size=1, max_size=30))
 def test_decimal_halves(spark, ints):
     check(spark, [i / 200 for i in ints] + [i / 2000 for i in ints], 2)
+
+
+def test_a_number_beyond_exact_arithmetic_raises(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from splitlens.functions.text import fixed_str
+    ok = spark.createDataFrame([(float(1 << 44),)], "x double").select(fixed_str(F.col("x"), 2).alias("t"))
+    assert ok.first().t == "17592186044416.00"
+    with pytest.raises(Exception, match="not exact"):
+        spark.createDataFrame([(float(1 << 52),)], "x double").select(fixed_str(F.col("x"), 2)).collect()
