@@ -10,6 +10,12 @@ from splitlens.plans.oracle_forms import converters
 
 RUN_OF_TS = "concat('run_', strftime(cast({ts} as date), '%Y%m%d'))"
 
+_TENTH = "cast(user_id AS bigint) % 10"
+HARD_IDS = f"""* REPLACE (
+    CASE WHEN {_TENTH} = 0 THEN 'guest' WHEN {_TENTH} <= 3 THEN 'user_hist_' || user_id
+         WHEN {_TENTH} <= 5 THEN 'agent_mission_' || user_id ELSE user_id END AS user_id,
+    CASE WHEN {_TENTH} > 3 THEN run_id END AS run_id)"""
+
 FIXTURE_CTES = f"""
 fx_bucket AS (
   SELECT u AS user_id, {bucket_sql_duckdb('u')} AS bucket
@@ -33,6 +39,8 @@ fx_events AS (
          {RUN_OF_TS.format(ts='ts')} AS run_id
   FROM events
 ),
+fx_hard_events AS (SELECT {HARD_IDS} FROM fx_events),
+fx_hard_assignments AS (SELECT {HARD_IDS} FROM fx_assignments),
 fx_users AS (
   SELECT cast(c_custkey AS varchar) AS user_id, c_name AS name, c_mktsegment AS segment,
          cast(date '2001-08-01' - cast(c_custkey % 90 AS int) AS date) AS joined_at

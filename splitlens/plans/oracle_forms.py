@@ -64,7 +64,7 @@ def weighted(a: str, e: str) -> str:
             f"{whole('money / nullif(payers, 0)')} AS aov, {whole('money / nullif(people, 0)')} AS arpu FROM ({sums}) s")
 
 
-def day_totals(a: str, e: str, same_day: bool) -> str:
+def day_totals(a: str, e: str, same_day: bool, times: str = "count(*)") -> str:
     """Per assignment day: users, clickers, buyers, money, steps; what a user
     did on that day (``same_day``) or on any day."""
     keys = "user_id, cast(timestamp AS date) AS day" if same_day else "user_id"
@@ -72,7 +72,7 @@ def day_totals(a: str, e: str, same_day: bool) -> str:
     return (f"SELECT m.day AS report_date, count(m.user_id) AS total_users, count(*) FILTER (WHERE f.clicked) AS click_count, "
             f"count(*) FILTER (WHERE f.bought) AS total_orders, coalesce(sum(m.times * f.spent), 0) AS total_revenue, "
             f"coalesce(sum(m.times * f.steps), 0) AS steps "
-            f"FROM (SELECT user_id, cast(assigned_at AS date) AS day, count(*) AS times FROM {a} GROUP BY ALL) m "
+            f"FROM (SELECT user_id, cast(assigned_at AS date) AS day, {times} AS times FROM {a} GROUP BY ALL) m "
             f"LEFT JOIN ({facts(keys, e)}) f ON {on} GROUP BY m.day")
 
 
@@ -80,12 +80,12 @@ def per(x: str, n: str) -> str:
     return f"cast({x} AS double) / nullif({n}, 0)"
 
 
-def mart(a: str, e: str) -> str:
+def mart(a: str, e: str, times: str = "count(*)") -> str:
     return (f"SELECT report_date, total_users, click_count, total_orders, total_revenue, "
             f"{per('click_count', 'total_users')} AS ctr, {per('total_orders', 'total_users')} AS cvr, "
             f"coalesce({per('total_revenue', 'total_orders')}, 0) AS aov, "
             f"coalesce({per('total_revenue', 'total_users')}, 0) AS arpu, {per('steps', 'total_users')} AS session_depth "
-            f"FROM ({day_totals(a, e, True)}) d")
+            f"FROM ({day_totals(a, e, True, times)}) d")
 
 
 def etl(a: str, e: str) -> str:

@@ -13,6 +13,7 @@ AS_OF = "2024-01-30 12:00:00"
 ALERT_CTR, ALERT_REV, ALERT_CVR = 0.22, 0.8, 0.38
 
 A, E = "fx_assignments", "fx_events"
+HARD_A, HARD_E = "fx_hard_assignments", "fx_hard_events"
 MART_SQL = forms.mart(A, E)
 
 MART_DOUBLES = ("total_revenue", "ctr", "cvr", "aov", "arpu", "session_depth")
@@ -137,12 +138,25 @@ def q_run_progress(fx):
 
 @register("prefix_counts", """
 SELECT * FROM
-  (SELECT count(CASE WHEN event_name LIKE 'banner%' THEN 1 END) AS banner_events,
-          count(CASE WHEN event_name LIKE 'banner_%' THEN 1 END) AS banner_underscore_events FROM fx_events) e,
-  (SELECT count(CASE WHEN user_id LIKE 'user_hist_%' THEN 1 END) AS history_assignments,
-          count(CASE WHEN user_id LIKE 'agent_%' THEN 1 END) AS agent_assignments FROM fx_assignments) a""")
+  (SELECT count(*) FILTER (WHERE starts_with(event_name, 'banner')) AS banner_events,
+          count(*) FILTER (WHERE starts_with(event_name, 'banner') AND length(event_name) > 6) AS banner_underscore_events
+   FROM fx_hard_events) e,
+  (SELECT count(*) FILTER (WHERE starts_with(user_id, 'user_hist_')) AS history_assignments,
+          count(*) FILTER (WHERE starts_with(user_id, 'agent_')) AS agent_assignments FROM fx_hard_assignments) a""")
 def q_prefix_counts(fx):
-    return monitor.prefix_counts(fx.events, fx.assignments)
+    return monitor.prefix_counts(fx.hard_events, fx.hard_assignments)
+
+
+# Repeated assignments: a guest's revenue and steps count once per assignment...
+@register("kpi_mart_repeated", forms.mart(HARD_A, HARD_E), doubles=MART_DOUBLES, digits=6)
+def q_kpi_mart_repeated(fx):
+    return mart.build_mart(fx.hard_assignments, fx.hard_events)
+
+
+# ... or once per user and day.
+@register("kpi_mart_dedup", forms.mart(HARD_A, HARD_E, "1"), doubles=MART_DOUBLES, digits=6)
+def q_kpi_mart_dedup(fx):
+    return mart.build_mart(fx.hard_assignments, fx.hard_events, dedup_assignments=True)
 
 
 @register("kpi_alerts_latest", f"""

@@ -78,6 +78,14 @@ def q_portfolio(fx):
     return reporting.portfolio(fx.experiments)
 
 
+@register("portfolio_filtered", f"""
+SELECT target AS target_group, count(*) OVER () AS group_size, run_id, hypothesis, primary_metric, lift, decision,
+       '{stats.DECISION_NONE}' AS badge, 'orange' AS badge_color
+FROM fx_experiments WHERE target = 'target_1' AND decision NOT IN ('{stats.DECISION_WINNER}', '{stats.DECISION_LOSER}')""", doubles=("lift",))
+def q_portfolio_filtered(fx):
+    return reporting.portfolio(fx.experiments, target="target_1", decision=stats.DECISION_NONE)
+
+
 @register("target_list", """
 SELECT DISTINCT target FROM fx_experiments WHERE target IS NOT NULL ORDER BY target""")
 def q_target_list(fx):

@@ -77,6 +77,24 @@ class Fixtures:
             (F.lit(1.0) + (F.col("user_id") % 4).cast("double") * 0.5).alias("weight"),
         )
 
+    # The same rows under the id families of the application: every tenth user
+    # is the shared ``guest``, three in ten are history users; both are outside
+    # runs (NULL).  Two in ten are agents.  A guest has an assignment for each
+    # of the users it stands for, so assignments repeat.
+    def _hard(self, df: DataFrame) -> DataFrame:
+        u = F.col("user_id").cast("long") % 10
+        uid = (F.when(u == 0, F.lit("guest")).when(u <= 3, F.concat(F.lit("user_hist_"), F.col("user_id")))
+               .when(u <= 5, F.concat(F.lit("agent_mission_"), F.col("user_id"))).otherwise(F.col("user_id")))
+        return df.withColumns({"run_id": F.when(u > 3, F.col("run_id")), "user_id": uid})
+
+    @cached_property
+    def hard_events(self) -> DataFrame:
+        return self._hard(self.events)
+
+    @cached_property
+    def hard_assignments(self) -> DataFrame:
+        return self._hard(self.assignments)
+
     @cached_property
     def users(self) -> DataFrame:
         c = self.table("customer", ["c_custkey", "c_name", "c_mktsegment"])
