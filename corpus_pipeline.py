@@ -30,9 +30,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     last; where ids repeat, the text's hash tells the rows apart."""
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"),
                    F.xxhash64("text").alias("h"))
-    found = simhash.near_duplicates(docs.select(key.alias("key"), "text"), id_col="key")
-    dropped = found.where(F.col("key") != F.col("component_id")).select("key").distinct()
-    return docs.withColumn("key", key).join(dropped, "key", "left_anti").select(*docs.columns)
+    found = simhash.near_duplicates(docs.select(key.alias("_llm_key"), "text"), id_col="_llm_key")
+    dropped = found.where(F.col("_llm_key") != F.col("component_id")).select("_llm_key").distinct()
+    return docs.withColumn("_llm_key", key).join(dropped, "_llm_key", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,32 +44,32 @@ def filter_blocks(rows: int, max_bits: int = MAX_BITS) -> int:
 def _with_bits(df: DataFrame, sha: str, blocks: int) -> DataFrame:
     h = F.xxhash64(F.col(sha))
     return df.withColumns({
-        "_block": F.pmod(h, F.lit(blocks)),
-        "_bit1": F.pmod(F.shiftrightunsigned(h, 30), F.lit(BLOCK_BITS)),
-        "_bit2": F.pmod(F.shiftrightunsigned(h, 47), F.lit(BLOCK_BITS)),
+        "_llm_block": F.pmod(h, F.lit(blocks)),
+        "_llm_bit1": F.pmod(F.shiftrightunsigned(h, 30), F.lit(BLOCK_BITS)),
+        "_llm_bit2": F.pmod(F.shiftrightunsigned(h, 47), F.lit(BLOCK_BITS)),
     })
 
 
 def repeat_filter(hashed: DataFrame, sha: str, blocks: int) -> DataFrame:
     """Pass one: per block the bitmap of the bits that two or more rows set."""
     bits = _with_bits(hashed, sha, blocks).select(
-        "_block", F.explode(F.array("_bit1", "_bit2")).alias("_bit"))
-    twice = bits.groupBy("_block", "_bit").agg(F.count("*").alias("_n")).where("_n > 1")
-    return twice.groupBy(F.col("_block").alias("_fb")).agg(
-        F.bitmap_construct_agg("_bit").alias("_map"))
+        "_llm_block", F.explode(F.array("_llm_bit1", "_llm_bit2")).alias("_llm_bit"))
+    twice = bits.groupBy("_llm_block", "_llm_bit").agg(F.count("*").alias("_llm_n")).where("_llm_n > 1")
+    return twice.groupBy(F.col("_llm_block").alias("_llm_fb")).agg(
+        F.bitmap_construct_agg("_llm_bit").alias("_llm_map"))
 
 
 def _bit_set(bit: str) -> Column:
-    byte = F.conv(F.hex(F.substring("_map", (F.col(bit) / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    byte = F.conv(F.hex(F.substring("_llm_map", (F.col(bit) / 8).cast("int") + 1, F.lit(1))), 16, 10)
     return F.getbit(byte.cast("long"), F.pmod(F.col(bit), F.lit(8)).cast("int")) == 1
 
 
 def possibly_repeated(df: DataFrame, sha: str, filt: DataFrame, blocks: int) -> DataFrame:
     """Pass two: ``df`` with ``_again``, false only for texts that occur once.
     The filter has at most ``max_bits`` bits, so it may be broadcast."""
-    tested = _with_bits(df, sha, blocks).join(F.broadcast(filt), F.col("_block") == F.col("_fb"), "left")
-    again = F.coalesce(_bit_set("_bit1") & _bit_set("_bit2"), F.lit(False))
-    return tested.withColumn("_again", again).drop("_block", "_bit1", "_bit2", "_fb", "_map")
+    tested = _with_bits(df, sha, blocks).join(F.broadcast(filt), F.col("_llm_block") == F.col("_llm_fb"), "left")
+    again = F.coalesce(_bit_set("_llm_bit1") & _bit_set("_llm_bit2"), F.lit(False))
+    return tested.withColumn("_llm_again", again).drop("_llm_block", "_llm_bit1", "_llm_bit2", "_llm_fb", "_llm_map")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -83,10 +83,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blocks = filter_blocks(total, max_bits)
     filt = written(repeat_filter(hashed, "sha", blocks), "dedup-filter")
     tested = possibly_repeated(hashed, "sha", filt, blocks)
-    alone = tested.where(~F.col("_again")).select(
+    alone = tested.where(~F.col("_llm_again")).select(
         F.col("id"), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), F.col("sha"))
-    again = tested.where("_again").drop("_again")
+    again = tested.where("_llm_again").drop("_llm_again")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row")))
     groups = written(again.groupBy("sha").agg(F.count("*").alias("group_size"), first.alias("first"))
                      .select("sha", "group_size", F.col("first.id").alias("keep_id"),
@@ -107,12 +107,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stays.  The rank limit is applied in every map task before the shuffle, so
     a group of copies sends one row per task.
     """
-    sha = docs.withColumn("_sha", text_hash(F.col(text_col)))
-    hashed = written(sha.select("_sha"), "dedup-hashed")
+    sha = docs.withColumn("_llm_sha", text_hash(F.col(text_col)))
+    hashed = written(sha.select("_llm_sha"), "dedup-hashed")
     blocks = filter_blocks(hashed.count(), max_bits)
-    filt = written(repeat_filter(hashed, "_sha", blocks), "dedup-filter")
-    tested = possibly_repeated(sha, "_sha", filt, blocks)
-    w = Window.partitionBy("_sha").orderBy(F.col(id_col).asc_nulls_last())
-    again = (tested.where("_again").withColumn("_rank", F.row_number().over(w))
-             .where("_rank = 1").select(*docs.columns))
-    return tested.where(~F.col("_again")).select(*docs.columns).unionByName(again)
+    filt = written(repeat_filter(hashed, "_llm_sha", blocks), "dedup-filter")
+    tested = possibly_repeated(sha, "_llm_sha", filt, blocks)
+    w = Window.partitionBy("_llm_sha").orderBy(F.col(id_col).asc_nulls_last())
+    again = (tested.where("_llm_again").withColumn("_llm_rank", F.row_number().over(w))
+             .where("_llm_rank = 1").select(*docs.columns))
+    return tested.where(~F.col("_llm_again")).select(*docs.columns).unionByName(again)

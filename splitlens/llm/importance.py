@@ -45,6 +45,7 @@ MARGIN = 0.05
 SMOOTH = 1.0
 SEED = 6
 REMEMBERED = 300_000
+WEIGHT, SCORE = "_llm_weight", "_llm_score"
 
 
 class Grams:
@@ -154,9 +155,9 @@ def log_ratio(raw: np.ndarray, own: np.ndarray) -> np.ndarray:
 
 
 def weighted(docs: DataFrame, text_col: str, ratio: np.ndarray) -> DataFrame:
-    """``docs`` with ``log_weight`` behind its columns."""
+    """``docs`` with the log weight behind its columns."""
     held = docs.sparkSession.sparkContext.broadcast(ratio)
-    schema = docs.withColumn("log_weight", F.lit(0.0)).schema
+    schema = docs.withColumn(WEIGHT, F.lit(0.0)).schema
     at_text = docs.columns.index(text_col)
 
     def run(batches):
@@ -167,7 +168,7 @@ def weighted(docs: DataFrame, text_col: str, ratio: np.ndarray) -> DataFrame:
                 n = np.bincount(where, minlength=len(texts))
                 total = np.bincount(where, weights=ratio[bucket], minlength=len(texts))
                 weight = total / np.maximum(n, 1) * np.minimum(n, TEMPER)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(weight)], [*part.schema.names, "log_weight"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(weight)], [*part.schema.names, WEIGHT])
 
     return docs.mapInArrow(run, schema)
 
@@ -207,29 +208,29 @@ def _id_at(ties: DataFrame, k: int) -> int:
 
 def scores(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, good_col: str,
            max_labelled: int, margin: float, keep_text: bool) -> tuple[DataFrame, Column]:
-    """``docs`` with ``log_weight`` and ``score`` as a written table (the text
+    """``docs`` with the log weight and the score as a written table (the text
     only where ``keep_text``), and the condition that keeps a row of it."""
     sample = (labels.where(F.col(good_col).isNotNull() & F.col(id_col).isNotNull())
-              .groupBy(F.col(id_col).alias("_id")).agg((F.min(good_col) > 0).alias("_good"))
-              .orderBy(F.xxhash64("_id", F.lit(SEED)), "_id").limit(max_labelled))
+              .groupBy(F.col(id_col).alias("_llm_id")).agg((F.min(good_col) > 0).alias("_llm_good"))
+              .orderBy(F.xxhash64("_llm_id", F.lit(SEED)), "_llm_id").limit(max_labelled))
     sample = written(sample, "importance-labels")
-    share = sample.agg(F.avg(F.col("_good").cast("double"))).first()[0]
+    share = sample.agg(F.avg(F.col("_llm_good").cast("double"))).first()[0]
     text = F.col(text_col)
-    targeted = docs.join(F.broadcast(sample), F.col(id_col) == F.col("_id"), "left").select(
-        text.alias("text"), F.col("_good").alias("good"))
+    targeted = docs.join(F.broadcast(sample), F.col(id_col) == F.col("_llm_id"), "left").select(
+        text.alias("text"), F.col("_llm_good").alias("good"))
     ratio = log_ratio(*model_counts(targeted, "text", F.col("good")))
     noise = -F.log(-F.log(uniform(F.col(id_col), F.lit(SEED))))
-    rows = weighted(docs, text_col, ratio).withColumn("score", F.col("log_weight") + noise)
+    rows = weighted(docs, text_col, ratio).withColumn(SCORE, F.col(WEIGHT) + noise)
     rows = written(rows if keep_text else rows.drop(text_col), "importance-scores")
     if share is None:
         return rows, F.lit(True)
     k = round(rows.count() * (share + margin * (1 - share)))
-    cut = cut_at(rows.select(F.col(id_col).alias("id"), "score"), k)
+    cut = cut_at(rows.select(F.col(id_col).alias("id"), F.col(SCORE).alias("score")), k)
     if cut is None:
         return rows, F.lit(True)
     high, last = cut
     at_cut = F.lit(True) if last is None else F.coalesce(F.col(id_col) <= F.lit(last), F.lit(False))
-    return rows, (F.col("score") > F.lit(high)) | ((F.col("score") == F.lit(high)) & at_cut)
+    return rows, (F.col(SCORE) > F.lit(high)) | ((F.col(SCORE) == F.lit(high)) & at_cut)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -238,7 +239,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     noise) and ``kept``."""
     rows, kept = scores(docs.select(id_col, F.col(text_col).cast("string").alias(text_col)), labels, id_col, text_col,
                         good_col, max_labelled, margin, keep_text=False)
-    return rows.select(id_col, "log_weight", "score", kept.alias("kept"))
+    return rows.select(id_col, F.col(WEIGHT).alias("log_weight"), F.col(SCORE).alias("score"), kept.alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

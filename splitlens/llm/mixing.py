@@ -157,13 +157,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` with every row as often as the mix takes it (not at all, once
     or twice)."""
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long")
-    key = [F.col(id_col).cast("long").alias("_id"), F.col(source_col).cast("string").alias("_source"), size.alias("_size")]
-    w = Window.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64(F.col(text_col)))
-    own = docs.select("*", *key).withColumn("_rep", F.row_number().over(w).cast("long"))
+    key = [F.col(id_col).cast("long").alias("_llm_id"), F.col(source_col).cast("string").alias("_llm_source"), size.alias("_llm_size")]
+    w = Window.partitionBy("_llm_id", "_llm_source", "_llm_size").orderBy(F.xxhash64(F.col(text_col)))
+    own = docs.select("*", *key).withColumn("_llm_rep", F.row_number().over(w).cast("long"))
     plan = mix(docs, id_col, text_col, source_col).where("copies > 0").select(
-        F.col(id_col).alias("_i"), F.col(source_col).alias("_s"), F.col("size").alias("_z"),
-        F.col("rep").alias("_r"), F.col("copies").alias("_copies"))
-    same = (F.col("_id").eqNullSafe(F.col("_i")) & F.col("_source").eqNullSafe(F.col("_s"))
-            & (F.col("_size") == F.col("_z")) & (F.col("_rep") == F.col("_r")))
-    return (own.join(plan, same).withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        F.col(id_col).alias("_llm_i"), F.col(source_col).alias("_llm_s"), F.col("size").alias("_llm_z"),
+        F.col("rep").alias("_llm_r"), F.col("copies").alias("_llm_copies"))
+    same = (F.col("_llm_id").eqNullSafe(F.col("_llm_i")) & F.col("_llm_source").eqNullSafe(F.col("_llm_s"))
+            & (F.col("_llm_size") == F.col("_llm_z")) & (F.col("_llm_rep") == F.col("_llm_r")))
+    return (own.join(plan, same).withColumn("_llm_c", F.explode(F.sequence(F.lit(1), F.col("_llm_copies"))))
             .select(*docs.columns))

@@ -44,7 +44,7 @@ def test_single_rows_pass_the_filter_unshuffled(spark):
         spark.range(10).selectExpr("sha2(cast(id as string), 256) sha"))
     blocks = X.filter_blocks(20010)
     tested = X.possibly_repeated(hashed, "sha", X.repeat_filter(hashed, "sha", blocks), blocks)
-    again = tested.where("_again").groupBy("sha").count().collect()
+    again = tested.where("_llm_again").groupBy("sha").count().collect()
     assert sum(r["count"] == 2 for r in again) == 10          # no repeat is missed
     assert len(again) < 0.05 * 20000                          # and few others are let through
 
@@ -55,6 +55,8 @@ def test_drop_copies_keeps_the_kept_rows(spark):
     import hashlib
     assert Counter((i, hashlib.sha256(brute.BLANKS.sub(" ", t or "").encode()).hexdigest()) for i, t in got.elements()) == kept
     assert X.drop_copies(frame(spark, ROWS)).columns == frame(spark, ROWS).columns
+    odd = frame(spark, ROWS).withColumnsRenamed({"id": "_sha", "row": "_again", "sha": "_n"})
+    assert {tuple(r)[2:] for r in X.drop_copies(odd).collect()} == {("r", 1, "s")}
 
 
 def test_empty_table(spark):

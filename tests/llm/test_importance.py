@@ -67,6 +67,7 @@ def test_kept_rows_have_their_columns(spark):
     out = I.keep_good(df, labels)
     want = Counter(r["doc_id"] for r in I.classify(df, labels).where("kept").collect())
     assert out.columns == df.columns and Counter(r["doc_id"] for r in out.collect()) == want
+    assert {(r["score"], r["id"]) for r in out.collect()} == {(0.5, "x")}       # a column of that name stays as it was
 
 
 def test_without_labels_all_are_kept(spark):
