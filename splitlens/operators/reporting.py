@@ -41,23 +41,24 @@ def guardrail_json(verdicts: DataFrame, order=GUARDRAILS) -> DataFrame:
     so the per-run list is bounded by the number of metrics."""
     idx = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("metric"))
     items = F.sort_array(F.collect_list(F.struct(idx.alias("i"), "metric", "control", "test", "lift", "passed")))
-    g = verdicts.groupBy("run_id").agg(items.alias("_g"))
-    return g.select("run_id", *_guardrail_fields("_g"))
+    keys = [c for c in ("run_id", "test_variant") if c in verdicts.columns]
+    return verdicts.groupBy(*keys).agg(items.alias("_g")).select(*keys, *_guardrail_fields("_g"))
 
 
 def experiment_records(design: DataFrame, outcomes: DataFrame, margin_pct: float = 5.0,
                        guardrails=GUARDRAILS, alpha: float = ALPHA) -> DataFrame:
     """Experiment records in one pass over ``run_outcomes``: the read-out
     (primary-metric z-test) and the guardrail results come from the same
-    pivoted row, so the events are folded once for both."""
+    pivoted row, so the events are folded once for both.  One record per arm
+    compared with the control (``test_variant``)."""
     ct = control_test(outcomes, ["users", "readout"] + [c for c in GUARD_COLUMNS if c != "users"])
     t = z_test(F.col("c_users"), F.col("c_readout"), F.col("t_users"), F.col("t_readout"))
     # The guardrail array is built once and read through a lambda variable, so
     # its expressions are not copied into each of the three derived fields.
     g = F.element_at(F.transform(F.array(guardrail_array(margin_pct, guardrails)),
                                  lambda a: F.struct(*_guardrail_fields(a))), 1)
-    r = ct.select("run_id", *[v.alias(k) for k, v in t.items()], g.alias("_g"))
-    r = with_p_value(r, alpha).select("run_id", "control_rate", "test_rate", "lift", "p_value", "decision",
+    r = ct.select("run_id", "test_variant", *[v.alias(k) for k, v in t.items()], g.alias("_g"))
+    r = with_p_value(r, alpha).select("run_id", "test_variant", "control_rate", "test_rate", "lift", "p_value", "decision",
                                       "_g.guardrail_results", "_g.guardrails_passed", "_g.guardrail_summary")
     rec = design.select("run_id", "target", "hypothesis", "primary_metric").join(r, "run_id")
     return rec.withColumn("guardrails", F.lit(",".join(guardrails)))
@@ -69,11 +70,13 @@ def experiment_record(design: DataFrame, readout: DataFrame, verdicts: DataFrame
     hypothesis, primary_metric), the read-out (rates, lift, p, decision), the
     configured guardrails as CSV and their results as JSON ('[]' when none).
     ``created_at`` is stamped on write, not here."""
-    r = readout.select("run_id", "control_rate", "test_rate", "lift", "p_value", "decision")
+    arm = ["test_variant"] if "test_variant" in readout.columns else []
+    r = readout.select("run_id", *arm, "control_rate", "test_rate", "lift", "p_value", "decision")
     rec = design.select("run_id", "target", "hypothesis", "primary_metric").join(r, "run_id")
     rec = rec.withColumn("guardrails", F.lit(",".join(guardrails)))
     if verdicts is not None:
-        rec = rec.join(guardrail_json(verdicts, guardrails), "run_id", "left")
+        on = ["run_id", *[c for c in arm if c in verdicts.columns]]
+        rec = rec.join(guardrail_json(verdicts, guardrails), on, "left")
     else:
         rec = rec.withColumn("guardrail_results", F.lit(None).cast("string")) \
                  .withColumn("guardrails_passed", F.lit(0)).withColumn("guardrail_summary", F.lit(""))

@@ -37,16 +37,16 @@ def _lift(test: Column, control: Column) -> Column:
 
 
 def control_test(counts: DataFrame, value_cols: list[str], key: str = "run_id") -> DataFrame:
-    """Pivot per-variant rows to one row per run: ``c_<col>``/``t_<col>`` of the
-    first and second variant; runs with fewer than two variants are dropped.
-    The list per run has one entry per variant, so it is tiny."""
-    arr = F.sort_array(F.collect_list(F.struct("variant", *value_cols)))
-    g = counts.groupBy(key).agg(arr.alias("_v"))
-    g = g.filter(F.size("_v") >= 2)
-    cols = [F.col(key), F.col("_v")[0]["variant"].alias("control_variant"),
-            F.col("_v")[1]["variant"].alias("test_variant")]
+    """One row per run and arm compared with its control: ``c_<col>``/``t_<col>``
+    of the first variant and of each other one; runs with fewer than two
+    variants give none.  The list per run has one entry per variant, so it is
+    tiny."""
+    arms = F.sort_array(F.collect_list(F.struct("variant", *value_cols)))
+    g = counts.groupBy(key).agg(arms.alias("_v")).filter(F.size("_v") >= 2)
+    g = g.select(key, F.col("_v")[0].alias("c"), F.explode(F.slice("_v", 2, F.size("_v") - 1)).alias("t"))
+    cols = [F.col(key), F.col("c.variant").alias("control_variant"), F.col("t.variant").alias("test_variant")]
     for c in value_cols:
-        cols += [F.col("_v")[0][c].alias(f"c_{c}"), F.col("_v")[1][c].alias(f"t_{c}")]
+        cols += [F.col(f"c.{c}").alias(f"c_{c}"), F.col(f"t.{c}").alias(f"t_{c}")]
     return g.select(*cols)
 
 
@@ -133,11 +133,11 @@ GUARD_COLUMNS = ["users", "conversions", "revenue", "clicks", "bounces"]
 
 
 def guardrail_verdicts(gcounts: DataFrame, margin_pct: float = 5.0, metrics=GUARDRAILS) -> DataFrame:
-    """Long form (run_id, metric, control, test, lift, passed) from
+    """Long form (run_id, test_variant, metric, control, test, lift, passed) from
     guardrail_counts.  Pass iff lift >= -margin (bounce: lift <= margin)."""
     ct = control_test(gcounts, GUARD_COLUMNS)
-    return (ct.select("run_id", F.explode(guardrail_array(margin_pct, metrics)).alias("g"))
-            .select("run_id", "g.metric", "g.control", "g.test", "g.lift", "g.passed"))
+    return (ct.select("run_id", "test_variant", F.explode(guardrail_array(margin_pct, metrics)).alias("g"))
+            .select("run_id", "test_variant", "g.metric", "g.control", "g.test", "g.lift", "g.passed"))
 
 
 def format_delta(x: Column, is_percent: bool = True) -> Column:
@@ -152,14 +152,14 @@ METRIC_COLUMNS = ("visitors", "clicks", "buyers", "revenue", "ctr", "cvr", "aov"
 
 
 def metrics_delta(weighted: DataFrame, columns=METRIC_COLUMNS) -> DataFrame:
-    """Long form (run_id, metric, control, test, delta) of the weighted table:
+    """Long form (run_id, test_variant, metric, control, test, delta) of the weighted table:
     delta is '(B-A)/A' in percent with one decimal, 'N/A' when A is 0/NULL or
     B is NULL."""
     ct = control_test(weighted, list(columns))
     rows = [F.struct(F.lit(c).alias("metric"), F.col(f"c_{c}").cast("double").alias("control"),
                      F.col(f"t_{c}").cast("double").alias("test")) for c in columns]
-    long = (ct.select("run_id", F.explode(F.array(*rows)).alias("d"))
-            .select("run_id", "d.metric", "d.control", "d.test"))
+    long = (ct.select("run_id", "test_variant", F.explode(F.array(*rows)).alias("d"))
+            .select("run_id", "test_variant", "d.metric", "d.control", "d.test"))
     a, b = F.col("control"), F.col("test")
     pct = (b - a) / F.nullif(a, F.lit(0.0)) * 100
     delta = (F.when(a.isNull() | b.isNull() | (a == 0), F.lit("N/A"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from splitlens.functions.hashing import bucket_col
 from splitlens.functions.normal import two_sided_p_sql, z_quantile
 from splitlens.operators import assignment, metrics, stats
 from splitlens.plans import oracle_forms as forms
@@ -12,13 +13,11 @@ from splitlens.plans.catalog import register
 # ---------------------------------------------------------------- SQL helpers
 
 def ct_sql(src: str, cols: list[str]) -> str:
-    """First and second variant of each run side by side (runs with >= 2)."""
-    sel = ", ".join(f"max(CASE WHEN rn = 1 THEN {c} END) AS c_{c}, max(CASE WHEN rn = 2 THEN {c} END) AS t_{c}"
-                    for c in cols)
-    return (f"SELECT run_id, max(CASE WHEN rn = 1 THEN variant END) AS control_variant, "
-            f"max(CASE WHEN rn = 2 THEN variant END) AS test_variant, {sel} "
-            f"FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY variant) AS rn, "
-            f"count(*) OVER (PARTITION BY run_id) AS nv FROM ({src}) s) r WHERE nv >= 2 GROUP BY run_id")
+    """The first variant of each run beside every other one."""
+    sides = ", ".join(f"c.{x} AS c_{x}, t.{x} AS t_{x}" for x in cols)
+    return (f"SELECT run_id, c.variant AS control_variant, t.variant AS test_variant, {sides} "
+            f"FROM (SELECT * FROM ({src}) s QUALIFY variant = min(variant) OVER (PARTITION BY run_id)) c "
+            f"JOIN ({src}) t USING (run_id) WHERE t.variant > c.variant")
 
 
 def ratio_sql(num: str, den: str) -> str:
@@ -121,6 +120,18 @@ def q_ab_stats(fx):
     return stats.ab_stats(metrics.ab_primary(fx.assignments, fx.events, "CTR"))
 
 
+# Three arms: each other arm is compared with the control.
+ARMS_SQL = """(SELECT a.* REPLACE (CASE WHEN b.bucket >= 75 THEN 'C' ELSE a.variant END AS variant)
+  FROM fx_assignments a JOIN fx_bucket b ON b.user_id = a.user_id)"""
+
+
+@register("ab_stats_arms", AB_STATS_SQL.replace(AB_PRIMARY_SQL, forms.converters(ARMS_SQL, E, "hit")),
+          doubles=("control_rate", "test_rate", "lift", "se", "z_score", "p_value"))
+def q_ab_stats_arms(fx):
+    third = F.when(bucket_col(F.col("user_id")) >= 75, F.lit("C")).otherwise(F.col("variant"))
+    return stats.ab_stats(metrics.ab_primary(fx.assignments.withColumn("variant", third), fx.events, "CTR"))
+
+
 @register("variant_ci", f"""
 SELECT run_id, variant, users, conversions,
        ({ratio_sql('conversions', 'users')}) * 100 AS rate_pct,
@@ -139,15 +150,15 @@ def q_guardrail_counts(fx):
 GUARD_VERDICTS_SQL = f"""
 WITH ct AS ({ct_sql(GUARD_COUNTS_SQL, ['users', 'conversions', 'revenue', 'clicks', 'bounces'])}),
 m AS (
-  SELECT run_id, 'CVR' AS metric, {ratio_sql('c_conversions', 'c_users')} AS control, {ratio_sql('t_conversions', 't_users')} AS test FROM ct
+  SELECT run_id, test_variant, 'CVR' AS metric, {ratio_sql('c_conversions', 'c_users')} AS control, {ratio_sql('t_conversions', 't_users')} AS test FROM ct
   UNION ALL
-  SELECT run_id, 'AOV', {ratio_sql('c_revenue', 'c_conversions')}, {ratio_sql('t_revenue', 't_conversions')} FROM ct
+  SELECT run_id, test_variant, 'AOV', {ratio_sql('c_revenue', 'c_conversions')}, {ratio_sql('t_revenue', 't_conversions')} FROM ct
   UNION ALL
-  SELECT run_id, 'Bounce Rate', {ratio_sql('c_bounces', 'c_users')}, {ratio_sql('t_bounces', 't_users')} FROM ct
+  SELECT run_id, test_variant, 'Bounce Rate', {ratio_sql('c_bounces', 'c_users')}, {ratio_sql('t_bounces', 't_users')} FROM ct
   UNION ALL
-  SELECT run_id, 'CTR', {ratio_sql('c_clicks', 'c_users')}, {ratio_sql('t_clicks', 't_users')} FROM ct),
+  SELECT run_id, test_variant, 'CTR', {ratio_sql('c_clicks', 'c_users')}, {ratio_sql('t_clicks', 't_users')} FROM ct),
 l AS (SELECT *, {lift_sql('test', 'control')} AS lift FROM m)
-SELECT run_id, metric, control, test, lift,
+SELECT run_id, test_variant, metric, control, test, lift,
        CASE WHEN metric = 'Bounce Rate' THEN lift <= 0.05 ELSE lift >= -0.05 END AS passed
 FROM l"""
 
@@ -169,7 +180,7 @@ def _delta_sql() -> str:
         a, b = f"cast(c_{c} AS double)", f"cast(t_{c} AS double)"
         pct = f"(({b} - {a}) / {a} * 100)"
         parts.append(
-            f"SELECT run_id, '{c}' AS metric, {a} AS control, {b} AS test, "
+            f"SELECT run_id, test_variant, '{c}' AS metric, {a} AS control, {b} AS test, "
             f"CASE WHEN {a} IS NULL OR {b} IS NULL OR {a} = 0 THEN 'N/A' "
             f"ELSE concat(CASE WHEN {pct} >= 0 THEN '+' ELSE '' END, printf('%.1f%%', {pct})) END AS delta FROM ct")
     return f"WITH ct AS ({ct_sql(WEIGHTED_SQL, cols)})\n" + "\nUNION ALL\n".join(parts)

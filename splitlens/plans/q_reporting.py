@@ -16,14 +16,14 @@ def _record(fx):
 
 
 @register("experiment_record", f"""
-SELECT s.run_id, x.target, x.hypothesis, x.primary_metric, s.control_rate, s.test_rate, s.lift, s.p_value, s.decision,
+SELECT s.run_id, s.test_variant, x.target, x.hypothesis, x.primary_metric, s.control_rate, s.test_rate, s.lift, s.p_value, s.decision,
        '{",".join(stats.GUARDRAILS)}' AS guardrails, g.guardrails_passed, g.guardrail_summary
 FROM fx_experiments x
 JOIN ({AB_STATS_SQL}) s ON x.run_id = s.run_id
-LEFT JOIN (SELECT run_id, cast(sum(CASE WHEN passed THEN 1 ELSE 0 END) AS int) AS guardrails_passed,
+LEFT JOIN (SELECT run_id, test_variant, cast(sum(CASE WHEN passed THEN 1 ELSE 0 END) AS int) AS guardrails_passed,
                   string_agg(metric || ':' || CASE WHEN passed THEN 'Pass' ELSE 'Fail' END, ','
                              ORDER BY {GUARD_ORDER_SQL}) AS guardrail_summary
-           FROM ({GUARD_VERDICTS_SQL}) v GROUP BY run_id) g ON s.run_id = g.run_id""",
+           FROM ({GUARD_VERDICTS_SQL}) v GROUP BY run_id, test_variant) g ON s.run_id = g.run_id AND s.test_variant = g.test_variant""",
           doubles=("control_rate", "test_rate", "lift", "p_value"))
 def q_experiment_record(fx):
     # The JSON column is checked through ``guardrail_results`` (it parses it
