@@ -19,12 +19,16 @@ So each fingerprint files itself under its triples (about 150) and its (equal
 segment, key of another) pairs (about 32), each worth some 36 bits.  Buckets are
 joined within, and every candidate is verified on all 64 bits.
 
-A bucket of more than ``bucket_limit`` fingerprints is not compared pair by pair.
-Its members are *dense* and take an exact way of linear cost: two fingerprints within 4 bits have a
-common point within 2 bits of both, so every dense fingerprint is filed under the
-2,081 points within 2 bits of it, and those filed at one point (2,081 at most)
-are all linked to the least of them.  Both ways lose no link, and
-connected components do the rest.
+Larger groups of near copies are not written out pair by pair.  In a bucket of more than
+``bucket_limit`` fingerprints a search goes from one member to all within 4 bits, from those
+to all that are left, and so on; only each member's component leaves the task.  In a large
+group around one text the first steps reach nearly all.  Where that would take more than
+``effort`` comparisons, the members are *dense* and take a way of linear cost: two
+fingerprints within 4 bits have a common point within 2 bits of both, so every dense
+fingerprint is filed under the 2,081 points within 2 bits of it, and those filed at one
+point (2,081 at most) are all linked to the least of them.  A key that more than a
+quarter of a batch shares makes its members dense at once, so no hot key meets in
+one task.  None of the ways loses a link, and connected components do the rest.
 
 Equal fingerprints are one node, so copies are never paired.
 
@@ -50,7 +54,9 @@ ship_by_value(__name__)
 
 SHINGLE = 4
 MAX_BITS = 4
-BUCKET_LIMIT = 24
+BUCKET_LIMIT = 24                   # largest bucket that is compared pair by pair
+EFFORT = 50_000_000                 # comparisons in one larger bucket
+BATCH = 4096                        # fingerprints filed at a time
 SEGMENTS = (22, 21, 21)             # low bits first
 GOLAY = 0b101011100011              # x^11+x^9+x^7+x^6+x^5+x+1, the generator polynomial
 BLOCK = 1 << 15                     # shingles hashed at a time
@@ -139,25 +145,26 @@ def filing_keys(fps: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(made), np.concatenate(owner)
 
 
-def filings(fps: DataFrame, bucket_limit: int) -> DataFrame:
-    """(key, fp, kind): a row per fingerprint and key.  Where one batch
-    already holds more than ``bucket_limit`` fingerprints of a key, it sends one
-    mark (kind 1) for the key, and each of those fingerprints once as dense
-    (kind 2, under a key of its own): a hot key sends few rows."""
+def filings(fps: DataFrame, hot_share: float = 0.25) -> DataFrame:
+    """(key, fp, kind): a row per fingerprint and key (kind 0).  Where more than
+    ``hot_share`` of a batch has one key, the batch sends one mark (kind 1) for
+    the key, and each of those fingerprints once as dense (kind 2, under a key of
+    its own)."""
 
     def run(batches):
         near = near_errors()
         for batch in batches:
-            for part in (batch.slice(k, 4096) for k in range(0, batch.num_rows, 4096)):
+            for part in (batch.slice(k, BATCH) for k in range(0, batch.num_rows, BATCH)):
                 x = part.column(0).to_numpy(zero_copy_only=False)
                 key, own = filing_keys(x, near)
                 order = np.argsort(key, kind="stable")
                 key, own = key[order], own[order]
                 start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, int)
                 size = np.diff(np.r_[start, len(key)])
-                hot = np.repeat(size > bucket_limit, size)
+                many = size > max(BUCKET_LIMIT, hot_share * BATCH)
+                hot = np.repeat(many, size)
                 dense = x[np.unique(own[hot])]
-                marks = key[start[size > bucket_limit]]
+                marks = key[start[many]]
                 keep = ~hot
                 out_key = np.r_[key[keep], marks, dense | 7]
                 out_fp = np.r_[x[own[keep]], np.zeros(len(marks), np.int64), dense]
@@ -170,9 +177,31 @@ def filings(fps: DataFrame, bucket_limit: int) -> DataFrame:
     return fps.select("fp").mapInArrow(run, "key long, fp long, kind byte")
 
 
-def verified(filed: DataFrame, bucket_limit: int, max_bits: int) -> DataFrame:
+def reach(fps: np.ndarray, max_bits: int, effort: int) -> np.ndarray | None:
+    """The least member of each fingerprint's component among ``fps`` (ascending,
+    distinct); None where finding it takes more than ``effort`` comparisons."""
+    root, todo, spent = np.empty_like(fps), np.arange(len(fps)), 0
+    while len(todo):
+        seed, front, todo = todo[0], todo[:1], todo[1:]
+        root[seed] = fps[seed]
+        while len(front) and len(todo):
+            hit = np.zeros(len(todo), bool)
+            for at in range(0, len(front), 64):
+                spent += min(64, len(front) - at) * len(todo)
+                if spent > effort:
+                    return None
+                far = fps[front[at:at + 64], None] ^ fps[None, todo]
+                hit |= (np.bitwise_count(far.view(np.uint64)) <= max_bits).any(axis=0)
+            front, todo = todo[hit], todo[~hit]
+            root[front] = fps[seed]
+    return root
+
+
+def verified(filed: DataFrame, bucket_limit: int, max_bits: int, effort: int) -> DataFrame:
     """(u, v, dense) out of ``filed``, dealt and sorted by key: verified pairs of small
-    buckets; members of larger ones as (fp, fp, true)."""
+    buckets; (member, least of its component) of larger ones; dense members as
+    (fp, fp, true)."""
+    largest = max(bucket_limit + 1, effort // 8)        # members of a bucket held at a time
 
     def run(batches):
         def judge(key, fp, kind):
@@ -183,10 +212,18 @@ def verified(filed: DataFrame, bucket_limit: int, max_bits: int) -> DataFrame:
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, int)
             size = np.diff(np.r_[start, len(key)])
             marked = np.add.reduceat(kind, start, dtype=np.int64) > 0 if len(start) else np.empty(0, bool)
-            over = np.repeat((size > bucket_limit) | marked, size)
-            dense.append(fp[over & (kind == 0)])
-            key, fp = key[~over], fp[~over]
             us, vs = [], []
+            for k in np.flatnonzero((size > bucket_limit) & ~marked):
+                members = np.unique(fp[start[k]:start[k] + size[k]])
+                root = reach(members, max_bits, effort)
+                if root is None:
+                    dense.append(members)
+                else:
+                    us.append(members[members != root])
+                    vs.append(root[members != root])
+            dense.append(fp[np.repeat(marked, size) & (kind == 0)])
+            small = np.repeat((size <= bucket_limit) & ~marked, size)
+            key, fp = key[small], fp[small]
             for step in range(1, bucket_limit):
                 same = np.flatnonzero(key[step:] == key[:-step]) if len(key) > step else np.empty(0, int)
                 if not len(same):
@@ -207,14 +244,14 @@ def verified(filed: DataFrame, bucket_limit: int, max_bits: int) -> DataFrame:
             cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
             if not len(cols[0]):
                 continue
-            # Rows of the last key wait for the next batch; of a key that is over
-            # the limit already, one row and the mark are enough to know it again.
+            # Rows of the last key wait for the next batch; of a key that has too
+            # many already, a mark is enough to know it again.
             cols = [np.concatenate([h, c]) for h, c in zip(held, cols)] if held else cols
             last = np.searchsorted(cols[0], cols[0][-1], "left")
             if last:
                 yield judge(*[c[:last] for c in cols])
             held = [c[last:] for c in cols]
-            if len(held[0]) > 4 * bucket_limit and (held[0][0] & 7) != 7:
+            if len(held[0]) > largest and (held[0][0] & 7) != 7:
                 more = held[1][held[2] == 0]
                 yield pa.RecordBatch.from_arrays([pa.array(more), pa.array(more), pa.array(np.ones(len(more), bool))],
                                                  ["u", "v", "dense"])
@@ -256,7 +293,7 @@ def dense_links(dense: DataFrame, max_bits: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                    bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+                    bucket_limit: int = BUCKET_LIMIT, effort: int = EFFORT) -> DataFrame:
     """One row per row of ``docs``: the id, ``fingerprint`` (16 hex digits) and
     ``component_id``, the smallest id reachable over links of at most ``max_bits``
     (0 to 4) differing bits."""
@@ -264,7 +301,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("the key scheme covers 0 to 4 differing bits")
     rows = written(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
     nodes = written(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "simhash-nodes")
-    found = written(verified(filings(nodes, bucket_limit), bucket_limit, max_bits).distinct(), "simhash-found")
+    found = written(verified(filings(nodes), bucket_limit, max_bits, effort).distinct(), "simhash-found")
     edges = found.where("not dense").select("u", "v").unionByName(
         dense_links(found.where("dense").select(F.col("u").alias("fp")), max_bits))
     comp = connected_components(edges)

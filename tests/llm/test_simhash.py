@@ -57,20 +57,31 @@ def test_every_four_bit_error_shares_a_filing_key():
         assert {o for o, _ in a & b} == set(range(len(x)))
 
 
-@pytest.mark.parametrize("limit", [24, 2])
-def test_near_copies(spark, limit):
-    """A limit of 2 sends nearly everything the dense way."""
+@pytest.mark.parametrize("limit,effort", [(24, S.EFFORT), (2, S.EFFORT), (2, 60), (2, 0)])
+def test_near_copies(spark, limit, effort):
+    """Pairs; the search in larger buckets; some or all of them the dense way."""
     rows = near_rows()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert got(S.near_duplicates(df, bucket_limit=limit)) == Counter(brute.near(rows))
+    assert got(S.near_duplicates(df, bucket_limit=limit, effort=effort)) == Counter(brute.near(rows))
+
+
+@pytest.mark.parametrize("bits", [1, 3, 4])
+def test_reach_equals_all_pairs(bits):
+    rng = np.random.default_rng(bits)
+    for size in (1, 2, 40, 300):
+        x = np.unique(rng.integers(0, 1 << 9, size) | (rng.integers(0, 3, size) << 40))
+        classes = brute.classes(x.tolist(), lambda a, b: (a ^ b).bit_count() <= bits)
+        least = {c: min(v for v, d in zip(x.tolist(), classes) if d == c) for c in classes}
+        assert S.reach(x, bits, 10 ** 9).tolist() == [least[c] for c in classes]
+    assert S.reach(np.arange(50), 4, 10) is None
 
 
 @pytest.mark.parametrize("bits", [1, 2, 3])
 def test_fewer_bits(spark, bits):
     rows = near_rows(seed=5, bases=4)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for limit in (24, 2):
-        assert got(S.near_duplicates(df, max_bits=bits, bucket_limit=limit)) == Counter(brute.near(rows, bits))
+    for limit, effort in ((24, S.EFFORT), (2, 0)):
+        assert got(S.near_duplicates(df, max_bits=bits, bucket_limit=limit, effort=effort)) == Counter(brute.near(rows, bits))
 
 
 def test_edge_rows_and_clashing_names(spark):
@@ -97,7 +108,7 @@ def test_dense_members_across_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     try:
         nodes = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(4)
-        found = S.verified(S.filings(nodes, 8), 8, 4).distinct()
+        found = S.verified(S.filings(nodes, 8 / S.BATCH), 8, 4, 0).distinct()
         dense = {r["u"] for r in found.where("dense").collect()}
         links = S.dense_links(found.where("dense").selectExpr("u as fp"), 4).collect()
     finally:
