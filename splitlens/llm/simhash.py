@@ -56,6 +56,7 @@ SHINGLE = 4
 MAX_BITS = 4
 BUCKET_LIMIT = 24                   # largest bucket that is compared pair by pair
 EFFORT = 50_000_000                 # comparisons in one larger bucket
+FILED_BY_TASK = 1 << 16             # fingerprints a task files, about
 BATCH = 4096                        # fingerprints filed at a time
 SEGMENTS = (22, 21, 21)             # low bits first
 GOLAY = 0b101011100011              # x^11+x^9+x^7+x^6+x^5+x+1, the generator polynomial
@@ -301,7 +302,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("the key scheme covers 0 to 4 differing bits")
     rows = written(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
     nodes = written(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "simhash-nodes")
-    found = written(verified(filings(nodes), bucket_limit, max_bits, effort).distinct(), "simhash-found")
+    # A fingerprint becomes some 180 rows: a task files a bounded number of them.
+    spark = docs.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, -(-nodes.count() // FILED_BY_TASK))
+    found = written(verified(filings(nodes.select("fp").repartition(parts)), bucket_limit, max_bits, effort).distinct(), "simhash-found")
     edges = found.where("not dense").select("u", "v").unionByName(
         dense_links(found.where("dense").select(F.col("u").alias("fp")), max_bits))
     comp = connected_components(edges)

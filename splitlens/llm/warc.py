@@ -4,8 +4,8 @@ Writer: each record is one gzip member.  Of the pages with one payload the
 largest id is written as ``response``, the others as ``revisit`` records
 (identical-payload-digest) that refer to it; their block keeps the HTTP head, whose
 Content-Length is the payload's.  Every task writes its own files (a new one
-after ``archive_bytes``) under a temporary name and renames them when they are whole; names
-depend on the partition only, so a task that is run again replaces what a lost one left.
+after ``archive_bytes``), named by its attempt. The table of archives, which Spark commits,
+lists those of the attempts that came through; what a lost attempt left is in no list.
 
 Reader: each archive is read by one task, front to back in blocks.  The
 stream is inflated incrementally, a new decompressor for every gzip member; the WARC
@@ -75,8 +75,7 @@ def _writer(folder: str, archive_bytes: int):
 
         fs, root = open_fs(folder)
         context = TaskContext.get()
-        stem = f"part-{context.partitionId():06d}"
-        mine = f".{context.taskAttemptId()}.tmp"
+        stem = f"part-{context.partitionId():06d}-{context.taskAttemptId()}"
         date = datetime.fromtimestamp(0, timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")   # reruns write the same bytes
         out, name, size, records, number = None, "", 0, 0, 0
 
@@ -100,7 +99,6 @@ def _writer(folder: str, archive_bytes: int):
 
         def closed():
             out.close()
-            fs.move(f"{root}/{name}{mine}", f"{root}/{name}")
             return pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([records], pa.int64()), pa.array([size], pa.int64())],
                                               ["archive", "records", "bytes"])
 
@@ -110,7 +108,7 @@ def _writer(folder: str, archive_bytes: int):
                     if out is None:
                         name, size, records = f"{stem}-{number:04d}.warc.gz", 0, 0
                         fs.create_dir(root, recursive=True)
-                        out = fs.open_output_stream(f"{root}/{name}{mine}", compression=None)
+                        out = fs.open_output_stream(f"{root}/{name}", compression=None)
                     data = member(row["id"], row["url"], row["payload"], row["revisit"], row["refers_to"])
                     out.write(data)
                     size, records = size + len(data), records + 1
