@@ -148,6 +148,12 @@ def target_list(experiments: DataFrame) -> DataFrame:
     return experiments.select("target").filter(F.col("target").isNotNull()).distinct().orderBy("target")
 
 
+def newest(df: DataFrame, k: int, *by: str) -> DataFrame:
+    """The ``k`` newest rows by the columns ``by`` (a top-k, not a sort): the
+    last 5 adoptions, the last 3 experiments."""
+    return df.orderBy(*[F.col(c).desc_nulls_last() for c in by]).limit(k)
+
+
 def adoption_summary(experiments: DataFrame, adoptions: DataFrame) -> DataFrame:
     """Experiments, adopted (run id among the adopted ids), not adopted and
     adoption rate in percent (0 when there are no experiments)."""

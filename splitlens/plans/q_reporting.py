@@ -92,6 +92,18 @@ def q_target_list(fx):
     return reporting.target_list(fx.experiments)
 
 
+@register("newest_adoptions", """
+SELECT * FROM fx_adoptions ORDER BY adopted_at DESC NULLS LAST, experiment_id DESC NULLS LAST LIMIT 5""")
+def q_newest_adoptions(fx):
+    return reporting.newest(fx.adoptions, 5, "adopted_at", "experiment_id")
+
+
+@register("newest_experiments", """
+SELECT run_id, target, decision FROM fx_experiments ORDER BY run_id DESC NULLS LAST LIMIT 3""")
+def q_newest_experiments(fx):
+    return reporting.newest(fx.experiments.select("run_id", "target", "decision"), 3, "run_id")
+
+
 @register("adoption_summary", """
 SELECT count(*) AS experiments, count(i.id) AS adopted, count(*) - count(i.id) AS not_adopted,
        CASE WHEN count(*) > 0 THEN count(i.id) / count(*) * 100 ELSE 0.0 END AS adoption_rate_pct

@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from splitlens.plans import catalog  # noqa: E402
 from splitlens.session import get_session  # noqa: E402
 
 
@@ -21,7 +21,7 @@ def main():
     spark = get_session("local[8]", shuffle_partitions=8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    qs = E.queries()
+    qs = catalog.queries()
     for name in sys.argv[1:] or sorted(qs):
         plan = qs[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
         lines = plan.split("\n")
