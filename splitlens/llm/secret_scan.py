@@ -44,7 +44,8 @@ _KINDS = {"up": "[A-Z]", "low": "[a-z]", "dig": "[0-9]", "sign": "[+/_-]"}
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str) -> DataFrame:
     """(id, path, start, before, found, after); ``start`` counts characters from 1.
-    The text is cut in front of every candidate, in one pass."""
+    The text is cut in front of every candidate, in one pass; a candidate has its whole
+    length, only the context around it is bounded."""
     cut = f"(?<!{RUN})(?={RUN}*[0-9])(?={RUN}{{{SHORTEST},}})"
     parts = docs.select(F.col(id_col).alias("id"), F.col(path_col).cast("string").alias("path"),
                         F.split(F.concat(F.lit(" "), F.col(text_col).cast("string")), cut, -1).alias("parts")).where("size(parts) > 1")
@@ -53,7 +54,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str) -> Da
     rows = parts.withColumn("starts", starts).select(
         "id", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size("parts") - 1), lambda k: F.struct(
             F.element_at("starts", k + 1).alias("start"), F.right(F.element_at("parts", k), F.lit(BEFORE)).alias("before"),
-            F.left(F.element_at("parts", k + 1), F.lit(4096)).alias("rest")))).alias("c"))
+            F.element_at("parts", k + 1).alias("rest")))).alias("c"))
     found = F.regexp_extract("c.rest", f"^{RUN}+", 0)
     return rows.select("id", "path", "c.start", "c.before", found.alias("found"),
                        F.substring(F.col("c.rest"), F.length(found) + 1, F.lit(AFTER)).alias("after"))

@@ -35,6 +35,17 @@ def test_candidates_equal_a_plain_scan(spark):
     assert {r["before"][-9:] for r in got if r["id"] == 5} == {'token = "'}
 
 
+def test_long_candidates_are_whole(spark):
+    """Runs of one 4,096-character prefix are told apart and keep what follows them."""
+    long = ["9" + "a" * 5000, "9" + "a" * 5000 + "b", "x" * 100000 + "1"]
+    rows = [(i, f"see {v} then more") for i, v in enumerate(long)]
+    found = S.candidates(frame(spark, rows), "doc_id", "text", "source").collect()
+    assert {(r["id"], r["start"], r["found"], r["after"]) for r in found} == {(i, 5, v, " then more") for i, v in enumerate(long)}
+    got = S.scan(frame(spark, rows)).collect()
+    assert {(r["doc_id"], r["length"], r["finding_sha256"]) for r in got} == {
+        (i, len(v), hashlib.sha256(v.encode()).hexdigest()) for i, v in enumerate(long)}
+
+
 def test_candidates_of_the_table(spark):
     docs = table(spark, SF, "documents", "doc_id", "text", "source")
     got = Counter((r["id"], r["start"], r["found"]) for r in S.candidates(docs, "doc_id", "text", "source").collect())
