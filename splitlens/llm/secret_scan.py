@@ -8,9 +8,10 @@ source's name); neighbouring words (credential and example words before it, an a
 dictionary words on either side).  The forest is trained on labelled findings
 and judges every candidate.
 
-``known_format`` labels findings where no labelled table is at hand: formats that are
-secrets by construction (access key ids, values assigned to credential words) against
-the rest.  Training takes at most ``MAX_LABELLED`` findings (those of the least hash); the
+``known_format`` labels findings where no labelled table is at hand: true for formats that are
+secrets by construction (issued keys, private keys, values assigned to credential names), false for
+sure decoys (phone, card, date, version, UUID and path forms), NULL for the rest, which the
+forest judges but does not learn from.  Training takes at most ``MAX_LABELLED`` findings (those of the least hash); the
 dictionary is counted over all documents and all candidates are judged.
 
 DataFrame, SQL and Spark ML functions only; no Python runs on the executors.
@@ -39,6 +40,21 @@ MAX_LABELLED = 20_000
 TREES, DEPTH, SEED = 24, 6, 10
 CREDENTIAL = "(?i)(passw|pwd|secret|token|credential|auth|api.?key|access.?key|private.?key)"
 EXAMPLE = "(?i)(example|sample|dummy|test|placeholder|fake|xxxx|version|phone|card)"
+# Credential names as in db_password, aws_secret_access_key or "apiKey", and the sign behind them.
+NAME = (r"(?:passw|passphrase|pwd|secret|token|credential|auth(?!ors?(?![a-z]))|(?:api|access|private)[ ._-]?key)[A-Za-z0-9_-]*")
+SIGN = "[\"'`]?\\]?\\s*[:=]{1,3}>?\\s*"
+KEY_FORMATS = "^(?:" + "|".join([
+    "(?:AKIA|ASIA|AIDA|AROA)[A-Z0-9]{16,}", "gh[pousr]_[A-Za-z0-9]{36,}", "github_pat_[A-Za-z0-9_]{22,}", "glpat-[A-Za-z0-9_-]{20,}",
+    "[sr]k_(?:live|test)_[A-Za-z0-9]{10,}", "sk-[A-Za-z0-9_-]{20,}", "xox[abeoprs]-[A-Za-z0-9-]{10,}", "AIza[A-Za-z0-9_-]{35}",
+    "npm_[A-Za-z0-9]{36}", r"eyJ[A-Za-z0-9_-]{9,}(?:\.[A-Za-z0-9_-]+){0,4}"]) + r")\z"
+_WORD = "(?:[A-Z]?[a-z]+|[0-9]{1,4})(?:[_-](?:[A-Z]?[a-z]+|[0-9]{1,4}))*"
+DECOYS = "^(?:" + "|".join([
+    r"\+?[0-9](?:[/_-]?[0-9]){0,18}",                                                   # phones, cards, dates
+    "[0-9]{4}-?[0-9]{2}-?[0-9]{2}[T_-][0-9]{2}(?:[0-9-]{0,6})Z?",                       # times
+    "(?i:v|ver|version|release|build|rc)[_-]?[0-9]+(?:[_-][0-9]+)*(?:[_-]?(?:alpha|beta|rc)[0-9]*)?",
+    "[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}",                             # UUIDs
+    f"/?(?:{_WORD}/)+(?:{_WORD})?"]) + r")\z"                                            # paths of words and numbers
+PLACEHOLDER = "(?i)(example|placeholder|dummy|changeme|xxxx)"
 _KINDS = {"up": "[A-Z]", "low": "[a-z]", "dig": "[0-9]", "sign": "[+/_-]"}
 
 
@@ -101,10 +117,15 @@ def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
 
 
 def known_format() -> Column:
-    """Label of a finding by formats that are secrets by construction."""
-    key_id = F.col("found").rlike("^(AKIA|ASIA)[A-Z2-7]{16}$") | F.col("found").rlike("^gh[pousr]_[A-Za-z0-9]{36}$")
-    assigned = F.col("before").rlike("(?i)(password|passwd|pwd|token|secret|api_?key)\\s*[=:]\\s*[\"'`]?$")
-    return key_id | (assigned & F.col("found").rlike("[a-fA-F0-9]{16}"))
+    """Label of a finding: true by the formats of issued keys, as the first line of a
+    private key, or as a value assigned to a credential name; false for what is surely something
+    else (phone, card, date, version, UUID or path forms that nothing assigns); NULL for the rest."""
+    key = F.col("found").rlike(KEY_FORMATS) | F.col("before").rlike(r"PRIVATE KEY( BLOCK)?-----\s*$")
+    assigned = F.col("before").rlike(f"(?i){NAME}{SIGN}[\"'`]?$")
+    # The forms are short; the bound keeps the pattern's groups off very long findings.
+    decoy = (F.length("found") <= 128) & F.left("found", F.lit(129)).rlike(DECOYS)
+    return (F.when(key | (assigned & ~decoy & ~F.col("found").rlike(PLACEHOLDER)), F.lit(True))
+            .when(decoy & ~assigned, F.lit(False)))
 
 
 def train(labelled: DataFrame, names: list[str], max_labelled: int = MAX_LABELLED) -> RandomForestClassificationModel | None:
