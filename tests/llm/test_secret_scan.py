@@ -128,3 +128,40 @@ def test_planted_secrets_of_forms_the_rule_does_not_know(spark):
     secret = {r["doc_id"] for r in S.scan(docs).collect() if r["is_secret"]}
     judged = {i for i in labels if i >= 1000}
     assert judged - secret == set() and not any(i < 1000 for i in secret)
+
+
+ASSIGNED = [
+    ('a password = "hunter2!" z', ["hunter2!"]), ("PWD: geheim\nnext", ["geheim"]), ('{"apiKey": "ab.cd@ef$gh%"}', ["ab.cd@ef$gh%"]),
+    ("secret='it is \"all\" of this\nand that' b", ['it is "all" of this\nand that']), (r'token => "a\"b\\" c', [r'a\"b\\']),
+    ("aws_secret_access_key=ab/cd.ef+gh= x", ["ab/cd.ef+gh="]), ("api key: é.ü!", ["é.ü!"]), ('secret = "open without end', ["open"]),
+    ("jwt_token=eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl", ["eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"]),
+    ("password='x token = \"y z\" w' pwd=1", ['x token = "y z" w', "y z", "1"]), ('password = "" none', []), ("the author: Jan, tokens are here", []),
+    ("pässé token: é" + "ñ!" * 60000 + " end", ["é" + "ñ!" * 60000]), ("token=" * 20000 + "v", [("token=" * 19999 + "v")]), ("password: " * 3 + "last", ["password:", "last"]),
+]
+
+
+def test_assigned_values_are_candidates(spark):
+    rows = list(enumerate(t for t, _ in ASSIGNED))
+    got = S.candidates(frame(spark, rows), "doc_id", "text", "source").collect()
+    runs = Counter((i, s, f) for i, s, f in plain(rows).elements())
+    more = Counter((r["id"], r["start"], r["found"]) for r in got) - runs
+    assert {i: sorted(f for j, _, f in more.elements() if j == i) for i, _ in rows} == {i: sorted(v) for i, (_, v) in enumerate(ASSIGNED)}
+    assert all(rows[i][1][s - 1:s - 1 + len(f)] == f for i, s, f in more)
+    assert [r["before"] + "|" + r["after"] for r in got if r["id"] == 0] == [' a password = "|" z']
+
+
+def test_planted_values_without_digits_or_with_signs(spark):
+    prose = "the order number of the house by the river was "
+    rows = [(i, prose + f"{4000000000000000 + i * 7919} and more") for i in range(200)]
+    rows += [(1000 + i, prose + f'password = "hunter{i}!" x') for i in range(50)] + [(2000 + i, prose + "secret: geh.eim$" + "abc"[i % 3] + " x") for i in range(30)]
+    secret = {r["doc_id"] for r in S.scan(frame(spark, rows)).collect() if r["is_secret"]}
+    assert secret == {*range(1000, 1050), *range(2000, 2030)}
+
+
+def test_coverage_counts_long_and_accented_words(spark):
+    docs = frame(spark, [(i, "unbelievably straße élément und") for i in range(3)])
+    words = S.dictionary(docs, "text")
+    assert {r["word"] for r in words.collect()} == {"unbelievably", "straße", "élément", "und"}
+    found = spark.createDataFrame([("UnbelievablyStraße_12", "und ", " élément"), ("Xkcdqrst_12345", "abc ", "")], "found string, before string, after string")
+    got = S.features(found.withColumn("path", F.lit("p")), words)[0].orderBy("found").collect()
+    assert [(r["f_covered"], r["f_word_before"], r["f_word_after"]) for r in got] == [(18 / 21, 1.0, 1.0), (0.0, 0.0, 0.0)]
