@@ -51,6 +51,31 @@ def test_planted_aliases(spark):
     assert got == want
 
 
+RELATIVE = [
+    ("http://a.org/p1", refresh("p2"), "http://a.org/p2"), ("http://a.org/d/e/p?x=/y", canonical("../x"), "http://a.org/d/x"),
+    ("http://a.org/d/p?id=1", canonical("?id=3"), "http://a.org/d/p?id=3"), ("http://a.org", canonical("x/./y/."), "http://a.org/x/y/"),
+    ("http://A.org/d/", refresh("../../../z?u=../q#f"), "http://a.org/z?u=../q"), ("http://a.org/d/p", canonical("/k/../m"), "http://a.org/m"),
+    ("http://a.org/p", canonical("q?to=http://b.org/"), "http://a.org/q?to=http://b.org/"), ("https://a.org/p", canonical("//b.org/x"), "https://b.org/x"),
+    ("http://a.org/p", canonical("it's here"), "http://a.org/it's here"), ("http://a.org/p", canonical("a>b"), "http://a.org/a>b"),
+    ("http://a.org/p", """<meta http-equiv="refresh" content="3; url='b c'; x">""", "http://a.org/b c"),
+    ("http://a.org/p", '<meta http-equiv=refresh content="0;url=it\'s"><p>', "http://a.org/it's"), ("http://a.org/p", "<link rel=canonical href=x/y>", "http://a.org/x/y"),
+    ("http://a.org/p", '<base target=_top href="/folder/">' + canonical("x"), "http://a.org/folder/x"),
+    ("http://a.org/p", canonical("") + canonical("#top") + canonical("mailto:x") + canonical("./p"), None), ("no scheme", canonical("x"), None), (None, canonical("x"), None),
+]
+
+
+def test_relative_and_quoted_targets(spark):
+    for url, html, want in RELATIVE:
+        got = [r["b"] for r in U.link_edges(frame(spark, [(1, url, html)])).collect()]
+        assert got == ([want] if want else []), (url, html)
+
+
+def test_block_through_a_relative_refresh(spark):
+    rows = [(1, "http://a.org/p1", refresh("p2")), (2, "http://a.org/p2", canonical("http://bad.net/")), (3, "http://a.org/p3", None)]
+    got = {r["page_id"]: r["verdict"] for r in U.filter_urls(frame(spark, rows), URL_RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow"}
+
+
 def test_hot_canonical_target(spark):
     """Thousands of pages name one blocked page."""
     rows = [(i, f"http://s{i}.org/", canonical("http://hub.org/")) for i in range(3000)] + [(9999, "http://hub.org/", refresh("http://bad.net/"))]
