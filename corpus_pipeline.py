@@ -41,8 +41,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, encoded and decoded again."""
-    return piece_codec.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    """Token ids and decoded text of what is left, beside their digests."""
+    return piece_codec.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=True)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mix), ("encode", encode)]

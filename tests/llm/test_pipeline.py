@@ -74,3 +74,13 @@ def test_near_stage_tells_rows_of_one_id_apart(spark):
     rows = [(1, "a b c d e", "en", "s", 9), (7, "a b c  d e", "en", "s", 9), (7, "q r s t u v w x", "en", "s", 9)]
     docs = spark.createDataFrame(rows, table(spark, SF_SMALL, "documents").schema)
     assert {(r["doc_id"], r["text"][0]) for r in P.near(spark, docs, SF_SMALL).collect()} == {(1, "a"), (7, "q")}
+
+
+def test_last_stage_gives_ids_and_texts(spark):
+    docs = spark.createDataFrame(EDGE, table(spark, SF_SMALL, "documents").schema)
+    out = P.encode(spark, docs, SF_SMALL)
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
+    for r in out.collect():
+        assert len(r["ids"]) == r["n_tokens"]
+        assert hashlib.sha256(" ".join(map(str, r["ids"])).encode()).hexdigest() == r["ids_sha256"]
+        assert hashlib.sha256(r["decoded"].encode()).hexdigest() == r["decoded_sha256"]
