@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splitlens.llm import (exact_dedup, importance, mixing, piece_codec, prefix_trie, secret_scan, simhash,
+from splitlens.llm import (exact_dedup, html_text, importance, mixing, piece_codec, prefix_trie, secret_scan, simhash,
                            token_counts, topk, turn_repair, url_filter, warc)
 from splitlens.llm.common import table
 
@@ -62,6 +62,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     found = turn_repair.repair_digests(turn_repair.damage(rows)).drop("rows").withColumnRenamed("conv_id", "_llm_conv")
@@ -78,7 +82,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (op1_token_counts, op2_warc, op3_exact_dedup, op4_piece_codec, op5_simhash, op6_quality,
-            op7_topk, op8_mixing, op9_url_filter, op10_secret_scan, op12_turn_repair, op13_prefix_trie)
+            op7_topk, op8_mixing, op9_url_filter, op10_secret_scan, op11_html_text, op12_turn_repair, op13_prefix_trie)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
