@@ -3,18 +3,24 @@
 A journey is a window over (run_id, user_id) ordered by (timestamp,
 event_id).  A plain window sends each group to one task, so one bot or shared
 id holding a large share of a run's events would be sorted and scanned by a
-single task.  The default plan cuts every group into time slices:
-
-1. a window inside (run, user, slice) numbers the rows and finds neighbours;
-2. every slice is folded (map-side) to one summary row: how many events, the
-   first and the last; a window over a group's summaries gives the events
+single task.  The default plan is a prefix scan over ranges of each group:
+
+1. groups of more than a ``SLICES``-th of all events are hot; there are fewer than
+   ``SLICES`` of them.  Their order keys (timestamp, event id, hash of the row) are
+   sampled, and every ``PER_SLICE``-th of the sampled keys is a boundary, so that a hot group is cut
+   where its events are, whatever their times; every other group is one slice;
+2. a window inside (run, user, slice) numbers the rows and finds neighbours;
+3. every slice is folded (map-side) to its carry facts: how many events, the
+   first and the last; a window over a group's facts gives the events
    before the slice, the last event before it and the first after it;
-3. assignments join the summaries, not the events;
-4. rows meet their slice's summary on (run, user, slice), the key they are
+4. assignments join the facts, not the events;
+5. rows meet their slice's facts on (run, user, slice), the key they are
    already dealt out by, which corrects the rows at the slice's ends.
 
-The slice length is a parameter (``SLICE_SECONDS``): it bounds how much of a
-group is in one task and never changes results.
+The sample is taken by a hash of the row, so a plan that runs again finds the same
+boundaries, and its expected size (``SLICES`` x ``PER_SLICE`` keys) does not depend on the volume; at most
+about ``SLICES`` boundaries are broadcast.  The number of slices never changes results.
+Rows that agree in every column have no order among themselves and stay together.
 
 ``skew_safe=False`` gives the plain window (for data known to have no hot
 groups).
@@ -31,9 +37,9 @@ STAGE_INTEREST = "Interest"
 STAGE_CONVERSION = "Conversion"
 STAGE_OTHER = "Other"
 
-SLICE_SECONDS = 6 * 3600
-
-
+# Slices that all events would make, and sampled keys between two boundaries.
+SLICES = 1000
+PER_SLICE = 64
 
 def funnel_stage(name: Column) -> Column:
     return (F.when(name.like("banner%"), F.lit(STAGE_AWARENESS))
@@ -66,11 +72,38 @@ def _window_journey(j: DataFrame) -> DataFrame:
                    F.lead("event_name").over(w))
 
 
-def _sliced_journey(events: DataFrame, assignments: DataFrame, slice_seconds: int) -> DataFrame:
+def _position(bounds: Column, key: Column, most: int) -> Column:
+    """How many of the sorted ``bounds`` (fewer than 2 ** ``most``) are at or below ``key``: a binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in range(most - 1, -1, -1)])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.try_element_at(bounds, at + step) <= key, at + step).otherwise(at))
+    return F.when(bounds.isNull(), F.lit(0)).otherwise(F.coalesce(found, F.lit(0)))
+
+
+def with_slices(events: DataFrame, slices: int = SLICES, per_slice: int = PER_SLICE) -> DataFrame:
+    """``events`` (with ``_user``) with ``_slice``: 0 for ordinary groups, the range of the
+    order key for the rows of hot ones."""
+    keys = ["run_id", "_user"]
+    # Structs compare field by field, NULL first, as the window orders them.
+    key = F.struct(F.col("timestamp"), F.col("event_id"), F.xxhash64(*events.columns).alias("h"))
+    sizes = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    total = events.agg(F.count(F.lit(1)).alias("_total"))
+    hot = (sizes.crossJoin(F.broadcast(total))          # one row
+           .where(F.col("_size") * slices > F.col("_total"))
+           .select(*keys, F.greatest(F.lit(1), F.floor(F.col("_total") / (slices * per_slice))).cast("long").alias("_every")))
+    sample = (events.join(F.broadcast(hot), keys)       # fewer than `slices` rows
+              .where(F.pmod(F.xxhash64(F.lit(1), *events.columns), F.col("_every")) == 0))
+    bounds = (sample.groupBy(*keys).agg(F.array_sort(F.collect_list(key)).alias("_all"))
+              .select(*keys, F.filter("_all", lambda _, i: i % per_slice == per_slice - 1).alias("_bounds")))
+    most = (4 * slices).bit_length()
+    return (events.join(F.broadcast(bounds), keys, "left")
+            .withColumn("_slice", _position(F.col("_bounds"), key, most).cast("long")).drop("_bounds"))
+
+
+def _sliced_journey(events: DataFrame, assignments: DataFrame, slices: int, per_slice: int) -> DataFrame:
     # Keys without NULLs, so that plain equality joins them; events without a time come first.
     user = F.coalesce(F.concat(F.lit("u"), F.col("user_id")), F.lit("")).alias("_user")
-    cut = F.coalesce(F.floor(F.unix_timestamp("timestamp") / slice_seconds), F.lit(-(1 << 60))).cast("long").alias("_slice")
-    e = events.select("event_id", "user_id", "run_id", "event_name", "timestamp", "value", user, cut)
+    e = with_slices(events.select("event_id", "user_id", "run_id", "event_name", "timestamp", "value", user), slices, per_slice)
     keys = ["run_id", "_user", "_slice"]
     w = Window.partitionBy(*keys).orderBy("timestamp", "event_id")
     local = e.withColumns({
@@ -79,10 +112,10 @@ def _sliced_journey(events: DataFrame, assignments: DataFrame, slice_seconds: in
 
     order = F.struct("timestamp", "event_id")
     row = F.struct("event_name", "timestamp")
-    slices = e.groupBy(*keys).agg(F.count(F.lit(1)).alias("_count"), F.min_by(row, order).alias("_first"),
+    facts = e.groupBy(*keys).agg(F.count(F.lit(1)).alias("_count"), F.min_by(row, order).alias("_first"),
                                   F.max_by(row, order).alias("_last"))
     s = Window.partitionBy("run_id", "_user").orderBy("_slice")
-    slices = slices.withColumns({
+    facts = facts.withColumns({
         "_before": F.coalesce(F.sum("_count").over(s.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         "_from": F.lag("_last").over(s), "_to": F.lead("_first").over(s)})
     # Several assignments of a user in a run give each event once per assignment, k of m.
@@ -91,9 +124,9 @@ def _sliced_journey(events: DataFrame, assignments: DataFrame, slice_seconds: in
          .select(F.col("run_id"), "user_id", F.concat(F.lit("u"), F.col("user_id")).alias("_user"), "variant", "weight")
          .withColumns({"_k": F.row_number().over(of_user.orderBy("variant", "weight")),
                        "_m": F.count(F.lit(1)).over(of_user)}).drop("user_id"))
-    slices = slices.join(a, ["run_id", "_user"], "left").fillna(1, ["_k", "_m"])
+    facts = facts.join(a, ["run_id", "_user"], "left").fillna(1, ["_k", "_m"])
 
-    j = local.join(slices, keys)
+    j = local.join(facts, keys)
     copy, last_copy = F.col("_k") > 1, F.col("_k") == F.col("_m")
     first_of_slice = F.col("_n") == 1
     prev = (F.when(copy, F.col("event_name")).when(first_of_slice, F.col("_from.event_name")).otherwise(F.col("_prev")))
@@ -104,7 +137,7 @@ def _sliced_journey(events: DataFrame, assignments: DataFrame, slice_seconds: in
 
 
 def user_journey(events: DataFrame, assignments: DataFrame, run_ids=None, skew_safe: bool = True,
-                 slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+                 slices: int = SLICES, per_slice: int = PER_SLICE) -> DataFrame:
     """Every event of every run with its user's variant and weight, its
     position in the user's sequence (ties by event id), previous and next
     event name, seconds since the previous event, and funnel stage.  A user
@@ -114,7 +147,7 @@ def user_journey(events: DataFrame, assignments: DataFrame, run_ids=None, skew_s
     e = events.filter(F.col("run_id").isNotNull())
     if run_ids is not None:
         e = e.filter(F.col("run_id").isin(list(run_ids)))
-    return _sliced_journey(e, assignments, slice_seconds)
+    return _sliced_journey(e, assignments, slices, per_slice)
 
 
 def write_journey_csv(journey: DataFrame, path: str, mode: str = "overwrite") -> None:

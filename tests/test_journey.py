@@ -1,5 +1,5 @@
-"""The sliced (skew-safe) journey equals the plain window at every slice
-length, for hot groups, ties, missing times and repeated assignments."""
+"""The sliced (skew-safe) journey equals the plain window at every number of
+slices, for hot groups, ties, missing times and repeated assignments."""
 
 import datetime as dt
 
@@ -20,7 +20,7 @@ def as_set(df):
 
 def test_split_equals_window_on_fixture(spark, fx):
     a = journey.user_journey(fx.events, fx.assignments, skew_safe=False)
-    b = journey.user_journey(fx.events, fx.assignments, slice_seconds=3000)
+    b = journey.user_journey(fx.events, fx.assignments, slices=50, per_slice=4)
     assert as_set(a) == as_set(b)
 
 
@@ -40,12 +40,35 @@ def test_split_with_hot_group(spark):
                                ("u03", "r1", "A", 1.0), (None, "r1", "A", 1.0), ("u05", None, "A", 1.0)],
                               "user_id string, run_id string, variant string, weight double")
     want = journey.user_journey(e, a, skew_safe=False)
-    for seconds in (1, 90, 3600):
-        assert as_set(journey.user_journey(e, a, slice_seconds=seconds)) == as_set(want)
-    hot = journey.user_journey(e, a, slice_seconds=90).filter(F.col("user_id") == "hot")
+    for slices, per_slice in ((3, 1), (40, 8), (1000, 64)):
+        assert as_set(journey.user_journey(e, a, slices=slices, per_slice=per_slice)) == as_set(want)
+    hot = journey.user_journey(e, a, slices=40).filter(F.col("user_id") == "hot")
     assert hot.agg(F.max("event_sequence")).collect()[0][0] == 3000
 
 
+def test_hot_user_is_cut_evenly(spark):
+    """One user holds nine tenths of 200,000 events, half of them in the same second: no task
+    gets much more than the median, and the numbering is whole."""
+    n = 200_000
+    e = spark.range(n).select(
+        F.concat(F.lit("e"), F.col("id")).alias("event_id"),
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("u"), (F.col("id") / 10 % 5000).cast("int"))).otherwise(F.lit("hot")).alias("user_id"),
+        F.lit("page_view").alias("event_name"),
+        (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 977))).alias("timestamp"),
+        F.lit(1.0).alias("value"), F.lit("r1").alias("run_id"))
+    cut = journey.with_slices(e.withColumn("_user", F.concat(F.lit("u"), "user_id")), slices=100)
+    sizes = [r["count"] for r in cut.where("user_id = 'hot'").groupBy("_slice").count().collect()]
+    assert len(sizes) > 60 and max(sizes) < 3 * n / 100
+    tasks = (cut.repartition(8, "run_id", "_user", "_slice").groupBy(F.spark_partition_id().alias("p")).count()
+             .orderBy("count").collect())
+    assert tasks[-1]["count"] < 1.6 * tasks[4]["count"]
+    a = spark.createDataFrame([("hot", "r1", "B", 2.0)], "user_id string, run_id string, variant string, weight double")
+    got = journey.user_journey(e, a, slices=100).where("user_id = 'hot'").agg(
+        F.count("*"), F.count_distinct("event_sequence"), F.max("event_sequence"), F.count("prev_event")).first()
+    assert tuple(got) == (n * 9 // 10, n * 9 // 10, n * 9 // 10, n * 9 // 10 - 1)
+
+
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
@@ -56,10 +79,10 @@ ev = st.fixed_dictionaries(dict(
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(ev, min_size=1, max_size=80), st.integers(1, 9))
-def test_split_equals_window_on_random_rows(spark, rows, seconds):
+@given(st.lists(ev, min_size=1, max_size=80), st.integers(2, 30), st.integers(1, 3))
+def test_split_equals_window_on_random_rows(spark, rows, slices, per_slice):
     e = frame(spark, EVENTS, [dict(r, event_id=f"e{i:03d}") for i, r in enumerate(rows)])
     a = spark.createDataFrame([("a", "r1", "A", 1.0), ("a", "r1", "B", 1.0), ("b", "r2", "B", 2.0)],
                               "user_id string, run_id string, variant string, weight double")
     want = journey.user_journey(e, a, skew_safe=False)
-    assert as_set(journey.user_journey(e, a, slice_seconds=seconds)) == as_set(want)
+    assert as_set(journey.user_journey(e, a, slices=slices, per_slice=per_slice)) == as_set(want)
