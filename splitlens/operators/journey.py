@@ -3,12 +3,14 @@
 A journey is a window over (run_id, user_id) ordered by (timestamp,
 event_id).  A plain window sends each group to one task, so one bot or shared
 id holding a large share of a run's events would be sorted and scanned by a
-single task.  The default plan is a prefix scan over ranges of each group:
-
-1. groups of more than a ``SLICES``-th of all events are hot; there are fewer than
-   ``SLICES`` of them.  Their order keys (timestamp, event id, hash of the row) are
-   sampled, and every ``PER_SLICE``-th of the sampled keys is a boundary, so that a hot group is cut
-   where its events are, whatever their times; every other group is one slice;
+single task.  So groups are counted first (map-side folded): those of more than a
+``SLICES``-th of all events, and of ``HOT_ROWS`` at least, are hot; there are fewer than ``SLICES``.
+Without one, the plain window is the plan; the rows of hot groups get a prefix scan over ranges of
+their order:
+
+1. the order keys (timestamp, event id, hash of the row) of hot groups are
+   sampled, and every ``PER_SLICE``-th of the sampled keys is a boundary, so that a group is cut
+   where its events are, whatever their times;
 2. a window inside (run, user, slice) numbers the rows and finds neighbours;
 3. every slice is folded (map-side) to its carry facts: how many events, the
    first and the last; a window over a group's facts gives the events
@@ -19,7 +21,7 @@ single task.  The default plan is a prefix scan over ranges of each group:
 
 The sample is taken by a hash of the row, so a plan that runs again finds the same
 boundaries, and its expected size (``SLICES`` x ``PER_SLICE`` keys) does not depend on the volume; at most
-about ``SLICES`` boundaries are broadcast.  The number of slices never changes results.
+about ``SLICES`` boundaries are broadcast.  Which groups are hot, and how they are cut, never changes results.
 Rows that agree in every column have no order among themselves and stay together.
 
 ``skew_safe=False`` gives the plain window (for data known to have no hot
@@ -40,6 +42,7 @@ STAGE_OTHER = "Other"
 # Slices that all events would make, and sampled keys between two boundaries.
 SLICES = 1000
 PER_SLICE = 64
+HOT_ROWS = 100_000
 
 def funnel_stage(name: Column) -> Column:
     return (F.when(name.like("banner%"), F.lit(STAGE_AWARENESS))
@@ -80,30 +83,32 @@ def _position(bounds: Column, key: Column, most: int) -> Column:
     return F.when(bounds.isNull(), F.lit(0)).otherwise(F.coalesce(found, F.lit(0)))
 
 
-def with_slices(events: DataFrame, slices: int = SLICES, per_slice: int = PER_SLICE) -> DataFrame:
-    """``events`` (with ``_user``) with ``_slice``: 0 for ordinary groups, the range of the
-    order key for the rows of hot ones."""
+def hot_groups(events: DataFrame, slices: int = SLICES, hot_rows: int = HOT_ROWS) -> list:
+    """(run_id, _user, all events) of the groups that need cutting: fewer than ``slices``
+    rows by construction."""
+    sizes = events.groupBy("run_id", "_user").agg(F.count(F.lit(1)).alias("n"))
+    total = events.agg(F.count(F.lit(1)).alias("of"))
+    return (sizes.where(F.col("n") >= hot_rows).crossJoin(F.broadcast(total))      # one row
+            .where(F.col("n") * slices > F.col("of")).select("run_id", "_user", "of").collect())
+
+
+def with_slices(events: DataFrame, hot: DataFrame, slices: int = SLICES, per_slice: int = PER_SLICE) -> DataFrame:
+    """The ``events`` (with ``_user``) of the ``hot`` groups with ``_slice``, the range of the
+    order key that a row is in."""
     keys = ["run_id", "_user"]
     # Structs compare field by field, NULL first, as the window orders them.
     key = F.struct(F.col("timestamp"), F.col("event_id"), F.xxhash64(*events.columns).alias("h"))
-    sizes = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    total = events.agg(F.count(F.lit(1)).alias("_total"))
-    hot = (sizes.crossJoin(F.broadcast(total))          # one row
-           .where(F.col("_size") * slices > F.col("_total"))
-           .select(*keys, F.greatest(F.lit(1), F.floor(F.col("_total") / (slices * per_slice))).cast("long").alias("_every")))
-    sample = (events.join(F.broadcast(hot), keys)       # fewer than `slices` rows
-              .where(F.pmod(F.xxhash64(F.lit(1), *events.columns), F.col("_every")) == 0))
+    rows = events.join(F.broadcast(hot), keys)
+    every = F.greatest(F.lit(1), F.floor(F.col("of") / (slices * per_slice)))
+    sample = rows.where(F.pmod(F.xxhash64(F.lit(1), *events.columns), every) == 0)
     bounds = (sample.groupBy(*keys).agg(F.array_sort(F.collect_list(key)).alias("_all"))
               .select(*keys, F.filter("_all", lambda _, i: i % per_slice == per_slice - 1).alias("_bounds")))
-    most = (4 * slices).bit_length()
-    return (events.join(F.broadcast(bounds), keys, "left")
-            .withColumn("_slice", _position(F.col("_bounds"), key, most).cast("long")).drop("_bounds"))
+    return (rows.drop("of").join(F.broadcast(bounds), keys, "left")
+            .withColumn("_slice", _position(F.col("_bounds"), key, (4 * slices).bit_length()).cast("long")).drop("_bounds"))
 
 
-def _sliced_journey(events: DataFrame, assignments: DataFrame, slices: int, per_slice: int) -> DataFrame:
-    # Keys without NULLs, so that plain equality joins them; events without a time come first.
-    user = F.coalesce(F.concat(F.lit("u"), F.col("user_id")), F.lit("")).alias("_user")
-    e = with_slices(events.select("event_id", "user_id", "run_id", "event_name", "timestamp", "value", user), slices, per_slice)
+def _sliced_journey(events: DataFrame, hot: DataFrame, assignments: DataFrame, slices: int, per_slice: int) -> DataFrame:
+    e = with_slices(events, hot, slices, per_slice)
     keys = ["run_id", "_user", "_slice"]
     w = Window.partitionBy(*keys).orderBy("timestamp", "event_id")
     local = e.withColumns({
@@ -137,17 +142,25 @@ def _sliced_journey(events: DataFrame, assignments: DataFrame, slices: int, per_
 
 
 def user_journey(events: DataFrame, assignments: DataFrame, run_ids=None, skew_safe: bool = True,
-                 slices: int = SLICES, per_slice: int = PER_SLICE) -> DataFrame:
+                 slices: int = SLICES, per_slice: int = PER_SLICE, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every event of every run with its user's variant and weight, its
     position in the user's sequence (ties by event id), previous and next
     event name, seconds since the previous event, and funnel stage.  A user
     assigned several times in a run has each event once per assignment."""
-    if not skew_safe:
-        return _window_journey(_joined(events, assignments, run_ids))
     e = events.filter(F.col("run_id").isNotNull())
     if run_ids is not None:
         e = e.filter(F.col("run_id").isin(list(run_ids)))
-    return _sliced_journey(e, assignments, slices, per_slice)
+    if not skew_safe:
+        return _window_journey(_joined(e, assignments, run_ids))
+    # Keys without NULLs, so that plain equality joins them; events without a time come first.
+    user = F.coalesce(F.concat(F.lit("u"), F.col("user_id")), F.lit("")).alias("_user")
+    e = e.select("event_id", "user_id", "run_id", "event_name", "timestamp", "value", user)
+    found = hot_groups(e, slices, hot_rows)
+    if not found:
+        return _window_journey(_joined(e, assignments, run_ids))
+    hot = e.sparkSession.createDataFrame(found, "run_id string, _user string, of long")
+    rest = e.join(F.broadcast(hot), ["run_id", "_user"], "left_anti")
+    return _window_journey(_joined(rest, assignments, run_ids)).unionByName(_sliced_journey(e, hot, assignments, slices, per_slice))
 
 
 def write_journey_csv(journey: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -20,7 +20,7 @@ def as_set(df):
 
 def test_split_equals_window_on_fixture(spark, fx):
     a = journey.user_journey(fx.events, fx.assignments, skew_safe=False)
-    b = journey.user_journey(fx.events, fx.assignments, slices=50, per_slice=4)
+    b = journey.user_journey(fx.events, fx.assignments, slices=50, per_slice=4, hot_rows=2)
     assert as_set(a) == as_set(b)
 
 
@@ -41,8 +41,8 @@ def test_split_with_hot_group(spark):
                               "user_id string, run_id string, variant string, weight double")
     want = journey.user_journey(e, a, skew_safe=False)
     for slices, per_slice in ((3, 1), (40, 8), (1000, 64)):
-        assert as_set(journey.user_journey(e, a, slices=slices, per_slice=per_slice)) == as_set(want)
-    hot = journey.user_journey(e, a, slices=40).filter(F.col("user_id") == "hot")
+        assert as_set(journey.user_journey(e, a, slices=slices, per_slice=per_slice, hot_rows=2)) == as_set(want)
+    hot = journey.user_journey(e, a, slices=40, hot_rows=100).filter(F.col("user_id") == "hot")
     assert hot.agg(F.max("event_sequence")).collect()[0][0] == 3000
 
 
@@ -57,8 +57,11 @@ def test_hot_user_is_cut_evenly(spark):
         (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(
             F.lit(0), F.lit(0), F.lit(0), F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 977))).alias("timestamp"),
         F.lit(1.0).alias("value"), F.lit("r1").alias("run_id"))
-    cut = journey.with_slices(e.withColumn("_user", F.concat(F.lit("u"), "user_id")), slices=100)
-    sizes = [r["count"] for r in cut.where("user_id = 'hot'").groupBy("_slice").count().collect()]
+    keyed = e.withColumn("_user", F.concat(F.lit("u"), "user_id"))
+    found = journey.hot_groups(keyed, slices=100)
+    assert [tuple(r) for r in found] == [("r1", "uhot", n)]
+    cut = journey.with_slices(keyed, spark.createDataFrame(found), slices=100)
+    sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
     assert len(sizes) > 60 and max(sizes) < 3 * n / 100
     tasks = (cut.repartition(8, "run_id", "_user", "_slice").groupBy(F.spark_partition_id().alias("p")).count()
              .orderBy("count").collect())
@@ -85,4 +88,4 @@ def test_split_equals_window_on_random_rows(spark, rows, slices, per_slice):
     a = spark.createDataFrame([("a", "r1", "A", 1.0), ("a", "r1", "B", 1.0), ("b", "r2", "B", 2.0)],
                               "user_id string, run_id string, variant string, weight double")
     want = journey.user_journey(e, a, skew_safe=False)
-    assert as_set(journey.user_journey(e, a, slices=slices, per_slice=per_slice)) == as_set(want)
+    assert as_set(journey.user_journey(e, a, slices=slices, per_slice=per_slice, hot_rows=2)) == as_set(want)

@@ -7,9 +7,10 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from splitlens.operators import metrics, monitor
+from splitlens.operators import journey, metrics, monitor
 from splitlens.plans import catalog
 from splitlens.sources import sinks
+from splitlens.sources.fixtures import Fixtures
 from tests.conftest import SF_SMALL
 
 QUERIES = catalog.queries()
@@ -55,14 +56,20 @@ def test_scans_are_pruned(static_plan, name):
         assert "props" not in cols and len(cols) <= 6, (name, schema)
 
 
-def test_journey_splits_groups(static_plan):
+def test_journey_splits_groups(static_plan, spark):
+    """Without hot groups: one shuffle of the events and a plain window.  With them: the only windows over a
+    whole (run, user) run over slice facts and assignments, and the broadcasts hold hot groups and boundaries."""
     plan = static_plan("user_journey")
-    # Broadcast: the total, the hot groups (fewer than SLICES), their boundaries; for rows and for facts.
-    assert "MapInPandas" not in plan and plan.count("BroadcastExchange") == 6
-    # The only windows over a whole (run, user) run over slice summaries and assignments.
+    assert "MapInPandas" not in plan and "BroadcastExchange" not in plan and "_slice" not in plan
+    fx = Fixtures(spark, SF_SMALL)
+    e = fx.events.withColumn("_user", F.concat(F.lit("u"), "user_id"))
+    hot = spark.createDataFrame([("run_20240105", "u1", 1000)], "run_id string, _user string, of long")
+    plan = journey._sliced_journey(e, hot, fx.assignments, 10, 2)._jdf.queryExecution().executedPlan().toString()
     for line in re.findall(r"\n[ +:*()0-9-]*Window [^\n]*", plan):
         assert "_slice" in line.split("windowspecdefinition(")[1] or "variant" in line or "user_id" in line, line
     assert plan.count("hashpartitioning(run_id") >= 3
+    for held in re.findall(r"\n[^\n]*BroadcastExchange[^\n]*\n([^\n]*)", plan):
+        assert "collect_list" in held or re.search(r"Project \[run_id#\d+, _user#\d+(, of#\d+L)?\]|ExistingRDD", held), held
 
 
 def test_stored_events_are_pruned(spark, fx):
