@@ -65,7 +65,12 @@ def build_mart(assignments: DataFrame, events: DataFrame, metrics=OPTIONAL_METRI
     if dedup_assignments:
         a = a.withColumn("n_assign", F.lit(1).cast("long"))
     e = _event_fold(events.withColumn("report_date", F.to_date("timestamp")), ["user_id", "report_date"])
-    d = _per_day(a.join(e, ["user_id", "report_date"], "left"))
+    return finish_mart(a.join(e, ["user_id", "report_date"], "left"), metrics)
+
+
+def finish_mart(user_days: DataFrame, metrics=OPTIONAL_METRICS) -> DataFrame:
+    """The mart of one row per (report_date, assigned user) with both folds' columns."""
+    d = _per_day(user_days)
     users = F.nullif(F.col("total_users"), F.lit(0)).cast("double")
     orders = F.nullif(F.col("total_orders"), F.lit(0)).cast("double")
     optional = {
