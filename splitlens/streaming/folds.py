@@ -18,11 +18,11 @@ from pyspark.sql import types as T
 
 from splitlens.operators import mart as mart_ops
 from splitlens.operators.assignment import NULL_RUN, assign_once
-from splitlens.sources.schemas import ASSIGNMENTS, EVENTS, PARTITIONING
+from splitlens.sources.schemas import ASSIGNMENTS, EVENTS
 from splitlens.sources.sinks import insert_by_name, overwrite_partitions, staged, table_schema
 from splitlens.streaming import segments
-from splitlens.streaming.jobs import stored
-from splitlens.streaming.ledger import Ledger
+from splitlens.streaming.ledger import Ledger, store_once
+from splitlens.streaming.segments import stored
 
 FOLD = T.StructType([
     T.StructField("user_id", T.StringType()), T.StructField("n_assign", T.LongType()), T.StructField("clicked", T.IntegerType()),
@@ -85,28 +85,6 @@ class LiveMart:
         ev = ev if ev is not None else self.spark.createDataFrame([], EVENTS)
         segments.put(fold(ev, asg), f"{self.folder}/folds", "seed", ["report_date"])
 
-    def _new_events(self, batch: DataFrame, segment: str) -> DataFrame:
-        rows = batch.where("event").select(*EVENTS.names)
-        own = F.concat(F.lit("auto-"), F.xxhash64(*[c for c in EVENTS.names if c != "event_id"]).cast("string"))
-        rest = [c for c in EVENTS.names if c != "event_id"]
-        # Of one id the earliest row, then the least: the same whenever the batch runs.
-        one = (rows.withColumn("event_id", F.coalesce("event_id", own)).groupBy("event_id")
-               .agg(F.min(F.struct("timestamp", *[c for c in rest if c != "timestamp"])).alias("r")).select("event_id", *[f"r.{c}" for c in rest]))
-        new, again = segments.once(self.ledger.unseen(staged(one), segment), f"{self.folder}/new-events", segment)
-        self.ledger.add(new.select("event_id"), segment)
-        rows = new.withColumn("event_date", F.to_date("timestamp"))
-        if again:       # what a first attempt may have stored: ids of these very dates
-            known = stored(self.spark, self.events, table_schema("events"))
-            if known is not None:
-                days = rows.select(F.col("event_date").alias("_day")).distinct()
-                known = known.join(F.broadcast(days), F.col("event_date").eqNullSafe(F.col("_day")), "left_semi")
-                rows = rows.join(known.select("event_id"), "event_id", "left_anti")
-        if "/" in self.events:
-            rows.write.mode("append").partitionBy(*PARTITIONING["events"]).parquet(self.events)
-        else:
-            insert_by_name(rows, self.events)
-        return new
-
     def _new_assignments(self, batch: DataFrame, segment: str) -> DataFrame:
         rows = batch.where("NOT event").select(*ASSIGNMENTS.names)
         known = stored(self.spark, self.assignments)
@@ -118,7 +96,8 @@ class LiveMart:
 
     def process(self, batch: DataFrame, segment: str) -> None:
         """One batch of ``both``: store, fold, derive the days that it touched."""
-        events, assignments = self._new_events(batch, segment), self._new_assignments(batch, segment)
+        events = store_once(batch.where("event"), self.events, self.ledger, segment)
+        assignments = self._new_assignments(batch, segment)
         segments.put(fold(events, assignments), f"{self.folder}/folds", segment, ["report_date"])
         self.refresh(self.folds().where(F.col("segment") == segment).select("report_date"))
 

@@ -4,18 +4,20 @@ The modelled application polls its tables every second; here the same
 numbers are maintained incrementally:
 
 * T1 ``start_ingest``      -- foreachBatch: append the events that are not
-                              stored yet, however late (anti join on the
-                              batch's dates);
+                              stored yet, however late and whatever their
+                              dates (``ledger``);
 * T2 ``active_users``      -- distinct users per sliding 30-minute window,
                               exact: (5-minute slot, user) first, copied to
                               its windows after;
 * T3 ``daily_purchases``   -- purchases and revenue per day;
 * T4 ``start_assign_once`` -- foreachBatch: first assignment per (user, run),
                               checked against the stored ones;
-* T5 ``live_visitors``     -- visitors per (run, variant) of what T4 stored;
+* T5 ``live_visitors``     -- visitors per (run, variant) of what T4 stored, as a
+                              stream in ``visitors``;
 * T6 ``start_mart_refresh``-- foreachBatch: rebuild the days a batch touched
                               from the tables as they are then, replace those
-                              partitions (idempotent on replay);
+                              partitions (idempotent on replay); incrementally in
+                              ``folds``;
 * T7 ``start_live_mart``   -- T1 and T6 in one batch: late rows, which the
                               watermarks of T2/T3 drop, reach the mart.
 
@@ -28,7 +30,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,8 +38,11 @@ from splitlens.operators import mart as mart_ops
 from splitlens.operators.assignment import assign_once as assign_new
 from splitlens.operators.metrics import variant_users
 from splitlens.session import checkpoint_dir
-from splitlens.sources.schemas import EVENTS, PARTITIONING
+from splitlens.sources.schemas import EVENTS
 from splitlens.sources.sinks import insert_by_name, overwrite_partitions, staged, table_schema
+from splitlens.streaming import segments
+from splitlens.streaming.ledger import Ledger, append_unstored, one_per_id, store_once
+from splitlens.streaming.segments import stored
 
 EVENT_TIME = "event_time"
 
@@ -59,52 +63,40 @@ def with_event_time(df: DataFrame, ts_col: str = "timestamp", delay: str = "10 m
     return df.withColumn(EVENT_TIME, F.col(ts_col).cast("timestamp")).withWatermark(EVENT_TIME, delay)
 
 
-def stored(spark: SparkSession, source: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """What ``source`` (a catalogue table or a folder of Parquet files) holds
-    now; None where a folder does not exist yet.  Read anew in every batch: a
-    frame resolved once would keep the file listing of its first day."""
-    if "/" not in source:
-        spark.catalog.refreshTable(source)
-        return spark.table(source)
-    try:
-        r = spark.read.schema(schema) if schema is not None else spark.read
-        return r.parquet(source)
-    except AnalysisException as ex:
-        if "PATH_NOT_FOUND" in str(ex):
-            return None
-        raise
-
-
-def store_events(batch: DataFrame, target: str) -> None:
+def store_events(batch: DataFrame, target: str, ledger: str | None = None, segment: str | None = None) -> None:
     """T1 for one micro-batch: the events that ``target`` does not hold yet.
 
     However late an event is, it is stored; one that was sent twice, in one
     batch or in different ones, is stored once; a batch that runs again stores
-    nothing new.  Only the dates of the batch are looked up (partition
-    pruning).  An event without an id gets one from its content."""
+    nothing new.  With a ``ledger`` folder (and the batch's ``segment``), an id is known for all time, whatever its
+    dates; without one, only the dates of the batch are looked up."""
+    if ledger is not None:
+        store_once(batch, target, seeded(batch.sparkSession, target, ledger), segment)
+        return
     spark = batch.sparkSession
-    own = F.concat(F.lit("auto-"), F.xxhash64(*[c for c in batch.columns if c != "event_id"]).cast("string"))
-    new = (batch.withColumn("event_id", F.coalesce("event_id", own)).dropDuplicates(["event_id"])
-           .withColumn("event_date", F.to_date("timestamp")))
-    # At most one value per calendar day of the batch.
-    dates = [r[0] for r in new.select("event_date").distinct().collect()]
-    known = stored(spark, target, table_schema("events"))
-    if known is not None:
-        on_days = F.col("event_date").isin([d for d in dates if d is not None])
-        if None in dates:
-            on_days = F.coalesce(on_days, F.lit(False)) | F.col("event_date").isNull()
-        new = new.join(known.where(on_days).select("event_id"), "event_id", "left_anti")
-    if "/" in target:
-        new.write.mode("append").partitionBy(*PARTITIONING["events"]).parquet(target)
-    else:
-        insert_by_name(new, target)
+    new = one_per_id(batch).withColumn("event_date", F.to_date("timestamp"))
+    append_unstored(new, target, spark)
+
+
+def seeded(spark: SparkSession, target: str, folder: str) -> Ledger:
+    """The ledger in ``folder``; the ids that ``target`` held before there was one are its first segment."""
+    ledger = Ledger(spark, folder)
+    if ledger.is_empty():
+        held = stored(spark, target, table_schema("events"))
+        if held is not None:
+            ledger.add(held.select("event_id"), "seed")
+    return ledger
+
+
+def default_ledger(spark: SparkSession, target: str) -> str:
+    return checkpoint_location(spark, "ids-" + target.strip("/").replace("/", "_").replace(":", "_"))
 
 
 def _start(stream: DataFrame, checkpoint: str, each_batch, trigger: dict | None):
-    def run(batch, _id):
+    def run(batch, batch_id):
         batch.persist()
         try:
-            each_batch(batch)
+            each_batch(batch, segments.name_of(checkpoint, batch_id))
         finally:
             batch.unpersist()
 
@@ -112,9 +104,11 @@ def _start(stream: DataFrame, checkpoint: str, each_batch, trigger: dict | None)
     return (w.trigger(**trigger) if trigger else w).start()
 
 
-def start_ingest(events: DataFrame, target: str, checkpoint: str, trigger: dict | None = None):
-    """T1: store the stream's events in ``target`` (table or folder)."""
-    return _start(events, checkpoint, lambda b: store_events(b, target), trigger)
+def start_ingest(events: DataFrame, target: str, checkpoint: str, trigger: dict | None = None, ledger: str | None = None):
+    """T1: store the stream's events in ``target`` (table or folder), each id once for all
+    time; ``ledger`` names the folder of known ids (default: beside the streams' checkpoints)."""
+    ids = ledger or default_ledger(events.sparkSession, target)
+    return _start(events, checkpoint, lambda b, segment: store_events(b, target, ids, segment), trigger)
 
 
 def active_users(events: DataFrame, window: str = "30 minutes", slide: str = "5 minutes",
@@ -158,7 +152,7 @@ def store_assignments(batch: DataFrame, table: str) -> None:
 
 def start_assign_once(assignments: DataFrame, table: str, checkpoint: str, trigger: dict | None = None):
     """T4: store each user's first assignment of a run, once."""
-    return _start(assignments, checkpoint, lambda b: store_assignments(b, table), trigger)
+    return _start(assignments, checkpoint, lambda b, _: store_assignments(b, table), trigger)
 
 
 def live_visitors(spark: SparkSession, table: str) -> DataFrame:
@@ -199,15 +193,18 @@ def start_mart_refresh(event_stream: DataFrame, events: str, assignments: str, t
                        trigger: dict | None = None, metrics=mart_ops.OPTIONAL_METRICS):
     """T6: keep the KPI mart fresh from an event stream whose events something
     else stores."""
-    return _start(event_stream, checkpoint, lambda b: refresh_mart_batch(b, events, assignments, table, metrics), trigger)
+    return _start(event_stream, checkpoint, lambda b, _: refresh_mart_batch(b, events, assignments, table, metrics), trigger)
 
 
 def start_live_mart(event_stream: DataFrame, events: str, assignments: str, table: str, checkpoint: str,
-                    trigger: dict | None = None, metrics=mart_ops.OPTIONAL_METRICS):
+                    trigger: dict | None = None, metrics=mart_ops.OPTIONAL_METRICS, ledger: str | None = None):
     """T1, then T6, in the same micro-batch (T7): what a batch brings, late rows
-    included, is stored before the days it touches are rebuilt."""
-    def both(batch):
-        store_events(batch, events)
+    included, is stored before the days it touches are rebuilt.  ``folds.LiveMart`` does the same
+    without reading those days' events again."""
+    ids = ledger or default_ledger(event_stream.sparkSession, events)
+
+    def both(batch, segment):
+        store_events(batch, events, ids, segment)
         refresh_mart_batch(batch, events, assignments, table, metrics)
 
     return _start(event_stream, checkpoint, both, trigger)

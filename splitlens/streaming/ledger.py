@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from splitlens.sources.schemas import EVENTS, PARTITIONING
+from splitlens.sources.sinks import insert_by_name, staged, table_schema
 from splitlens.streaming import segments
+from splitlens.streaming.segments import stored
 
 BUCKETS = 256
 # Bits of a bucket's filter: 1 MB, good for some 400,000 ids each, 10^8 in all; raise it with the ids expected.
@@ -80,3 +83,41 @@ class Ledger:
         segments.compact(self.spark, f"{self.folder}/bits", BLOCKS,
                          lambda b: b.groupBy("bucket", "block").agg(F.bitmap_or_agg("bitmap").alias("bitmap")))
         segments.compact(self.spark, f"{self.folder}/ids", IDS, lambda i: i.distinct().repartition("bucket"), ["bucket"])
+
+
+def one_per_id(events: DataFrame) -> DataFrame:
+    """Of each event id the earliest row, then the least, so that the choice is the same whenever a
+    batch runs.  An event without an id gets one from its content."""
+    rest = [c for c in events.columns if c != "event_id"]
+    own = F.concat(F.lit("auto-"), F.xxhash64(*rest).cast("string"))
+    order = ["timestamp", *[c for c in rest if c != "timestamp"]]
+    return (events.withColumn("event_id", F.coalesce("event_id", own)).groupBy("event_id")
+            .agg(F.min(F.struct(*order)).alias("r")).select("event_id", *[F.col(f"r.{c}").alias(c) for c in rest]))
+
+
+def append_unstored(rows: DataFrame, target: str, spark: SparkSession, look_up: bool = True) -> None:
+    """Append ``rows`` (with ``event_date``) to the table or folder ``target``; with ``look_up``
+    without those whose ids it holds on the same dates."""
+    known = stored(spark, target, table_schema("events")) if look_up else None
+    if known is not None:
+        # At most one value per calendar day of the batch.
+        dates = [r[0] for r in rows.select("event_date").distinct().collect()]
+        on_days = F.col("event_date").isin([d for d in dates if d is not None])
+        if None in dates:
+            on_days = F.coalesce(on_days, F.lit(False)) | F.col("event_date").isNull()
+        rows = rows.join(known.where(on_days).select("event_id"), "event_id", "left_anti")
+    if "/" in target:
+        rows.write.mode("append").partitionBy(*PARTITIONING["events"]).parquet(target)
+    else:
+        insert_by_name(rows, target)
+
+
+def store_once(batch: DataFrame, target: str, ledger: Ledger, segment: str) -> DataFrame:
+    """Store the events of ``batch`` whose ids ``ledger`` does not know, and enter them; returns
+    them as the batch first found them, however often it runs."""
+    rows = staged(one_per_id(batch.select(*EVENTS.names)))
+    new, again = segments.once(ledger.unseen(rows, segment), f"{ledger.folder}/new", segment)
+    ledger.add(new.select("event_id"), segment)
+    # Only a batch that runs again may have stored some of them.
+    append_unstored(new.withColumn("event_date", F.to_date("timestamp")), target, batch.sparkSession, look_up=again)
+    return new

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from splitlens.operators import mart
 from splitlens.operators.metrics import variant_users
 from splitlens.sources import schemas, sinks
-from splitlens.streaming import folds, jobs, segments, visitors
+from splitlens.streaming import folds, jobs, ledger, segments, visitors
 from splitlens.streaming.ledger import Ledger
 from tests.conftest import frame
 
@@ -139,8 +139,8 @@ def test_incremental_mart_equals_the_batch_build(spark, live):
 def test_interrupted_batches_are_made_up(spark, live, monkeypatch, step, nth, after):
     """The job dies before or after one of its writes, then the batch runs again."""
     live.process(batch_of(spark, 5), "s0")
-    owner = {"insert_by_name": folds, "put": segments, "refresh": folds.LiveMart}[step]
-    real, calls = getattr(owner, step), []
+    owners = {"insert_by_name": [folds, ledger], "put": [segments], "refresh": [folds.LiveMart]}[step]
+    real, calls = getattr(owners[0], step), []
 
     def dies(*a, **k):
         calls.append(1)
@@ -151,7 +151,8 @@ def test_interrupted_batches_are_made_up(spark, live, monkeypatch, step, nth, af
         return real(*a, **k)
 
     with monkeypatch.context() as m:
-        m.setattr(owner, step, dies)
+        for owner in owners:
+            m.setattr(owner, step, dies)
         with pytest.raises(RuntimeError):
             live.process(batch_of(spark, 6), "s1")
     live.process(batch_of(spark, 6), "s1")
@@ -169,6 +170,21 @@ def test_same_id_under_two_dates_is_stored_once(spark, live):
     check(spark, live)
 
 
+def test_t1_stores_an_id_once_whatever_its_date(spark, tmp_path):
+    """Under two dates, in one batch, in two and after a new checkpoint; what was stored before the ledger counts."""
+    src, out = str(tmp_path / "src"), str(tmp_path / "events")
+
+    def send(*days, ck="ck", event_id="x"):
+        frame(spark, schemas.EVENTS, [dict(event_id=event_id, user_id="u", run_id="r", timestamp=T(2024, 1, d)) for d in days]).write.mode("append").parquet(src)
+        finish(jobs.start_ingest(jobs.read_stream(spark, src, schemas.EVENTS), out, str(tmp_path / ck)))
+        return sorted((r.event_id, r.event_date.day) for r in spark.read.schema(sinks.table_schema("events")).parquet(out).collect())
+
+    jobs.store_events(frame(spark, schemas.EVENTS, [dict(event_id="old", user_id="u", run_id="r", timestamp=T(2024, 1, 1))]), out)
+    assert send(5, 4) == [("old", 1), ("x", 4)]
+    assert send(9) == send(2, ck="ck2") == [("old", 1), ("x", 4)]
+    assert send(3, event_id="old") == [("old", 1), ("x", 4)]
+
+
 def test_a_batch_reads_only_the_folds_it_touches(spark, live):
     live.process(batch_of(spark, 0), "a")
     days = spark.createDataFrame([(dt.date(2024, 1, 2),)], "report_date date")
@@ -188,7 +204,7 @@ def test_live_mart_stream_seeds_and_restarts(spark, live, tmp_path):
     ev, asg = str(tmp_path / "ev"), str(tmp_path / "asg")
     for seeds in ((51,), (50, 53)):
         for s in seeds:
-            frame(spark, schemas.EVENTS, some_events(s)).write.mode("append").parquet(ev)
+            frame(spark, schemas.EVENTS, some_events(s, 20)).write.mode("append").parquet(ev)
             frame(spark, schemas.ASSIGNMENTS, some_assignments(s)).write.mode("append").parquet(asg)
         stream = folds.both(jobs.read_stream(spark, ev, schemas.EVENTS, max_files_per_trigger=2),
                             jobs.read_stream(spark, asg, schemas.ASSIGNMENTS, max_files_per_trigger=1))
