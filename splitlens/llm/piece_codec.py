@@ -5,7 +5,8 @@ another character, no merge can cross from a word into the next marker, so a tex
 into chunks -- a run of markers and the characters up to the next run -- that
 encode independently.  Per batch of documents the distinct chunks are found, each is
 segmented (and decoded) once, and ids and text are joined back by position.  What a task
-has segmented it remembers, up to a bound, for its next batches.
+has segmented it remembers for its next batches, up to a bound in characters; chunks of over
+``LONG`` characters -- whole texts, in languages without blanks -- are dropped with their batch.
 
 The table stays inside the task: a corpus-wide one would send every position of every
 text through a shuffle, many times the input, to spare the repeated segmenting of a chunk in
@@ -28,7 +29,9 @@ from splitlens.llm.common import ship_by_value
 ship_by_value(__name__)
 
 MARK = "▁"
-REMEMBERED = 300_000        # chunks a task remembers before it starts anew
+REMEMBERED = 1 << 25        # characters of chunks a task remembers before it starts anew
+LONG = 256                  # longer chunks are segmented where they occur and not remembered
+PART_ROWS, PART_CHARS = 512, 1 << 22        # rows and characters handled at a time
 
 
 def splits_at_marks(model: bytes) -> bool:
@@ -65,6 +68,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         import hashlib
         import re
 
+        import pyarrow.compute  # noqa: F401 - pa.compute
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=model.value)
@@ -72,33 +76,52 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         mark, end = sp.piece_to_id(MARK), sp.eos_id()
         first = next(i for i in range(sp.get_piece_size()) if sp.id_to_piece(i) == f"{MARK}a")
         table = {}                      # chunk -> (number of ids, their decimals, decoded text)
+        held = 0                        # characters in the table
 
         def learn(chunks):
-            """Segment the chunks that the table lacks."""
-            if len(table) > REMEMBERED:
+            """The entries of ``chunks``; those that the table lacks are segmented."""
+            nonlocal held
+            if held > REMEMBERED:
                 table.clear()
-            new = [c for c in chunks if c not in table]
+                held = 0
+            entries = {c: table[c] for c in chunks if c in table}
+            new = [c for c in chunks if c not in entries]
             # The library puts one marker in front by itself; a lone marker is its own piece.
             ids = [i or [mark] for i in sp.encode([c[1:] for c in new], num_threads=1)]
             # Behind another piece a chunk keeps its leading blank when it is decoded.
             texts = sp.decode([[first, *i] for i in ids], num_threads=1) if new else []
             for c, i, t in zip(new, ids, texts):
-                table[c] = (len(i), "".join([f"{x} " for x in i]), t[1:])
+                entries[c] = entry = (len(i), "".join([f"{x} " for x in i]), t[1:])
+                if len(c) <= LONG:
+                    table[c] = entry
+                    held += len(c)
+            return entries
+
+        def parts(batch):
+            """Slices of a batch by rows and characters."""
+            start = size = 0
+            for k, n in enumerate(pa.compute.utf8_length(batch.column(1)).to_pylist()):
+                if k > start and (k - start >= PART_ROWS or size + (n or 0) > PART_CHARS):
+                    yield batch.slice(start, k - start)
+                    start, size = k, 0
+                size += n or 0
+            if batch.num_rows > start:
+                yield batch.slice(start)
 
         def one(text):
             chunks = chunks_of(MARK + text.replace(" ", MARK)) if text else []
             return chunks
 
         for batch in batches:
-            for part in (batch.slice(k, 512) for k in range(0, batch.num_rows, 512)):
+            for part in parts(batch):
                 split = [one(t.as_py() or "") for t in part.column(1)]
                 distinct = set()
                 for chunks in split:
                     distinct.update(chunks)
-                learn(distinct)
+                entries = learn(distinct)
                 out = []
                 for chunks in split:
-                    rows = [table[c] for c in chunks]
+                    rows = [entries[c] for c in chunks]
                     ids = "".join([r[1] for r in rows]) + str(end)
                     # The marker that the encoder put in front is taken off again.
                     text = "".join([r[2] for r in rows])[1:]

@@ -109,11 +109,11 @@ FROM t
 """
 
 _OP7_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS w FROM embeddings
+WITH v AS (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS w FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+s AS (SELECT q.vec_id AS query_id, q.r, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+      FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0 AND c.vec_id IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 

@@ -45,15 +45,16 @@ def open_fs(uri: str):
 
 
 def revisit_plan(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """``pages`` as (id, url, payload, revisit, refers_to).
+    """``pages`` as (id, row, url, payload, revisit, refers_to, refers_row).
 
     Payloads are grouped by SHA-256.  Where several rows of a group have the
-    largest id, the first in scan order is the response.
+    largest id, the first in scan order is the response.  The numbered rows are
+    written first, so every reader sees the same numbers.
     """
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
                         payload.alias("payload"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.withColumn("sha", F.sha2("payload", 256))
+    rows = written(rows.withColumn("sha", F.sha2("payload", 256)), "warc-rows")
     per_id = rows.groupBy("sha", "id").agg(F.count("*").alias("same"), F.min("row").alias("row"))
     groups = per_id.groupBy("sha").agg(F.sum("same").alias("n"), F.max(F.struct("id", "same", "row")).alias("first"))
     groups = written(groups.where("n > 1"), "warc-groups")
@@ -61,7 +62,8 @@ def revisit_plan(pages: DataFrame, id_col: str, url_col: str, html_col: str) ->
     found = attach(rows, groups, "sha", "n", ["id", "url", "row"], total, ["n", "first"])
     is_first = F.col("id").eqNullSafe(F.col("first.id")) & ((F.col("first.same") == 1) | (F.col("row") == F.col("first.row")))
     revisit = F.col("n").isNotNull() & ~is_first
-    return found.select("id", "url", "payload", revisit.alias("revisit"), F.when(revisit, F.col("first.id")).alias("refers_to"))
+    return found.select("id", "row", "url", "payload", revisit.alias("revisit"), F.when(revisit, F.col("first.id")).alias("refers_to"),
+                        F.when(revisit, F.col("first.row")).alias("refers_row"))
 
 
 def _writer(folder: str, archive_bytes: int):
@@ -82,16 +84,19 @@ def _writer(folder: str, archive_bytes: int):
         def digest(data: bytes) -> str:
             return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
-        def member(page, url, payload, revisit, refers_to) -> bytes:
+        def name_of(page, row) -> str:          # the row keeps records of one page id apart
+            return f"<{ID_PREFIX}{'' if page is None else page}#{row}>"
+
+        def member(page, row, url, payload, revisit, refers_to, refers_row) -> bytes:
             http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n").encode()
             block = http if revisit else http + payload
             heads = [("WARC-Type", "revisit" if revisit else "response"),
-                     ("WARC-Record-ID", f"<{ID_PREFIX}{'' if page is None else page}>"), ("WARC-Date", date)]
+                     ("WARC-Record-ID", name_of(page, row)), ("WARC-Date", date)]
             if url:
                 heads.append(("WARC-Target-URI", "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url)))
             heads += [("WARC-Payload-Digest", digest(payload)), ("WARC-Block-Digest", digest(block))]
             if revisit:
-                heads += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{ID_PREFIX}{'' if refers_to is None else refers_to}>")]
+                heads += [("WARC-Profile", PROFILE), ("WARC-Refers-To", name_of(refers_to, refers_row))]
             heads += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
             head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in heads) + "\r\n"
             z = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -109,7 +114,7 @@ def _writer(folder: str, archive_bytes: int):
                         name, size, records = f"{stem}-{number:04d}.warc.gz", 0, 0
                         fs.create_dir(root, recursive=True)
                         out = fs.open_output_stream(f"{root}/{name}", compression=None)
-                    data = member(row["id"], row["url"], row["payload"], row["revisit"], row["refers_to"])
+                    data = member(row["id"], row["row"], row["url"], row["payload"], row["revisit"], row["refers_to"], row["refers_row"])
                     out.write(data)
                     size, records = size + len(data), records + 1
                     if size >= archive_bytes:
@@ -157,15 +162,18 @@ class Member:
                 raise ValueError("archive ends within a record")
         return b""
 
-    def head(self, most: int = 1 << 20) -> list[str]:
-        """The lines up to the empty line; what follows stays in ``data``."""
-        while b"\r\n\r\n" not in self.data:
+    def head(self) -> list[str]:
+        """The lines up to the empty line, however long; what follows stays in ``data``."""
+        head = bytearray(self.data)
+        seen = 0
+        while (end := head.find(b"\r\n\r\n", max(0, seen - 3))) < 0:
+            seen = len(head)
             more = self.piece()
-            if not more or len(self.data) > most:
+            if not more:
                 raise ValueError("record without an end of its head")
-            self.data += more
-        head, _, self.data = self.data.partition(b"\r\n\r\n")
-        return head.decode("utf-8").split("\r\n")
+            head += more
+        self.data = bytes(head[end + 4:])
+        return head[:end].decode("utf-8").split("\r\n")
 
     def take(self, n: int):
         """``n`` bytes in pieces."""
@@ -200,15 +208,17 @@ def read_records(stream, with_payload: bool = False):
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
         length = int(head["content-length"])
-        block_sha, payload_sha, payload, size, http = hashlib.sha1(), hashlib.sha1(), [], 0, b""
+        block_sha, payload_sha, payload, size, http = hashlib.sha1(), hashlib.sha1(), [], 0, bytearray()
         in_head = True
         for got in member.take(length):
             block_sha.update(got)
             if in_head:                                     # the HTTP head ends at its empty line
+                seen = max(0, len(http) - 3)
                 http += got
-                if b"\r\n\r\n" not in http:
+                if (end := http.find(b"\r\n\r\n", seen)) < 0:
                     continue
-                http, _, got = http.partition(b"\r\n\r\n")
+                got = bytes(http[end + 4:])
+                del http[end:]
                 in_head = False
             payload_sha.update(got)
             size += len(got)
@@ -224,7 +234,7 @@ def read_records(stream, with_payload: bool = False):
             raise ValueError(f"digest or length of {head['warc-record-id']} does not match")
 
         def page(name):
-            digits = head.get(name, "").strip("<>").removeprefix(ID_PREFIX)
+            digits = head.get(name, "").strip("<>").removeprefix(ID_PREFIX).partition("#")[0]
             return int(digits) if digits else None
 
         yield {"id": page("warc-record-id"), "url": head.get("warc-target-uri"), "payload_bytes": full,

@@ -109,12 +109,9 @@ def top_k(rows, is_query, k, scale):
     """(id, vector) -> (query, rank, id, score)."""
     ok = [(i, [math.floor(float(x) * scale) for x in v]) for i, v in rows
           if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    queries = {}
-    for i, w in ok:
-        if is_query(i):
-            queries[i] = min(w, queries.get(i, w))
     out = []
-    for q, w in queries.items():
-        scored = sorted((-sum(a * b for a, b in zip(w, x)), i) for i, x in ok if i != q)
-        out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
+    for at, (q, w) in enumerate(ok):
+        if is_query(q):
+            scored = sorted((-max(min(sum(a * b for a, b in zip(w, x)), (1 << 63) - 1), 1 - (1 << 63)), i) for k2, (i, x) in enumerate(ok) if k2 != at)
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
     return out

@@ -115,6 +115,22 @@ def test_pieces_of_the_table(spark):
     assert piece_rows(df) == library_pieces(df)
 
 
+def test_long_texts_without_blanks_are_not_remembered(spark):
+    """2,000 texts of 100 KB, each one chunk: a worker stays far below their 200 MB."""
+    import resource
+
+    texts = spark.range(0, 2000, 1, 1).selectExpr("id AS doc_id", "concat(repeat(concat('日本', id), 12000), id) AS text")
+    done = P.encode_decode(texts, PIECES)
+
+    def peak(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "kb": [resource.getrusage(resource.RUSAGE_SELF).ru_maxrss]})
+
+    rows = done.mapInArrow(peak, "n long, kb long").collect()
+    assert sum(r["n"] for r in rows) == 2000 and max(r["kb"] for r in rows) < 700_000
+
+
 def test_kept_ids_and_text(spark):
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)

@@ -61,9 +61,17 @@ def test_scores_are_exact_at_every_size(top):
     assert (T.accumulate(q, c).astype(np.int64) == q @ c[:, :6].T).all()
 
 
-def test_too_large_for_integers():
-    with pytest.raises(OverflowError):
-        T.accumulate(np.full((1, 2), 1 << 40), np.full((1, 2), 1 << 40))
+def test_components_of_any_size(spark):
+    """Finite components up to the largest floats take part; scores past 64 bits are the nearest of 64 bits."""
+    rows = [(0, [1e30, 1.0]), (20, [-1e12, 3.0]), (40, [1.0, -1.0]), (1, [1e30, -2.0]), (2, [-3e38, 0.0]), (3, [1e12, 1e12]), (4, [5.0, 0.25]), (5, [1e7, 1e7])]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    assert run(frame(spark, rows)) == sorted(brute.top_k(rows, lambda i: i % 20 == 0, 20, 64))
+
+
+def test_repeated_ids_are_rows(spark):
+    rows = [(20, [1.0, 2.0]), (20, [1.0, 2.0]), (20, [0.5, 0.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0])]
+    got = run(frame(spark, rows))
+    assert got == sorted(brute.top_k(rows, lambda i: i % 20 == 0, 20, 64)) and len(got) == 12
 
 
 def test_empty_table(spark):

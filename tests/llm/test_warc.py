@@ -34,6 +34,28 @@ def test_whole_table(spark):
     assert got(W.archive_round_trip(pages)) == Counter(brute.archive([(r["page_id"], r["html"]) for r in pages.collect()]))
 
 
+def test_very_long_urls(spark):
+    rows = [(1, "data:," + "x" * 2_000_000, "<p>a"), (2, "http://b/", "<p>a"), (3, "é" * 400_000, "b")]
+    archives = W.write_archives(frame(spark, rows), scratch(spark, "warc-test"))
+    back = {r["id"]: r for r in W.read_archives(archives, with_payload=True).collect()}
+    assert back[1]["url"] == rows[0][1] and back[1]["refers_to"] == 2 and back[3]["payload"] == b"b"
+    assert back[3]["url"] == rows[2][1] and got(W.archive_round_trip(frame(spark, rows))) == Counter(brute.archive([(i, h) for i, _, h in rows]))
+
+
+def test_numbering_survives_a_shuffled_input(spark):
+    """One response per group though the rows come out of a shuffle of repeated ids."""
+    rows = [(5, f"http://{k}/", "same") for k in range(60)] + [(4, "http://x/", "same")] * 20
+    shuffled = frame(spark, rows).repartition(7).orderBy("url").repartition(5)
+    kinds = Counter((r["page_id"], r["record_type"], r["refers_to"]) for r in W.archive_round_trip(shuffled).collect())
+    assert kinds == {(5, "response", None): 1, (5, "revisit", 5): 59, (4, "revisit", 5): 20}
+
+
+def test_record_ids_are_unique(spark):
+    r = W.write_archives(frame(spark, ROWS).coalesce(1), scratch(spark, "warc-test")).collect()
+    heads = b"".join(gzip.decompress(open(x["archive"].removeprefix("file://"), "rb").read()) for x in r).split(b"WARC-Record-ID: ")[1:]
+    assert len({h.split(b"\r\n")[0] for h in heads}) == len(ROWS)
+
+
 def test_payloads_and_file_rolling(spark):
     """Small archives: each record ends its file; payloads come back whole."""
     archives = W.write_archives(frame(spark, ROWS), scratch(spark, "warc-test"), archive_bytes=1)
