@@ -3,6 +3,9 @@
 Everything writes through the DataFrame writer or SQL DDL; nothing is
 collected except partition values (bounded by the number of partitions) when
 partitions are dropped.  Columns are always matched by name.
+
+Tables made with ``create_tables(versioned=...)`` (see ``versions``) are replaced, range-replaced and
+deleted from in one step, whatever their partitions; plain ones partition by partition.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import types as T
 
 from splitlens.operators.maintenance import delete_rows, evolve
 from splitlens.session import checkpoint_dir
-from splitlens.sources import schemas
+from splitlens.sources import schemas, versions
 
 EVENT_DATE = "event_date"
 
@@ -32,11 +35,12 @@ def table_schema(name: str) -> T.StructType:
 
 
 def create_tables(spark: SparkSession, database: str = "experiment", reset: bool = False,
-                  location: str | None = None, kind: str | None = None) -> list[str]:
+                  location: str | None = None, kind: str | None = None, versioned: tuple[str, ...] = ()) -> list[str]:
     """CREATE TABLE IF NOT EXISTS for every table of a catalogue namespace
     (``kind``: 'experiment' or 'warehouse'; default: the database name, else
     'experiment') in ``database`` -- parquet, partitioned as in
-    ``schemas.PARTITIONING``; ``reset`` drops them first."""
+    ``schemas.PARTITIONING``; ``reset`` drops them first.  The tables named in ``versioned`` change in
+    one step (``versions``)."""
     kind = kind or (database if database in schemas.CATALOGUE else "experiment")
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
@@ -44,10 +48,17 @@ def create_tables(spark: SparkSession, database: str = "experiment", reset: bool
     for name in schemas.CATALOGUE[kind]:
         full = f"{database}.{name}"
         if reset:
+            versions.drop(spark, full)
             spark.sql(f"DROP TABLE IF EXISTS {full}")
         parts = schemas.PARTITIONING.get(name)
         by = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({_ddl(table_schema(name))}) USING parquet{by}")
+        if name in versioned:
+            if not spark.catalog.tableExists(full):
+                first = versions.new_version(full)
+                spark.sql(f"CREATE TABLE {first} ({_ddl(table_schema(name))}) USING parquet{by}")
+                versions.point(spark, full, first)
+        else:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({_ddl(table_schema(name))}) USING parquet{by}")
         made.append(full)
     return made
 
@@ -74,6 +85,7 @@ def load_csv_table(spark: SparkSession, path: str, table: str, schema: T.StructT
 
 def insert_by_name(df: DataFrame, table: str, overwrite: bool = False) -> None:
     """Insert matching columns by name (absent ones NULL), never by position."""
+    table = versions.physical(df.sparkSession, table)
     evolve(df, df.sparkSession.table(table).schema, defaults={}).write.insertInto(table, overwrite=overwrite)
 
 
@@ -90,6 +102,13 @@ def overwrite_partitions(rows: DataFrame, table: str) -> None:
     rows of.  The overwrite mode is set in a session of its own, which shares
     the catalogue; the caller's session and its other writes keep theirs."""
     spark = rows.sparkSession
+    if versions.is_versioned(spark, table):
+        cols = versions.partition_columns(spark, table)
+        stored = spark.table(table)
+        touched = rows.select(*[F.col(c).alias(f"_new_{c}") for c in cols]).distinct()
+        same = [stored[c].eqNullSafe(F.col(f"_new_{c}")) for c in cols]
+        versions.publish(stored.join(touched, same, "left_anti").unionByName(evolve(rows, stored.schema, defaults={})), table)
+        return
     own = spark.newSession()
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -116,7 +135,10 @@ def bulk_append(df: DataFrame, table: str) -> None:
 
 
 def replace_table(df: DataFrame, table: str, partition_by=None) -> None:
-    """Create-or-replace a table from a frame (the mart build)."""
+    """Create-or-replace a table from a frame (the mart build); a versioned one in one step."""
+    if versions.is_versioned(df.sparkSession, table):
+        versions.publish(df, table, list(partition_by or []))
+        return
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -127,6 +149,9 @@ def _drop_partitions(spark: SparkSession, table: str, predicate: Column) -> None
     """Drop the partitions whose partition columns meet ``predicate``.  Their
     values are listed on the driver: one row per partition dropped (the days
     of a run, or of a range), not per row."""
+    if versions.is_versioned(spark, table):
+        versions.publish(delete_rows(spark.table(table), predicate), table)
+        return
     cols = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     gone = spark.table(table).filter(predicate).select(*cols).distinct().collect()
     specs = []
@@ -141,13 +166,18 @@ def _drop_partitions(spark: SparkSession, table: str, predicate: Column) -> None
 def range_replace(new: DataFrame, table: str, key: str = "report_date") -> None:
     """Replace every stored ``key`` >= min(new.key) with ``new``: partitions
     present in ``new`` are overwritten (dynamic partition overwrite), stored
-    partitions in the range that ``new`` lacks are dropped.  Per partition, not
-    one transaction across partitions (parquet has none)."""
+    partitions in the range that ``new`` lacks are dropped.  A versioned table changes in one
+    step, a plain one per partition."""
     spark = new.sparkSession
     rows = staged(new)       # a mart: one row per day
     lo = rows.agg(F.min(key)).first()[0]
     if lo is None:
         return
+    if versions.is_versioned(spark, table):
+        stored = spark.table(table)
+        below = stored.where(F.coalesce(F.col(key) < F.lit(lo), F.lit(True)))
+        versions.publish(below.unionByName(evolve(rows, stored.schema, defaults={})), table)
+        return
     kept = rows.select(key).filter(F.col(key).isNotNull()).distinct()
     # Stored values of the range that the batch lacks; one per partition.
     stale = (spark.table(table).filter(F.col(key) >= F.lit(lo)).select(key).distinct()
@@ -160,10 +190,14 @@ def range_replace(new: DataFrame, table: str, key: str = "report_date") -> None:
 def delete_where(spark: SparkSession, table: str, predicate: Column, partition_col: str | None = None,
                  partition_value=None) -> None:
     """DELETE FROM table WHERE predicate.  A predicate on the partition column
-    drops the partitions of that value; anything else rewrites the table through a staging
-    table (the rows are read from the old files, written once, then the names
-    are swapped).  A failure before or within the swap leaves the table as it
-    was: if the new name cannot be set, the old one is set back."""
+    drops the partitions of that value; anything else writes the rows that stay anew.  A versioned table
+    changes in one step.  A plain one goes through a staging table whose name is swapped with its own: if the
+    new name cannot be set, the old one is set back, but a job that is killed between the two
+    renames leaves the rows under ``<table>__old``."""
+    if versions.is_versioned(spark, table):
+        gone = predicate if partition_col is None else F.col(partition_col).eqNullSafe(F.lit(partition_value))
+        versions.publish(delete_rows(spark.table(table), gone), table)
+        return
     if partition_col is not None:
         _drop_partitions(spark, table, F.col(partition_col).eqNullSafe(F.lit(partition_value)))
         return
@@ -241,8 +275,7 @@ def activate(spark: SparkSession, table: str = "experiment.active_experiment") -
 
 
 def deactivate(spark: SparkSession, table: str = "experiment.active_experiment") -> None:
-    empty = spark.createDataFrame([], spark.table(table).schema)
-    empty.write.insertInto(table, overwrite=True)
+    insert_by_name(spark.createDataFrame([], spark.table(table).schema), table, overwrite=True)
 
 
 def jdbc_write(df: DataFrame, url: str, table: str, mode: str = "append", properties: dict | None = None,

@@ -15,6 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from splitlens.sources.versions import physical
+
 SEGMENT = "segment"
 
 
@@ -81,7 +83,7 @@ def stored(spark: SparkSession, source: str, schema: T.StructType | None = None)
     now; None where a folder does not exist yet.  Read anew in every batch: a
     frame resolved once would keep the file listing of its first day."""
     if "/" not in source:
-        spark.catalog.refreshTable(source)
+        spark.catalog.refreshTable(physical(spark, source))
         return spark.table(source)
     try:
         r = spark.read.schema(schema) if schema is not None else spark.read
