@@ -16,6 +16,8 @@ Every step is a Spark job; nothing passes through the driver.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,8 +76,7 @@ def finish_run(spark: SparkSession, run_id: str, target: str, hypothesis: str, l
     sinks.append_experiment_record(record.withColumn("learning_note", F.lit(learning_note)), _t(db, "experiments"))
     stored = spark.table(_t(db, "experiments")).filter(F.col("run_id") == run_id)
     if adopt:
-        pairs = [F.lit(x) for k, v in (config or {}).items() for x in (str(k), str(v))]
-        settings = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
+        settings = F.lit(json.dumps(config) if config else None).cast("string")
         sinks.adopt(stored.select("run_id", "target", settings.alias("config"), "lift", "p_value"),
                     _t(db, "adoptions"), _t(db, "active_experiment"))
     else:

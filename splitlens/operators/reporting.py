@@ -84,9 +84,17 @@ def experiment_record(design: DataFrame, readout: DataFrame, verdicts: DataFrame
 
 
 def parse_variant_config(col="variant_config"):
+    """The payload as a struct; its ``config`` maps each key to a VARIANT."""
     return F.from_json(F.col(col), VARIANT_CONFIG)
 
 
+def setting(config, path: str, kind: str = "string"):
+    """A setting of a parsed ``config`` by key or path (``size``, ``layout.columns``), as ``kind``; NULL
+    where it is missing or of another kind."""
+    key, _, inner = path.partition(".")
+    return F.try_variant_get(config[key], f"$.{inner}" if inner else "$", kind)
+
+
 def adoption_board(adoptions: DataFrame, experiments: DataFrame) -> DataFrame:
     """Adoptions with their experiment's fields and the parsed payload
     (malformed JSON gives NULL fields)."""
@@ -97,14 +105,15 @@ def adoption_board(adoptions: DataFrame, experiments: DataFrame) -> DataFrame:
     return j.select("experiment_id", "adopted_at", "hypothesis", "target", "primary_metric",
                     "control_rate", "test_rate", "lift",
                     cfg["winning_variant"].alias("winning_variant"), cfg["target"].alias("config_target"),
-                    cfg["config"]["title"].alias("config_title"), cfg["config"]["theme"].alias("config_theme"),
+                    setting(cfg["config"], "title").alias("config_title"), setting(cfg["config"], "theme").alias("config_theme"),
                     cfg["lift"].alias("adopted_lift"))
 
 
 def current_baseline(adoptions: DataFrame, experiments: DataFrame) -> DataFrame:
     """The newest adoption: winning variant (default B), target (the
     experiment's, else the payload's, else 'N/A') and one row per config
-    entry (one row with NULL key when there is no config)."""
+    entry (one row with NULL key when there is no config), its value as text: a string as it is,
+    numbers, booleans and nested values as JSON."""
     latest = latest_adoption(adoptions)
     e = experiments.select(F.col("run_id").alias("_run"), "hypothesis", F.col("target").alias("_t"))
     j = latest.join(e, latest.experiment_id == e._run, "left")
@@ -112,7 +121,8 @@ def current_baseline(adoptions: DataFrame, experiments: DataFrame) -> DataFrame:
     target = F.coalesce(F.nullif(F.col("_t"), F.lit("")), F.nullif(cfg["target"], F.lit("")), F.lit(NOT_AVAILABLE))
     return (j.select("experiment_id", "adopted_at", "hypothesis", target.alias("target"),
                      F.coalesce(cfg["winning_variant"], F.lit(DEFAULT_WINNER)).alias("winning_variant"),
-                     F.explode_outer(cfg["config"]).alias("config_key", "config_value")))
+                     F.explode_outer(cfg["config"]).alias("config_key", "config_value"))
+            .withColumn("config_value", F.col("config_value").cast("string")))
 
 
 def badge(decision) -> "F.Column":

@@ -156,3 +156,17 @@ def sample_by_stratum(df: DataFrame, stratum: str, fractions: dict, seed: int =
     for k, f in fractions.items():
         w = F.when(F.col(stratum) == k, F.lit(1.0 / f)).otherwise(w) if f > 0 else w
     return df.sampleBy(stratum, fractions, seed).withColumn("weight", w)
+
+
+def bottom_k_sample(df: DataFrame, stratum: str, id_col: str, k: int, seed: int = 42) -> DataFrame:
+    """Exactly min(k, population) rows of each stratum: those of the least seeded md5 of the id, with
+    ``population`` and ``weight`` = population / sampled.  The same rows however the input is
+    partitioned; every map task passes on its k least rows only (window group limit).  Rows without a
+    stratum are a stratum; rows of one id are told apart by a hash of the row."""
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    w = Window.partitionBy(stratum).orderBy("_key", id_col, "_row")
+    least = (df.withColumns({"_key": key, "_row": F.xxhash64(*df.columns)})
+             .withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).drop("_key", "_row", "_rank"))
+    sizes = df.groupBy(F.col(stratum).alias("_stratum")).agg(F.count(F.lit(1)).alias("population"))
+    weight = F.col("population").cast("double") / F.least(F.col("population"), F.lit(k)).cast("double")
+    return least.join(sizes, F.col(stratum).eqNullSafe(F.col("_stratum"))).drop("_stratum").withColumn("weight", weight)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from splitlens.functions.hashing import bucket_sql_duckdb
-from splitlens.operators import journey, segments
+from splitlens.operators import journey, segments, spans
 from splitlens.plans import oracle_forms as forms
 from splitlens.plans.catalog import register
 from splitlens.sources.fixtures import AS_OF_SEGMENTS
@@ -116,3 +116,33 @@ def q_sample_weights(fx):
 @register("user_segment_labels", CUSTOMERS_SQL, doubles=("total_spent",), digits=4)
 def q_user_segment_labels(fx):
     return segments.user_segment_labels(fx.users, fx.orders, AS_OF_SEGMENTS)
+
+
+@register("sample_exact", """
+SELECT o_orderkey, o_orderpriority, o_totalprice, population, cast(population AS double) / least(population, 20) AS weight
+FROM (SELECT *, count(*) OVER (PARTITION BY o_orderpriority) AS population,
+             row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('42:' || o_orderkey), o_orderkey) AS k FROM orders) o
+WHERE k <= 20""", doubles=("weight",))
+def q_sample_exact(fx):
+    o = fx.table("orders", ["o_orderkey", "o_orderpriority", "o_totalprice"])
+    return segments.bottom_k_sample(o, "o_orderpriority", "o_orderkey", k=20)
+
+
+def _bitmaps(fx):
+    facts = fx.assignments
+    return spans.daily_bitmaps(facts, spans.number_users(facts), F.to_date("assigned_at"), "variant")
+
+
+@register("weekly_users", """
+SELECT cast(date_trunc('week', assigned_at) AS date) AS span, variant, count(DISTINCT user_id) AS users
+FROM fx_assignments GROUP BY 1, 2""")
+def q_weekly_users(fx):
+    return spans.span_users(_bitmaps(fx), spans.week_of(), "variant")
+
+
+@register("weekly_overlap", """
+WITH w AS (SELECT DISTINCT cast(date_trunc('week', assigned_at) AS date) AS span, variant, user_id FROM fx_assignments)
+SELECT a.span, a.variant, count(*) AS users, count(b.user_id) AS kept
+FROM w a LEFT JOIN w b ON b.user_id = a.user_id AND b.variant = a.variant AND b.span = a.span + 7 GROUP BY 1, 2""")
+def q_weekly_overlap(fx):
+    return spans.span_overlap(_bitmaps(fx), spans.week_of(), F.date_sub(spans.week_of(), 7), "variant")

@@ -36,10 +36,10 @@ DAILY_KPI = _s(("report_date", DT), ("total_users", L), ("click_count", L), ("to
                ("total_revenue", D), ("ctr", D), ("cvr", D), ("aov", D), ("arpu", D),
                ("session_depth", D), ("updated_at", T.TimestampType()))
 
-# JSON payloads.
+# JSON payloads.  Settings of an adopted variant keep their JSON types: numbers, booleans, nested objects.
 VARIANT_CONFIG = T.StructType([
     T.StructField("winning_variant", S), T.StructField("target", S),
-    T.StructField("config", T.MapType(S, S)), T.StructField("lift", D),
+    T.StructField("config", T.MapType(S, T.VariantType())), T.StructField("lift", D),
     T.StructField("p_value", D)])
 GUARDRAIL_RESULT = T.StructType([
     T.StructField("metric", S), T.StructField("control", D), T.StructField("test", D),

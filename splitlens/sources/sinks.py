@@ -83,6 +83,20 @@ def load_csv_table(spark: SparkSession, path: str, table: str, schema: T.StructT
     return True
 
 
+def load_csv_checked(spark: SparkSession, path: str, table: str, schema: T.StructType, quarantine: str) -> tuple[int, int]:
+    """Load a CSV file or folder into ``table``, replacing it; records that do not fit ``schema`` are appended to the table
+    ``quarantine`` (source_file, record, reason, loaded_at) instead of becoming NULLs.  Returns
+    the numbers of rows loaded and quarantined, which add up to the input's."""
+    from splitlens.sources.tables import read_csv_checked
+    parsed = staged(read_csv_checked(spark, path, schema))      # the input is parsed once
+    good, bad = parsed.where("_record IS NULL"), parsed.where("_record IS NOT NULL")
+    replace_table(good.select(*schema.names), table)
+    rows = bad.select(F.col("_file").alias("source_file"), F.col("_record").alias("record"), F.col("_reason").alias("reason"),
+                      F.localtimestamp().alias("loaded_at"))
+    rows.write.mode("append").format("parquet").saveAsTable(quarantine)
+    return good.count(), bad.count()
+
+
 def insert_by_name(df: DataFrame, table: str, overwrite: bool = False) -> None:
     """Insert matching columns by name (absent ones NULL), never by position."""
     table = versions.physical(df.sparkSession, table)
@@ -255,9 +269,11 @@ def append_experiment_record(record: DataFrame, table: str = "experiment.experim
 def adopt(readout: DataFrame, table: str = "experiment.adoptions",
           active_table: str | None = "experiment.active_experiment",
           winning_variant: str = "B") -> None:
-    """Record adoptions for the runs of ``readout`` (run_id, target, config map,
-    lift, p_value): the payload is JSON; adopting ends the active experiment."""
-    cfg = F.col("config") if "config" in readout.columns else F.lit(None).cast("map<string,string>")
+    """Record adoptions for the runs of ``readout`` (run_id, target, config,
+    lift, p_value): the payload is JSON; adopting ends the active experiment.  ``config`` is a map, a
+    VARIANT, or JSON text (text that is no JSON gives no config)."""
+    kind = dict(readout.dtypes).get("config")
+    cfg = F.try_parse_json("config") if kind == "string" else F.col("config") if kind else F.lit(None).cast("map<string,string>")
     payload = F.to_json(F.struct(F.lit(winning_variant).alias("winning_variant"), F.col("target"),
                                  cfg.alias("config"), F.col("lift"), F.col("p_value")))
     rows = readout.select(F.col("run_id").alias("experiment_id"), payload.alias("variant_config"),

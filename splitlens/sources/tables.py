@@ -47,6 +47,24 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return r.csv(path)
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV with a header, every record kept: the columns of ``schema``, ``_file``, and for a record that does not fit
+    ``_record`` (its text) and ``_reason`` (the number of fields, or the mistyped columns)."""
+    record = T.StructField("_record", T.StringType())
+    rows = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record")
+            .schema(T.StructType([*schema.fields, record])).csv(path).select("*", F.col("_metadata.file_path").alias("_file")))
+    # Commas outside quotes; a doubled quote inside quotes closes and opens again.
+    fields = F.regexp_count(F.regexp_replace("_record", '"[^"]*"', ""), F.lit(",")) + 1
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = F.from_csv("_record", texts.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
+    odd = F.filter(F.array(*[F.when(raw[f.name].isNotNull() & F.col(f.name).isNull(), F.lit(f.name)) for f in schema.fields]),
+                   lambda x: x.isNotNull())
+    reason = (F.when(F.col("_record").isNull(), F.lit(None))
+              .when(fields != len(schema.fields), F.concat(fields.cast("string"), F.lit(f" fields of {len(schema.fields)}")))
+              .otherwise(F.concat(F.lit("mistyped: "), F.array_join(odd, ", "))))
+    return rows.withColumn("_reason", reason)
+
+
 def jdbc_read(spark: SparkSession, url: str, table: str, properties: dict | None = None,
               partition_column: str | None = None, lower: int | None = None,
               upper: int | None = None, num_partitions: int | None = None) -> DataFrame:

@@ -1,0 +1,92 @@
+"""Spans from stored daily rows, exact samples, quarantined CSV records, typed settings."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from splitlens.operators import reporting, segments, spans
+from splitlens.sources import schemas, sinks
+from tests.conftest import frame
+
+
+def test_spans_from_daily_rows(spark, fx):
+    """Weeks, months and overlaps from daily bitmaps equal recounting; sketches stay within three errors."""
+    facts = fx.hard_assignments.unionByName(spark.createDataFrame([(None, "e", "A", dt.datetime(2024, 1, 2), None, 1.0)], fx.assignments.schema))
+    numbers = spans.number_users(facts)
+    daily = sinks.staged(spans.daily_bitmaps(facts, numbers, F.to_date("assigned_at"), "variant"))
+    for span in (spans.week_of(), F.trunc("day", "month"), F.lit(dt.date(2024, 1, 1))):
+        want = (facts.withColumn("day", F.to_date("assigned_at")).groupBy(span.alias("span"), "variant")
+                .agg(F.count_distinct("user_id").alias("users")))
+        assert sorted(map(tuple, spans.span_users(daily, span, "variant").collect())) == sorted(map(tuple, want.collect()))
+    sketched = spans.daily_sketches(facts, F.to_date("assigned_at"), "variant")
+    exact = {(r.span, r.variant): r.users for r in spans.span_users(daily, spans.week_of(), "variant").collect()}
+    for r in spans.span_users_approx(sketched, spans.week_of(), "variant").collect():
+        assert abs(r.users - exact[r.span, r.variant]) <= max(1, 3 * 1.04 / 2 ** (spans.LG_K / 2) * exact[r.span, r.variant])
+
+
+def test_known_users_keep_their_numbers(spark):
+    first = spans.number_users(spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "user_id string"))
+    later = spans.number_users(spark.createDataFrame([("b",), ("c",), ("d",)], "user_id string"), first)
+    old, new = ({r.user_id: r.n for r in d.collect()} for d in (first, later))
+    assert {k: new[k] for k in old} == old and len(set(new.values())) == 4 == len(new)
+    assert min(new["c"], new["d"]) // 32768 > max(old.values()) // 32768
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_bottom_k_is_exact_and_stable(spark, parts):
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id < 3 THEN NULL WHEN id < 50 THEN 's' ELSE concat('t', id % 4) END AS g").repartition(parts)
+    rows = segments.bottom_k_sample(df, "g", "id", 40, seed=3).collect()
+    sizes = {}
+    for r in rows:
+        sizes.setdefault(r.g, []).append(r)
+    assert {g: len(v) for g, v in sizes.items()} == {None: 3, "s": 40, "t0": 40, "t1": 40, "t2": 40, "t3": 40}
+    for g, v in sizes.items():
+        assert abs(sum(r.weight for r in v) - v[0].population) < 1e-9
+    again = segments.bottom_k_sample(df.repartition(3, "id"), "g", "id", 40, seed=3).collect()
+    assert sorted(r.id for r in again) == sorted(r.id for r in rows)
+    assert sorted(r.id for r in segments.bottom_k_sample(df, "g", "id", 40, seed=4).collect()) != sorted(r.id for r in rows)
+    plan = segments.bottom_k_sample(df, "g", "id", 40)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_bad_csv_records_are_quarantined(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("order_id,user_id,order_at,menu_item,amount\no1,u1,2024-01-01 12:00:00,pizza,12.5\n"
+                                           "o2,u2,2024-01-01 12:00:00,short\no3,u3,not a time,pizza,x1\n")
+    (tmp_path / "in" / "b.csv").write_text('order_id,user_id,order_at,menu_item,amount\no4,u4,2024-01-02 12:00:00,"a, b",3\n'
+                                           'o5,u5,2024-01-02 12:00:00,"c, d",3,4,5\no6,,,,\n')
+    spark.sql("CREATE DATABASE IF NOT EXISTS quarantine_db")
+    spark.sql("DROP TABLE IF EXISTS quarantine_db.bad")
+    n = sinks.load_csv_checked(spark, str(tmp_path / "in"), "quarantine_db.orders", schemas.ORDERS, "quarantine_db.bad")
+    good = sorted(spark.table("quarantine_db.orders").collect(), key=lambda r: r.order_id)
+    bad = {r.record.split(",")[0]: r for r in spark.table("quarantine_db.bad").collect()}
+    assert n == (3, 3) == (len(good), len(bad)) and [r.order_id for r in good] == ["o1", "o4", "o6"] and good[1].menu_item == "a, b"
+    assert {k: r.reason for k, r in bad.items()} == {"o2": "4 fields of 5", "o3": "mistyped: order_at, amount", "o5": "7 fields of 5"}
+    assert bad["o5"].source_file.endswith("b.csv") and bad["o5"].record.endswith("3,4,5")
+
+
+def test_settings_keep_their_types(spark):
+    """Adopt, then board and baseline: numbers, booleans and nested values survive; bad JSON gives none."""
+    db = "variant_db"
+    sinks.create_tables(spark, db, reset=True)
+    config = '{"title": "x", "size": 12.5, "bold": true, "layout": {"columns": [1, 2]}, "none": null}'
+    readout = spark.createDataFrame([("r1", "banner", config, 0.2, 0.01), ("r0", "banner", "{broken", 0.1, 0.5)],
+                                    "run_id string, target string, config string, lift double, p_value double")
+    for run in ("r0", "r1"):
+        sinks.adopt(readout.where(F.col("run_id") == run), f"{db}.adoptions", None)
+    adopted = spark.table(f"{db}.adoptions")
+    cfg = reporting.parse_variant_config()["config"]
+    typed = adopted.where("experiment_id = 'r1'").select(
+        reporting.setting(cfg, "size", "double").alias("size"), reporting.setting(cfg, "bold", "boolean").alias("bold"),
+        reporting.setting(cfg, "layout.columns", "array<int>").alias("columns"), reporting.setting(cfg, "title", "int").alias("no"),
+        reporting.setting(cfg, "missing").alias("missing")).first()
+    assert tuple(typed) == (12.5, True, [1, 2], None, None)
+    experiments = spark.createDataFrame([("r1", "h", "t", "CTR", 0.1, 0.2, 1.0)],
+                                        "run_id string, hypothesis string, target string, primary_metric string, control_rate double, test_rate double, lift double")
+    base = {r.config_key: r.config_value for r in reporting.current_baseline(adopted, experiments).collect()}
+    assert base == {"title": "x", "size": "12.5", "bold": "true", "layout": '{"columns":[1,2]}', "none": base["none"]} and base["none"] in (None, "null")
+    board = {r.experiment_id: r for r in reporting.adoption_board(adopted, experiments).collect()}
+    assert board["r1"].config_title == "x" and board["r0"].config_title is None and board["r0"].adopted_lift == 0.1
+    odd = frame(spark, schemas.ADOPTIONS, [dict(experiment_id="r9", variant_config="not json", adopted_at=dt.datetime(2024, 1, 1))])
+    assert reporting.adoption_board(odd, experiments).first().winning_variant is None

@@ -98,7 +98,7 @@ def test_activate_adopt_record(spark, ns):
     assert spark.table(f"{ns}.active_experiment").count() == 0
     cfg = spark.table(f"{ns}.adoptions").select(F.from_json("variant_config", schemas.VARIANT_CONFIG).alias("c"))
     c = cfg.collect()[0].c
-    assert c.winning_variant == "B" and c.config == {"title": "x"} and c.lift == 0.2
+    assert c.winning_variant == "B" and {k: v.toPython() for k, v in c.config.items()} == {"title": "x"} and c.lift == 0.2
     rec = spark.createDataFrame([("r1", "banner", "h", "CTR", 0.01, "Significant Winner", "[]")],
                                 "run_id string, target string, hypothesis string, primary_metric string, "
                                 "p_value double, decision string, guardrail_results string")
