@@ -32,42 +32,65 @@ SHARE = 1.5
 MOST = 2.0
 BLOCK = 100             # documents folded together, on average
 SEED = 8
+RUN = 4096              # equal rows unrolled or numbered together
 
 _ITEM = "struct<h: bigint, id: bigint, size: bigint, rep: bigint, p: double>"
 _DONE = "struct<id: bigint, size: bigint, rep: bigint, up: int>"
 _OWN = ["source", "words", "target", "base"]      # the same for all rows of a source
 
 
+def _before(rows: DataFrame, order: list, sums: dict, label: str) -> DataFrame:
+    """``rows`` with, for each name of ``sums``, the sum of its expression over all rows before
+    in ``order``: by ranges, each summed by itself, and the sums of the ranges before."""
+    ranged = written(rows.repartitionByRange(*order).withColumn("_llm_range", F.spark_partition_id()), label)
+    earlier = Window.partitionBy("_llm_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy("_llm_range").agg(*[F.sum(x).alias(f"_llm_{n}") for n, x in sums.items()])
+    # One row per range, so as many as there are shuffle partitions.
+    ranks = Window.orderBy("_llm_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("_llm_range", *[F.coalesce(F.sum(f"_llm_{n}").over(ranks), F.lit(0)).alias(f"_llm_{n}") for n in sums])
+    joined = ranged.join(F.broadcast(ranges), "_llm_range")
+    return joined.withColumns({n: F.coalesce(F.sum(x).over(earlier), F.lit(0)) + F.col(f"_llm_{n}") for n, x in sums.items()}).drop(
+        "_llm_range", *[f"_llm_{n}" for n in sums])
+
+
 def targets(sizes: DataFrame) -> DataFrame:
     """(skey, words, rows, target) per source of ``sizes`` (source, size, n).
 
-    One row per source meets in one task to be ranked; documents never do.
     With r = MOST * words / weight, the sources of the smallest r are cut, and
-    the others share what is left: prefix sums over r find how many are cut.
+    the others share what is left: prefix sums over r find how many are cut.  Sources
+    may be very many (hosts): ranks and sums run over ranges of them, and sums are of whole numbers, so
+    they do not depend on the ranges.
     """
     per = (sizes.groupBy("source")
            .agg(F.sum(F.col("size") * F.col("n")).alias("words"), F.sum("n").alias("rows")))
-    ranked = per.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
-    w = F.element_at(F.array(*[F.lit(float(x)) for x in WEIGHTS]),
-                     (F.pmod(F.col("rank") - 1, F.lit(len(WEIGHTS))) + 1).cast("int"))
-    ranked = ranked.withColumns({"w": w, "cap": F.col("words") * F.lit(MOST)})
-    all_ = Window.partitionBy()
-    before = Window.orderBy(F.col("cap") / F.col("w"), "rank").rowsBetween(Window.unboundedPreceding, -1)
-    level = ((F.sum("words").over(all_) * F.lit(SHARE) - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
-             / (F.sum("w").over(all_) - F.coalesce(F.sum("w").over(before), F.lit(0.0))))
-    levelled = ranked.withColumn("level", level)
+    ranked = _before(per, [F.col("source").asc_nulls_last()], {"rank": F.lit(1)}, "mix-ranks")
+    w = F.element_at(F.array(*[F.lit(x) for x in WEIGHTS]), (F.pmod(F.col("rank"), F.lit(len(WEIGHTS))) + 1).cast("int"))
+    ranked = ranked.withColumns({"w": w.cast("long"), "cap": F.col("words") * F.lit(MOST)})
+    ranked = _before(ranked.withColumn("r", F.col("cap") / F.col("w")), [F.col("r"), F.col("rank")],
+                     {"caps": F.col("cap"), "weights": F.col("w")}, "mix-levels")
+    whole = ranked.agg(F.sum("words").alias("all_words"), F.sum("w").alias("all_weights"))      # one row
+    level = (F.col("all_words") * F.lit(SHARE) - F.col("caps")) / (F.col("all_weights") - F.col("weights"))
+    levelled = ranked.crossJoin(F.broadcast(whole)).withColumn("level", level)
     # The level at the first source that is not cut holds for all later ones.
-    free = F.min(F.when(F.col("level") * F.col("w") < F.col("cap"), F.struct(F.col("cap") / F.col("w"), "rank", "level")))
-    levelled = levelled.withColumn("free", free.over(all_))
+    free = levelled.agg(F.min(F.when(F.col("level") * F.col("w") < F.col("cap"), F.struct("r", "rank", "level"))).alias("free"))     # one row
     share = F.coalesce(F.col("free.level") * F.col("w"), F.col("cap"))
-    return levelled.select(_skey().alias("skey"), "words", "rows",
-                           F.least(F.col("cap"), share).alias("target"))
+    return levelled.crossJoin(F.broadcast(free)).select(_skey().alias("skey"), "words", "rows", F.least(F.col("cap"), share).alias("target"))
 
 
 def _skey():
     return F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
 
 
+def repeated(rows: DataFrame, n: str, name: str) -> DataFrame:
+    """Each of ``rows`` ``n`` times, numbered from 1 in ``name``.  Large numbers are cut into
+    runs that are dealt out before they are unrolled, so no task or array holds them."""
+    few = rows.where(F.col(n) <= RUN).withColumn(name, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))))
+    many = rows.where(F.col(n) > RUN).withColumn("_llm_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / RUN))))
+    many = many.repartition("_llm_run").withColumn(name, F.explode(F.sequence(
+        F.col("_llm_run") * RUN + 1, F.least(F.col(n), (F.col("_llm_run") + 1) * RUN))))
+    return few.unionByName(many.drop("_llm_run"))
+
+
 def _fold() -> str:
     """SQL of one step: the document left over so far meets the next one."""
     up, down = "least((1 - s.res.p) * s.res.size, e.p * e.size)", "least(s.res.p * s.res.size, (1 - e.p) * e.size)"
@@ -113,10 +136,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``target``, ``taken`` and ``copies`` (``taken`` is copies times size), with the
     source and ``rep``, the number of the row among rows equal in id,
     size and source."""
-    sizes = written(
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"),
-                    F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long").alias("size"))
-        .groupBy("source", "id", "size").agg(F.count("*").alias("n")), "mix-sizes")
+    out = mix_sizes(docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"),
+                                F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long").alias("size"))
+                    .groupBy("source", "id", "size").agg(F.count("*").alias("n")))
+    return out.withColumnsRenamed({"id": id_col, "source": source_col})
+
+
+def mix_sizes(sizes: DataFrame) -> DataFrame:
+    """``mix`` of ``n`` documents for each (id, source, size) of ``sizes``."""
+    sizes = written(sizes, "mix-sizes")
     wanted = written(targets(sizes), "mix-targets")
     stats = wanted.agg(F.sum("rows"), F.max("rows")).first()
     total, most = int(stats[0] or 0), int(stats[1] or 0)
@@ -125,15 +153,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ratio = F.when(F.col("words") > 0, F.col("target") / F.col("words")).otherwise(F.lit(0.0))
     rows = (rows.withColumn("base", F.floor(ratio + 1e-12).cast("int"))
             .withColumn("p", F.greatest(F.lit(0.0), ratio - F.col("base")))
-            .withColumn("p", F.when((F.col("p") < 1e-12) | (F.col("size") == 0), 0.0).otherwise(F.col("p")))
-            .withColumn("rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+            .withColumn("p", F.when((F.col("p") < 1e-12) | (F.col("size") == 0), 0.0).otherwise(F.col("p"))))
+    rows = (repeated(rows, "n", "rep")
             .withColumn("h", F.xxhash64("id", "size", "rep", F.lit(SEED))))
 
     def rounded(df: DataFrame) -> DataFrame:
         copies = F.col("own.base") + F.col("up")
-        return df.select(F.col("id").alias(id_col), "size", F.col("own.words").alias("source_size"),
+        return df.select("id", "size", F.col("own.words").alias("source_size"),
                          F.col("own.target").alias("target"), (copies * F.col("size")).alias("taken"),
-                         copies.alias("copies"), F.col("own.source").alias(source_col), "rep")
+                         copies.alias("copies"), F.col("own.source").alias("source"), "rep")
 
     own, item = F.struct(*_OWN).alias("own"), F.struct("h", "id", "size", "rep", "p").cast(_ITEM).alias("item")
     out = rounded(rows.where("p = 0").select("id", "size", "rep", own, F.lit(0).alias("up")))
@@ -152,18 +180,40 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out
 
 
+def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` (row, ``keys``; a written table) with ``rep``, 1 to n among rows equal in ``keys``.  Large
+    groups are numbered in slices of about ``RUN`` rows, which then add up."""
+    sizes = written(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+                    .withColumn("key", F.xxhash64(*keys)), "mix-repeats")
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # The hash of a key only says which rows may repeat, and how often about: slices need no more.
+    hashed = sizes.groupBy("key").agg(F.max("n").alias("n"))
+    sliced = attach(rows.withColumn("key", F.xxhash64(*keys)), hashed, "key", "n", ["row"], total, ["n"])
+    slices = F.greatest(F.lit(1), F.ceil(F.coalesce("n", F.lit(1)) / RUN))
+    sliced = written(sliced.withColumn("slice", F.pmod(F.xxhash64("row"), slices)).drop("n", "key"), "mix-slices")
+    here = sliced.groupBy(*keys, "slice").agg(F.count("*").alias("k"))
+    before = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    here = here.withColumn("first", F.coalesce(F.sum("k").over(before), F.lit(0))).where("first > 0").select(
+        *[F.col(c).alias(f"_b_{c}") for c in [*keys, "slice"]], "first")
+    local = sliced.withColumn("rep", F.row_number().over(Window.partitionBy(*keys, "slice").orderBy("row")))
+    same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in [*keys, "slice"]]
+    out = local.join(here, same, "left").withColumn("rep", (F.col("rep") + F.coalesce("first", F.lit(0))).cast("long"))
+    return out.select("row", *keys, "rep")
+
+
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source") -> DataFrame:
     """``docs`` with every row as often as the mix takes it (not at all, once
-    or twice)."""
+    or twice).  The rows are numbered and written once; which of them are taken is settled on their
+    numbers, ids, sources and sizes, and the texts are shuffled once, to meet the result."""
+    rows = written(docs.withColumn("_llm_row", F.monotonically_increasing_id()), "mix-documents")
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long")
-    key = [F.col(id_col).cast("long").alias("_llm_id"), F.col(source_col).cast("string").alias("_llm_source"), size.alias("_llm_size")]
-    w = Window.partitionBy("_llm_id", "_llm_source", "_llm_size").orderBy(F.xxhash64(F.col(text_col)))
-    own = docs.select("*", *key).withColumn("_llm_rep", F.row_number().over(w).cast("long"))
-    plan = mix(docs, id_col, text_col, source_col).where("copies > 0").select(
-        F.col(id_col).alias("_llm_i"), F.col(source_col).alias("_llm_s"), F.col("size").alias("_llm_z"),
-        F.col("rep").alias("_llm_r"), F.col("copies").alias("_llm_copies"))
-    same = (F.col("_llm_id").eqNullSafe(F.col("_llm_i")) & F.col("_llm_source").eqNullSafe(F.col("_llm_s"))
-            & (F.col("_llm_size") == F.col("_llm_z")) & (F.col("_llm_rep") == F.col("_llm_r")))
-    return (own.join(plan, same).withColumn("_llm_c", F.explode(F.sequence(F.lit(1), F.col("_llm_copies"))))
+    narrow = written(rows.select(F.col("_llm_row").alias("row"), F.col(id_col).cast("long").alias("id"),
+                                 F.col(source_col).cast("string").alias("source"), size.alias("size")), "mix-narrow")
+    keys = ["id", "source", "size"]
+    taken = mix_sizes(narrow.groupBy(*keys).agg(F.count("*").alias("n"))).where("copies > 0").select(
+        *[F.col(c).alias(f"_m_{c}") for c in [*keys, "rep"]], "copies")
+    same = [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in [*keys, "rep"]]
+    copies = numbered(narrow, keys).join(taken, same).select(F.col("row").alias("_llm_row"), F.col("copies").alias("_llm_copies"))
+    return (rows.join(copies, "_llm_row").withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), F.col("_llm_copies"))))
             .select(*docs.columns))

@@ -78,6 +78,26 @@ def test_mixed_documents_follow_the_copies(spark):
     assert got == +want
 
 
+def test_many_sources_and_many_equal_rows(spark, monkeypatch):
+    """Sources by the hundred, ranked and summed over ranges; rows that agree in all columns, unrolled and numbered in runs."""
+    monkeypatch.setattr(M, "RUN", 8)
+    rows = [(i, "w " * (i % 13), f"host{i % 300:03d}") for i in range(1500)] + [(None, "a b c", "hot")] * 900 + [(7, "x y", None)] * 100
+    got = M.mix(frame(spark, rows)).collect()
+    check(rows, got)
+    assert sorted(r["rep"] for r in got if r["source"] == "hot") == list(range(1, 901))
+    want = Counter()
+    for r in got:
+        want[(r["doc_id"], r["size"], r["source"])] += r["copies"]
+    out = Counter((r["doc_id"], len(brute.WORDS.findall(r["text"] or "")), r["source"]) for r in M.mixed_documents(frame(spark, rows)).collect())
+    assert out == +want
+
+
+def test_texts_are_shuffled_once(spark):
+    plan = M.mixed_documents(frame(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
+    with_text = [x for x in plan.split("\n") if "Exchange" in x and "text#" in x]
+    assert len(with_text) <= 1 and "text" not in "".join(x for x in plan.split("\n") if "Window" in x)
+
+
 def test_empty_table_and_nothing_to_take(spark):
     assert M.mix(frame(spark, [])).collect() == []
     got = M.mix(frame(spark, [(1, None, "a"), (2, "", "b")])).collect()

@@ -21,7 +21,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_all_are_registered():
     names = [n.split("_")[0] for n in Q.queries()]
-    assert names == [f"op{k}" for k in range(1, 11)]
+    assert names == [f"op{k}" for k in range(1, 14)]
     assert set(Q.queries()) | {"pipeline"} <= set(E.queries()) and set(Q.oracle_sql()) <= set(E.oracle_sql())
 
 
