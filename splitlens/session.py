@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -92,6 +93,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+@contextmanager
+def co_located(spark: SparkSession):
+    """Within, plans made over tables bucketed by user join and fold on (run, user) without a
+    shuffle: rows of one user are together whatever their run.  Outside, Spark wants
+    all keys of a join in the partitioning, which is safer where single users are hot."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield spark
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 # What size_for_input has set, by application: only that may it change again.
 _SIZED: dict[tuple[str, str], str] = {}
 

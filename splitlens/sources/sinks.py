@@ -35,12 +35,15 @@ def table_schema(name: str) -> T.StructType:
 
 
 def create_tables(spark: SparkSession, database: str = "experiment", reset: bool = False,
-                  location: str | None = None, kind: str | None = None, versioned: tuple[str, ...] = ()) -> list[str]:
+                  location: str | None = None, kind: str | None = None, versioned: tuple[str, ...] = (),
+                  buckets: int | None = None) -> list[str]:
     """CREATE TABLE IF NOT EXISTS for every table of a catalogue namespace
     (``kind``: 'experiment' or 'warehouse'; default: the database name, else
     'experiment') in ``database`` -- parquet, partitioned as in
     ``schemas.PARTITIONING``; ``reset`` drops them first.  The tables named in ``versioned`` change in
-    one step (``versions``)."""
+    one step (``versions``).  With ``buckets``, tables with a user are stored in so many buckets, sorted by user,
+    so that joins and folds by user read matching buckets instead of shuffling (``session.co_located``);
+    choose it so that a bucket of a run's day is no tiny file and one of the whole table fits a task."""
     kind = kind or (database if database in schemas.CATALOGUE else "experiment")
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
@@ -52,6 +55,8 @@ def create_tables(spark: SparkSession, database: str = "experiment", reset: bool
             spark.sql(f"DROP TABLE IF EXISTS {full}")
         parts = schemas.PARTITIONING.get(name)
         by = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+        if buckets and "user_id" in table_schema(name).names:
+            by += f" CLUSTERED BY (user_id) SORTED BY (user_id) INTO {buckets} BUCKETS"
         if name in versioned:
             if not spark.catalog.tableExists(full):
                 first = versions.new_version(full)
