@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from splitlens.llm import (exact_dedup, html_text, importance, mixing, piece_codec, prefix_trie, secret_scan, simhash,
-                           token_counts, topk, turn_repair, url_filter, warc)
+                           token_counts, topk, turn_repair, url_filter, url_sql, warc)
 from splitlens.llm.common import table
 
 # (host, path, action): a rule fits its host and all subdomains.
@@ -117,39 +117,6 @@ r AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) A
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-_OP9_SQL = r"""
-WITH RECURSIVE rules(rh, rp, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
-                                               ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
-urls AS (SELECT DISTINCT url FROM pages),
-tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages),
-links AS (SELECT url, CASE
-            WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')
-              THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
-            WHEN regexp_matches(tag, '(?is)^<meta\b.*\bhttp-equiv\s*=\s*["'']?refresh\b')
-              THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) END AS href FROM tags),
-full_links AS (SELECT url, CASE WHEN starts_with(t, '//') THEN split_part(url, '//', 1) || t
-            WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || t ELSE t END AS target
-          FROM (SELECT url, replace(href, '&amp;', '&') AS t FROM links WHERE href IS NOT NULL)),
-named AS (SELECT u, regexp_extract(u, '(?s)^([^#]*)', 1) AS bare FROM (SELECT url AS u FROM urls UNION SELECT target FROM full_links)
-          WHERE contains(u, '://')),
-nodes AS (SELECT u, translate(regexp_extract(bare, '(?s)^(.*?://[^/?]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
-                    || regexp_extract(bare, '(?s)^.*?://[^/?]*(.*)$', 1) AS node FROM named),
-edges AS (SELECT a.node AS x, b.node AS y FROM full_links l JOIN nodes a ON a.u = l.url JOIN nodes b ON b.u = l.target),
-both_ways AS (SELECT x, y FROM edges UNION SELECT y, x FROM edges),
-parsed AS (SELECT u, coalesce(translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
-                  coalesce(regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
-           FROM (SELECT url AS u FROM urls UNION SELECT target FROM full_links)),
-fitting AS (SELECT u, host, path, rh || rp AS rule, action,
-                   row_number() OVER (PARTITION BY u ORDER BY length(rh || rp) DESC NULLS LAST) AS k
-            FROM parsed LEFT JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)),
-judged AS (SELECT * FROM fitting WHERE k = 1),
-blocked AS (SELECT n.node FROM judged j JOIN nodes n ON n.u = j.u WHERE j.action = 'block'
-            UNION SELECT b.y FROM blocked JOIN both_ways b ON b.x = blocked.node)
-SELECT p.page_id, j.host, j.path, j.rule,
-       coalesce(j.action, CASE WHEN n.node IN (SELECT node FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
-FROM pages p JOIN judged j ON j.u IS NOT DISTINCT FROM p.url LEFT JOIN nodes n ON n.u = p.url
-"""
-
 # CRC-32 of a text of ASCII signs, bit by bit.
 _CRC32 = """xor(4294967295::UBIGINT, list_reduce(list_transform(range(1, length({0}) + 1), lambda i: ascii(substr({0}, i::INT, 1))::UBIGINT),
   lambda acc, b: list_reduce(range(8)::UBIGINT[], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END,
@@ -238,5 +205,5 @@ FROM named n JOIN below b ON b.k = n.k LEFT JOIN nodes p ON p.k = n.parent LEFT
 def oracle_sql() -> dict[str, str]:
     """The others rest on tokenizer files, XXH64, a trained model or seeded
     draws, which SQL lacks; tests/llm holds them against brute force."""
-    return {"op2_warc": _OP2_SQL, "op3_exact_dedup": _OP3_SQL, "op7_topk": _OP7_SQL, "op9_url_filter": _OP9_SQL,
+    return {"op2_warc": _OP2_SQL, "op3_exact_dedup": _OP3_SQL, "op7_topk": _OP7_SQL, "op9_url_filter": url_sql.OP9_SQL,
             "op12_turn_repair": _OP12_SQL, "op13_prefix_trie": _OP13_SQL}

@@ -101,3 +101,27 @@ def test_components_of_paths_stars_and_cliques(spark):
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     want = {k: 100 for k in range(100, 161)} | {k: 0 for k in [*range(20), *range(200, 400)]} | {900: 900, 901: 900}
     assert got == want
+
+
+def test_query_equals_its_sql_on_planted_links(spark, tmp_path):
+    """The rows above, and every relative, quoted or <base> target once with a page behind it that is blocked."""
+    import duckdb
+
+    from splitlens.llm import queries
+
+    rows = [r for r in ROWS if r[0] != 23]
+    for k, (url, html, want) in enumerate(RELATIVE):
+        site = f"http://s{k}.org"
+        rows.append((1000 + k, url and url.replace("http://a.org", site).replace("http://A.org", site).replace("https://a.org", site), html))
+        if want:
+            rows.append((2000 + k, want.replace("http://a.org", site).replace("https://b.org", "http://b.org"), canonical("http://bad.net/")))
+    frame(spark, rows).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.sql(queries.oracle_sql()["op9_url_filter"])
+    got = queries.op9_url_filter(spark, str(tmp_path))
+    assert sorted(want.columns) == sorted(got.columns)
+    found = Counter(tuple(r[c] for c in want.columns) for r in got.collect())
+    assert found == Counter(want.fetchall())
+    blocked = {r["page_id"] for r in got.collect() if r["verdict"] == "block" and r["rule"] is None}
+    assert len([i for i in blocked if i is not None and 1000 <= i < 2000]) >= 10
