@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splitlens.llm import (exact_dedup, html_text, importance, mixing, piece_codec, prefix_trie, secret_scan, simhash,
-                           token_counts, topk, turn_repair, url_filter, url_sql, warc)
+from splitlens.llm import (exact_dedup, html_text, importance, mixing, piece_codec, prefix_trie, secret_labels, secret_scan,
+                           simhash, token_counts, topk, turn_repair, url_filter, url_sql, warc)
 from splitlens.llm.common import table
 
 # (host, path, action): a rule fits its host and all subdomains.
@@ -59,7 +59,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return secret_scan.scan(docs, labelled=secret_labels.labelled_findings(docs, "text", "source", held_out=None))
 
 
 def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ source's name); neighbouring words (credential and example words before it, an a
 dictionary words on either side).  The forest is trained on labelled findings
 and judges every candidate.
 
-``known_format`` labels findings where no labelled table is at hand: true for formats that are
+``secret_labels`` makes labelled findings: secrets and decoys of stated forms in places of the corpus; the registered query
+trains on them.  ``known_format`` labels the candidates themselves where neither they nor a labelled table are at hand: true for formats that are
 secrets by construction (issued keys, private keys, values assigned to credential names), false for
 sure decoys (phone, card, date, version, UUID and path forms), NULL for the rest, which the
 forest judges but does not learn from.  Training takes at most ``MAX_LABELLED`` findings (those of the least hash); the
@@ -145,8 +146,7 @@ def features(found: DataFrame, words: DataFrame) -> tuple[DataFrame, list[str]]:
                 .join(known.select(F.col("word").alias("_llm_known")), F.col("_llm_word") == F.col("_llm_known"), "left")
                 .withColumn(f"f_word_{side}", F.col("_llm_known").isNotNull().cast("double")).drop("_llm_word", "_llm_known"))
     text, n = F.col("found"), F.length("found")
-    cols = {"f_length": F.least(n, F.lit(200)).cast("double"),
-            "f_distinct": _share(F.size(F.array_distinct(F.split(text, ""))), F.least(n, F.lit(64)))}
+    cols = {"f_length": n.cast("double"), "f_distinct": F.size(F.array_distinct(F.split(text, ""))).cast("double")}
     for a, one in _KINDS.items():
         for b, two in _KINDS.items():
             cols[f"f_{a}_{b}"] = _share(F.regexp_count(text, F.lit(f"(?<={one})(?={two})")), n - 1)
@@ -196,7 +196,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     ``score`` (the forest's probability) and ``is_secret`` (0.5 or more).
 
     ``labelled``: findings with the columns of ``candidates`` and a boolean
-    ``label``; by default the candidates themselves under ``known_format``.
+    ``label``, as of ``secret_labels``; by default the candidates themselves under ``known_format``.
     """
     words = dictionary(docs, text_col)
     found, names = features(candidates(docs, id_col, text_col, path_col), words)
