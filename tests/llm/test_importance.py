@@ -62,6 +62,69 @@ def test_edges_and_reruns(spark):
     assert all(w == 0 for i, w, _, _ in one if i in (2000, 2001, 2002))
 
 
+def plain_buckets(text):
+    """The n-grams of one text, one by one, in Python integers."""
+    import re
+
+    import xxhash
+
+    mix, low = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+    def kind(word):
+        if not (word[0].isalnum() or word[0] == "_"):
+            return "p" + word[:4]
+        if word[0].isdigit():
+            return "n"
+        return "U" if len(word) > 1 and word.isupper() else "C" if word[0].isupper() else "l"
+
+    words = re.findall(r"\w+|[^\w\s]+", text)
+    h = [xxhash.xxh64_intdigest(w.encode(), I.SEED) for w in words]
+    s = [I.SEED if k and words[k] == words[k - 1] else xxhash.xxh64_intdigest(kind(w).encode(), I.SEED + 1) for k, w in enumerate(words)]
+    grams = h + s
+    for k in range(1, len(words)):
+        grams.append((h[k] * mix + h[k - 1]) * mix & low)
+        grams.append(s[k] * mix + s[k - 1] & low)
+        if k > 1:
+            grams.append((s[k] * mix + s[k - 1]) * mix + s[k - 2] & low)
+    return [(g ^ g >> 32) * mix % (1 << 64) >> 48 for g in grams]
+
+
+def test_weights_noise_and_cut_equal_a_plain_version(spark):
+    """Both models, the ratio, tempered weights, Gumbel noise, the share and the cut, recomputed one document at a time."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from splitlens.llm.common import uniform
+
+    data, labels = rows(), label_frame(spark)
+    grams = [Counter(plain_buckets(t or "")) for _, t in data]
+    marks = {}
+    for r in labels.collect():
+        if r["doc_id"] is not None and r["quality"] is not None:
+            marks[r["doc_id"]] = min(r["quality"], marks.get(r["doc_id"], 1))
+    raw, own = Counter(), Counter()
+    for (i, _), g in zip(data, grams):
+        raw.update(g)
+        if marks.get(i) == 1:
+            own.update(g)
+    n_raw, n_own = sum(raw.values()) + I.BUCKETS, sum(own.values()) + I.BUCKETS
+
+    def ratio(b):
+        p = (raw[b] + 1) / n_raw
+        return math.log((own[b] + I.BUCKETS * p) / n_own) - math.log(p)
+
+    weights = [sum(c * ratio(b) for b, c in g.items()) / max(1, sum(g.values())) * min(sum(g.values()), I.TEMPER) for g in grams]
+    draws = {r["doc_id"]: r["u"] for r in frame(spark, data).select("doc_id", uniform(F.col("doc_id"), F.lit(I.SEED)).alias("u")).collect()}
+    scored = [(w - math.log(-math.log(draws[i])), i, w) for (i, _), w in zip(data, weights)]
+    share = sum(marks.values()) / len(marks)
+    k = round(len(data) * (share + I.MARGIN * (1 - share)))
+    cut = sorted(scored, key=lambda r: (-round(r[0], 9), r[1] is None, r[1]))[k - 1]
+    got = I.classify(frame(spark, data), labels).collect()
+    want = sorted(((i is None, i, round(w, 6), round(s, 6), s > cut[0] - 1e-9) for s, i, w in scored), key=repr)
+    assert sorted(((r["doc_id"] is None, r["doc_id"], round(r["log_weight"], 6), round(r["score"], 6), r["kept"]) for r in got), key=repr) == want
+
+
 def test_kept_rows_have_their_columns(spark):
     df, labels = frame(spark, rows()), label_frame(spark)
     out = I.keep_good(df, labels)
