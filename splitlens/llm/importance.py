@@ -11,8 +11,7 @@ n-grams: words and punctuation runs (``\\w+`` or ``[^\\w\\s]+``) and pairs of th
 punctuation, a mark for a word that repeats the one before -- which see junk whose words
 are new.  Each is hashed into ``BUCKETS`` buckets.
 
-A document's weight is its mean over n-grams times at most ``TEMPER`` n-grams:
-a sum over a long text would be so far from zero that no noise mattered, and length alone would decide.
+A document's weight is the sum over all its n-grams.
 
 k: the share of good documents among the labelled ones, with ``MARGIN`` of the rejected share given back
 to the kept, of all documents.  The model is fitted on at most ``MAX_LABELLED`` labelled documents (those of the least
@@ -31,7 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from splitlens.llm.common import ship_by_value, uniform, written
@@ -40,7 +39,6 @@ ship_by_value(__name__)
 
 BUCKETS = 1 << 16
 MAX_LABELLED = 20_000
-TEMPER = 400
 MARGIN = 0.05
 SMOOTH = 1.0
 SEED = 6
@@ -165,9 +163,7 @@ def weighted(docs: DataFrame, text_col: str, ratio: np.ndarray) -> DataFrame:
         for batch in batches:
             for part, texts in pieces(batch, at_text):
                 where, bucket = grams.buckets(texts)
-                n = np.bincount(where, minlength=len(texts))
-                total = np.bincount(where, weights=ratio[bucket], minlength=len(texts))
-                weight = total / np.maximum(n, 1) * np.minimum(n, TEMPER)
+                weight = np.bincount(where, weights=ratio[bucket], minlength=len(texts))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(weight)], [*part.schema.names, WEIGHT])
 
     return docs.mapInArrow(run, schema)
@@ -200,9 +196,11 @@ def cut_at(rows: DataFrame, k: int) -> tuple[float, int] | None:
 
 
 def _id_at(ties: DataFrame, k: int) -> int:
-    """The k-th id among rows of one score (NULLs last); rows of equal text and
-    id tie, so this is a single row but for repeated rows."""
-    row = ties.orderBy(F.col("id").asc_nulls_last()).limit(k).agg(F.max("id")).first()
+    """The k-th id among rows of one score (NULLs last).  Rows of one id tie and are counted
+    together; different ids draw their own noise, so there are few of them."""
+    per_id = ties.groupBy("id").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.orderBy(F.col("id").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    row = per_id.withColumn("upto", upto).where(F.col("upto") >= k).orderBy("upto").select("id").first()
     return row[0]
 
 

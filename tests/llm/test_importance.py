@@ -90,7 +90,7 @@ def plain_buckets(text):
 
 
 def test_weights_noise_and_cut_equal_a_plain_version(spark):
-    """Both models, the ratio, tempered weights, Gumbel noise, the share and the cut, recomputed one document at a time."""
+    """Both models, the ratio, the sums, Gumbel noise, the share and the cut, recomputed one document at a time."""
     import math
 
     from pyspark.sql import functions as F
@@ -114,7 +114,7 @@ def test_weights_noise_and_cut_equal_a_plain_version(spark):
         p = (raw[b] + 1) / n_raw
         return math.log((own[b] + I.BUCKETS * p) / n_own) - math.log(p)
 
-    weights = [sum(c * ratio(b) for b, c in g.items()) / max(1, sum(g.values())) * min(sum(g.values()), I.TEMPER) for g in grams]
+    weights = [sum(c * ratio(b) for b, c in g.items()) for g in grams]
     draws = {r["doc_id"]: r["u"] for r in frame(spark, data).select("doc_id", uniform(F.col("doc_id"), F.lit(I.SEED)).alias("u")).collect()}
     scored = [(w - math.log(-math.log(draws[i])), i, w) for (i, _), w in zip(data, weights)]
     share = sum(marks.values()) / len(marks)
