@@ -163,8 +163,9 @@ def weighted(docs: DataFrame, text_col: str, ratio: np.ndarray) -> DataFrame:
         for batch in batches:
             for part, texts in pieces(batch, at_text):
                 where, bucket = grams.buckets(texts)
-                weight = np.bincount(where, weights=ratio[bucket], minlength=len(texts))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(weight)], [*part.schema.names, WEIGHT])
+                # Without any n-gram bincount gives integers.
+                weight = np.bincount(where, weights=ratio[bucket], minlength=len(texts)).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(weight, pa.float64())], [*part.schema.names, WEIGHT])
 
     return docs.mapInArrow(run, schema)
 

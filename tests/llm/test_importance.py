@@ -138,6 +138,11 @@ def test_without_labels_all_are_kept(spark):
     assert I.classify(frame(spark, rows()), none).where("not kept").count() == 0
 
 
+def test_only_empty_texts(spark):
+    got = I.classify(frame(spark, [(1, ""), (2, None), (3, " ")]), label_frame(spark)).collect()
+    assert [r["log_weight"] for r in got] == [0.0] * 3
+
+
 def test_empty_table(spark):
     assert I.classify(frame(spark, []), label_frame(spark)).collect() == []
 
